@@ -10,7 +10,9 @@ from chargelake import config
 from chargelake.functions.scalar import clip, floor_time, ratio, time_feature_columns
 from chargelake.operators.ordered import over_history, running_total, time_chunk
 
-_NO_VALUE = F.lit(None).cast("double")
+
+def _no_value() -> Column:
+    return F.lit(None).cast("double")
 
 
 def add_time_features(df: DataFrame, ts: str = "timestamp") -> DataFrame:
@@ -20,13 +22,13 @@ def add_time_features(df: DataFrame, ts: str = "timestamp") -> DataFrame:
 def charger_utilization(df: DataFrame, charging: str = "charging_duration_min",
                         total: str = "session_duration_min") -> Column:
     if not {charging, total} <= set(df.columns):
-        return _NO_VALUE
+        return _no_value()
     return clip(ratio(charging, total), 0.0, 1.0)
 
 
 def revenue(df: DataFrame, energy: str = "energy_kwh",
             tariff: float = config.BASELINE_TARIFF) -> Column:
-    return F.col(energy) * tariff if energy in df.columns else _NO_VALUE
+    return F.col(energy) * tariff if energy in df.columns else _no_value()
 
 
 def energy_cost(df: DataFrame, cost: str = "session_cost", energy: str = "energy_kwh") -> Column:
@@ -38,37 +40,42 @@ def occupancy_from_chargers() -> Column:
     return F.coalesce(share, F.lit(0.0))
 
 
-def _with_rows_per_hour(df: DataFrame, station: str, ts: str) -> DataFrame:
+def _with_rows_per_hour(df: DataFrame, station: str, ts: str,
+                        source: DataFrame | None = None) -> DataFrame:
     """Number of rows per station and hour, on every row; null where a key is null.
 
     Counts are made before the shuffle and joined back, so a crowded station-hour is
-    never gathered for a window, and the join may split it.
+    never gathered for a window, and the join may split it. `source` is a table with the
+    same rows that is cheaper to count.
     """
-    keyed = df.withColumn("_hour", floor_time(ts, "hour"))
-    counts = keyed.groupBy(station, "_hour").agg(F.count(ts).alias("_rows"))
-    return keyed.join(counts, [station, "_hour"], "left").drop("_hour")
+    hour = floor_time(ts, "hour")
+    counts = (df if source is None else source).groupBy(station, hour.alias("_hour")).agg(
+        F.count(ts).alias("_rows"))
+    return df.withColumn("_hour", hour).join(counts, [station, "_hour"], "left").drop("_hour")
 
 
 def add_queue_length(df: DataFrame, station: str = "station_id", ts: str = "timestamp",
-                     name: str = "queue_length_proxy") -> DataFrame:
+                     name: str = "queue_length_proxy",
+                     source: DataFrame | None = None) -> DataFrame:
     """Other rows at the same station in the same hour."""
     if not {station, ts} <= set(df.columns):
         return df.withColumn(name, F.lit(0).cast("bigint"))
     others = clip(F.col("_rows") - 1, 0, None)
     return (
-        _with_rows_per_hour(df, station, ts)
+        _with_rows_per_hour(df, station, ts, source)
         .select(*[c for c in df.columns if c != name], others.alias(name))
     )
 
 
 def add_occupancy_density(df: DataFrame, station: str = "station_id", ts: str = "timestamp",
-                          chargers: int = 10, name: str = "occupancy_density") -> DataFrame:
+                          chargers: int = 10, name: str = "occupancy_density",
+                          source: DataFrame | None = None) -> DataFrame:
     """Rows at the same station in the same hour, as a share of its chargers."""
     if station not in df.columns:
-        return df.withColumn(name, _NO_VALUE)
+        return df.withColumn(name, _no_value())
     density = clip(F.col("_rows") / F.lit(float(chargers)), 0.0, 1.0)
     return (
-        _with_rows_per_hour(df, station, ts)
+        _with_rows_per_hour(df, station, ts, source)
         .select(*[c for c in df.columns if c != name], density.alias(name))
     )
 
@@ -189,19 +196,19 @@ def add_session_overlap(df: DataFrame, station: str = "station_id",
 
 
 def build_features(df: DataFrame, chunk: str = "month") -> DataFrame:
-    """All features of the hourly table."""
-    if "timestamp" in df.columns:
-        df = add_time_features(df, "timestamp")
-    elif "session_start" in df.columns:
-        df = add_time_features(df, "session_start")
+    """All features of the hourly table, which is read four times: pass a stored one."""
+    hourly = df
     if "charger_utilization_rate" not in df.columns:
         df = df.withColumn("charger_utilization_rate", charger_utilization(df))
-    df = df.withColumns({
-        "revenue_per_session": revenue(df), "energy_cost_per_kwh": energy_cost(df),
+    out = add_lags_and_rolling(df, chunk=chunk)
+    if "timestamp" in out.columns:
+        out = add_time_features(out, "timestamp")
+    elif "session_start" in out.columns:
+        out = add_time_features(out, "session_start")
+    out = out.withColumns({
+        "revenue_per_session": revenue(out), "energy_cost_per_kwh": energy_cost(out),
     })
-    df = add_queue_length(df)
-    if {"active_chargers", "total_chargers"} <= set(df.columns):
-        df = df.withColumn("occupancy_density", occupancy_from_chargers())
-    else:
-        df = add_occupancy_density(df)
-    return add_lags_and_rolling(df, chunk=chunk)
+    out = add_queue_length(out, source=hourly)
+    if {"active_chargers", "total_chargers"} <= set(out.columns):
+        return out.withColumn("occupancy_density", occupancy_from_chargers())
+    return add_occupancy_density(out, source=hourly)

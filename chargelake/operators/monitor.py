@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from chargelake import config
-from chargelake.functions.scalar import floor_time, half_even
+from chargelake.functions.scalar import floor_time, gain_percent, half_even
 from chargelake.operators.metrics import (
     efficiency_metric, report, response_metric, revenue_metric, waiting_metric, Metric,
 )
@@ -20,6 +20,7 @@ def period_metrics(df: DataFrame, unit: str | None = "day", ts: str = "timestamp
     """Revenue, utilisation, waiting, efficiency and response per period and group.
 
     All metrics of a period come from the same aggregate. The table must be priced.
+    Revenue, gain and utilisation are not rounded; feedback works on the exact values.
     """
     if utilization not in df.columns:
         utilization = "charger_utilization_rate"
@@ -27,15 +28,18 @@ def period_metrics(df: DataFrame, unit: str | None = "day", ts: str = "timestamp
     if unit:
         df = df.withColumn("period", floor_time(ts, unit))
         groups.append("period")
-    mean_use = Metric({"_mean_use": F.avg(utilization)},
-                      {"avg_utilization": half_even(F.col("_mean_use"), 4)})
+    exact = Metric({"_mean_use": F.avg(utilization)}, {
+        "avg_utilization": F.col("_mean_use"),
+        "revenue_INR": F.col("_new_revenue"),
+        "revenue_gain_pct": gain_percent(F.col("_old_revenue"), F.col("_new_revenue")),
+    })
     all_metrics = (
         revenue_metric(df, energy) | waiting_metric(df) | response_metric(df)
-        | efficiency_metric(df, energy=energy) | mean_use
+        | efficiency_metric(df, energy=energy) | exact
     )
     return report(df, all_metrics, groups).select(
         *groups,
-        F.col("dynamic_revenue_INR").alias("revenue_INR"),
+        "revenue_INR",
         "revenue_gain_pct",
         "avg_utilization",
         F.col("dynamic_avg_wait_min").alias("avg_wait_time_min"),
@@ -44,8 +48,17 @@ def period_metrics(df: DataFrame, unit: str | None = "day", ts: str = "timestamp
     )
 
 
-def _signal(action: str, *reason: Column | str) -> Column:
-    text = F.format_string(*reason) if len(reason) > 1 else F.lit(reason[0])
+def rounded_periods(df: DataFrame) -> DataFrame:
+    """The metrics of a period with the places they are shown with."""
+    places = {"revenue_INR": 2, "revenue_gain_pct": 2, "avg_utilization": 4}
+    return df.withColumns({c: half_even(F.col(c), n) for c, n in places.items()})
+
+
+def _signal(action: str, *reason: Column | str | int) -> Column:
+    text = F.lit(reason[0])
+    if len(reason) == 3:
+        template, value, digits = reason
+        text = F.format_string(template, half_even(value, digits))
     return F.struct(F.lit(action).alias("action"), text.alias("reason"))
 
 
@@ -61,18 +74,18 @@ def add_feedback(df: DataFrame) -> DataFrame:
     gain, use = F.col("revenue_gain_pct"), F.col("avg_utilization")
     # fixed values: actions, reasons and thresholds of the feedback
     demand = (
-        F.when(r2 < 0.6, _signal("RETRAIN", "R² = %.3f is below 0.6 threshold", r2))
-        .when(rmse > 0.2, _signal("FINE_TUNE", "RMSE = %.4f is above 0.2 threshold", rmse))
+        F.when(r2 < 0.6, _signal("RETRAIN", "R² = %.3f is below 0.6 threshold", r2, 3))
+        .when(rmse > 0.2, _signal("FINE_TUNE", "RMSE = %.4f is above 0.2 threshold", rmse, 4))
         .otherwise(_signal("MAINTAIN", "Model performance is acceptable"))
     )
     tariff = (
         F.when(gain < 0, _signal(
-            "REDUCE_SURGE", "Revenue decreased by %.1f%% — pricing may be too aggressive", gain))
+            "REDUCE_SURGE", "Revenue decreased by %.1f%% — pricing may be too aggressive", gain, 1))
         .when(use < config.DISCOUNT_UTILISATION, _signal(
             "INCREASE_DISCOUNT",
-            "Average utilization %.2f is below 0.3 — increase discounts", use))
+            "Average utilization %.2f is below 0.3 — increase discounts", use, 2))
         .when(gain > 20, _signal(
-            "MODERATE", "Revenue gain %.1f%% is very high — may be overly aggressive", gain))
+            "MODERATE", "Revenue gain %.1f%% is very high — may be overly aggressive", gain, 1))
         .otherwise(_signal("MAINTAIN", "Pricing performance is balanced"))
     )
     return df.withColumns({"demand_feedback": demand, "tariff_feedback": tariff})

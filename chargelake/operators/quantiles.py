@@ -58,15 +58,15 @@ def values_at_ranks(df: DataFrame, column: str, ranks: dict[str, Callable[[Colum
 
     # sizes of both sides are only known at run time: adaptive execution picks the join
     counted = (
-        rows.join(targets.select(*by, _SLOT), [*by, _SLOT], "left_semi")
-        .groupBy(*by, _SLOT, _VALUE).agg(F.count(F.lit(1)).alias("_n"))
+        rows.join(targets, [*by, _SLOT])
+        .groupBy(*by, _SLOT, _VALUE, "_start", "rows", "_wanted")
+        .agg(F.count(F.lit(1)).alias("_n"))
     )
     upto = Window.partitionBy(*by, _SLOT).orderBy(_VALUE).rowsBetween(
         Window.unboundedPreceding, 0)
     last = F.col("_start") + F.col("_seen")
     hits = (
         counted.withColumn("_seen", F.sum("_n").over(upto))
-        .join(targets, [*by, _SLOT])
         .withColumn("_wanted", F.filter(
             "_wanted", lambda w: inside(w, last - F.col("_n"), last)))
         .select(*by, "rows", _VALUE, F.explode("_wanted.name").alias("_name"))

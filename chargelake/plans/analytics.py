@@ -14,6 +14,7 @@ from chargelake.operators.features import build_features
 from chargelake.operators.metrics import report, tariff_metric
 from chargelake.operators.monitor import add_feedback, multiplier_path, period_metrics
 from chargelake.operators.tariff import price_table, with_predictions
+from chargelake.session import stored
 
 REGRESSORS = {"gradient_boosting": gradient_boosting, "random_forest": random_forest}
 
@@ -28,10 +29,10 @@ def predict_demand(
 ) -> tuple[dict[str, PipelineModel], DataFrame, DataFrame]:
     """Trained models, their metrics and the prepared rows.
 
-    Training makes many passes, so the prepared rows are kept for its duration.
+    Training makes many passes, so the prepared rows are stored first.
     """
     names = model_features(features, target)
-    prepared = prepare(features, target, names, mode).persist()
+    prepared = stored(prepare(features, target, names, mode), "prepared")
     regressors = regressors or {n: make() for n, make in REGRESSORS.items()}
     models = {n: train(prepared, names, r) for n, r in regressors.items()}
     return models, evaluate_all(models, prepared), prepared

@@ -48,10 +48,9 @@ def run_pipeline(
         write_stage(engineered, f"{folder}/features", ["data_source", "ym"])
     features = read_stage(spark, f"{folder}/features").drop("ym")
 
-    models, demand_metrics, prepared = predict_demand(features, energy, regressors)
+    models, demand_metrics, _ = predict_demand(features, energy, regressors)
     save_models(models, f"{folder}/models")
     write_csv(demand_metrics, f"{folder}/demand_metrics")
-    prepared.unpersist()
     demand_metrics = spark.read.csv(
         f"{folder}/demand_metrics", header=True,
         schema="model STRING, RMSE DOUBLE, MAE DOUBLE, R2 DOUBLE")

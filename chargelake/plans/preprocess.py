@@ -2,22 +2,28 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from chargelake.operators.cleaning import clean_grid, clean_sessions
 from chargelake.operators.reshape import build_grid_readings
 from chargelake.operators.rollup import hourly_grid, hourly_sessions, merge_sources
+from chargelake.session import stored
 from chargelake.sources.readers import read_grid_tables, read_sessions
 from chargelake.sources.writers import write_stage
 
 
-def preprocess(sessions: DataFrame | None, grid_tables: dict[str, DataFrame] | None) -> DataFrame:
-    """Either source may be missing."""
+def preprocess(sessions: DataFrame | None, grid_tables: dict[str, DataFrame] | None,
+               store: Callable[[DataFrame], DataFrame] = lambda df: df,
+               chunk: str = "month") -> DataFrame:
+    """Either source may be missing. `store` may keep the long readings, read twice."""
     parts = []
     if sessions is not None:
         parts.append(hourly_sessions(clean_sessions(sessions)))
     if grid_tables:
-        parts.append(hourly_grid(clean_grid(build_grid_readings(grid_tables))))
+        parts.append(hourly_grid(
+            clean_grid(store(build_grid_readings(grid_tables)), chunk=chunk)))
     if not parts:
         raise ValueError("neither sessions nor grid tables given")
     return merge_sources(*parts) if len(parts) == 2 else parts[0]
@@ -29,7 +35,8 @@ def run_preprocessing(spark: SparkSession, sessions_csv: str | None, grid_folder
     sessions = read_sessions(spark, sessions_csv, sessions_json) if (
         sessions_csv or sessions_json) else None
     grid = read_grid_tables(spark, grid_folder) if grid_folder else None
-    merged = preprocess(sessions, grid).withColumn("ym", F.date_format("timestamp", "yyyy-MM"))
+    keep = lambda df: stored(df, "readings")
+    merged = preprocess(sessions, grid, keep).withColumn("ym", F.date_format("timestamp", "yyyy-MM"))
     write_stage(merged, output, ["data_source", "ym"])
     return read_merged(spark, output)
 

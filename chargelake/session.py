@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app_name: str = "chargelake", master: str | None = None,
@@ -47,6 +47,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(shared_folder(spark), f"{name}-{uuid.uuid4().hex}")
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write a table below the shared folder and read it back.
+
+    For inputs that an operator reads more than once: the work behind them is done once,
+    later reads take only the columns they need, and lost executors cost no recomputation.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_folder(spark))

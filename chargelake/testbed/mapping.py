@@ -15,6 +15,7 @@ from chargelake.operators.features import build_features
 from chargelake.operators.reshape import build_grid_readings
 from chargelake.operators.rollup import hourly_grid, hourly_sessions, merge_sources
 from chargelake.operators.tariff import price_table
+from chargelake.session import stored
 
 GRIDS = ["click", "error", "purchase", "signup", "view"]
 # the sessions of the test tables are cut into chunks of a day, as they cover a month only
@@ -100,7 +101,7 @@ def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def readings_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clean_grid(readings(spark, sf_dir), chunk=CHUNK)
+    return clean_grid(stored(readings(spark, sf_dir), "readings"), chunk=CHUNK)
 
 
 def merged(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -110,12 +111,12 @@ def merged(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return build_features(merged(spark, sf_dir), CHUNK)
+    return build_features(stored(merged(spark, sf_dir), "merged"), CHUNK)
 
 
 def session_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Features of the session side only: the cheaper input for reports."""
-    return build_features(sessions_by_hour(spark, sf_dir), CHUNK)
+    return build_features(stored(sessions_by_hour(spark, sf_dir), "hours"), CHUNK)
 
 
 def forecast(df: DataFrame) -> DataFrame:

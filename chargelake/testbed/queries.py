@@ -7,12 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 
+from chargelake.functions.scalar import half_even
 from chargelake.operators import (
     cleaning, demand, features as feat, metrics, monitor, profile, quantiles, reshape, rollup,
     tariff,
 )
 from chargelake.plans import analytics
-from chargelake.session import scratch_path
+from chargelake.session import scratch_path, stored
 from chargelake.sources import readers, writers
 from chargelake.testbed import mapping as m
 
@@ -28,7 +29,7 @@ def query(function: Query) -> Query:
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     """Doubles to a number of places, so that the order of a sum does not show."""
     doubles = [f.name for f in df.schema.fields if isinstance(f.dataType, T.DoubleType)]
-    return df.withColumns({c: F.round(F.col(f"`{c}`"), digits) for c in doubles})
+    return df.withColumns({c: half_even(F.col(f"`{c}`"), digits) + 0.0 for c in doubles})
 
 
 # sessions
@@ -161,20 +162,22 @@ def occupancy_from_chargers(spark, sf_dir):
 
 @query
 def lag_features(spark, sf_dir):
-    hourly = m.sessions_by_hour(spark, sf_dir).select("station_id", "timestamp", "energy_kwh")
+    hourly = stored(m.sessions_by_hour(spark, sf_dir), "hours").select(
+        "station_id", "timestamp", "energy_kwh")
     return rounded(feat.add_lags(hourly, chunk=m.CHUNK))
 
 
 @query
 def lag_global(spark, sf_dir):
-    hourly = m.sessions_by_hour(spark, sf_dir).select("station_id", "timestamp", "energy_kwh")
+    hourly = stored(m.sessions_by_hour(spark, sf_dir), "hours").select(
+        "station_id", "timestamp", "energy_kwh")
     return rounded(feat.add_lags(
         hourly, station=None, order=["timestamp", "station_id"], chunk=m.CHUNK))
 
 
 @query
 def rolling_features(spark, sf_dir):
-    hourly = m.sessions_by_hour(spark, sf_dir).select(
+    hourly = stored(m.sessions_by_hour(spark, sf_dir), "hours").select(
         "station_id", "timestamp", "energy_kwh", "charger_utilization_rate")
     return rounded(feat.add_rolling(
         hourly, ["energy_kwh", "charger_utilization_rate"], chunk=m.CHUNK))
@@ -182,7 +185,7 @@ def rolling_features(spark, sf_dir):
 
 @query
 def lag_rolling_deliveries(spark, sf_dir):
-    daily = rollup.hourly_rollup(m.deliveries(spark, sf_dir)).select(
+    daily = stored(rollup.hourly_rollup(m.deliveries(spark, sf_dir)), "daily").select(
         "station_id", F.col("hour_bucket").alias("timestamp"),
         F.col("total_energy_kwh").alias("energy_kwh"))
     return rounded(feat.add_lags_and_rolling(daily, targets=["energy_kwh"], chunk="year"))
@@ -209,7 +212,7 @@ def session_overlap(spark, sf_dir):
 
 @query
 def sequence_windows(spark, sf_dir):
-    s = m.sessions_by_hour(spark, sf_dir)
+    s = stored(m.sessions_by_hour(spark, sf_dir), "hours")
     windows = feat.sequence_windows(
         s, ["energy_kwh", "session_count"], "energy_kwh", chunk=m.CHUNK)
     return rounded(windows.select(
@@ -275,7 +278,7 @@ def single_tariff(spark, sf_dir):
 
 @query
 def predictions_join(spark, sf_dir):
-    rows = m.session_features(spark, sf_dir)
+    rows = stored(m.session_features(spark, sf_dir), "features")
     predictions = rows.filter(F.col("is_peak_hour") == 1).select(
         "station_id", "timestamp", F.col("charger_rolling_6h").alias("predicted_utilization"))
     joined = tariff.with_predictions(
@@ -319,17 +322,18 @@ def _periods(spark, sf_dir, by=()):
 
 @query
 def monitoring_rollup(spark, sf_dir):
-    return _periods(spark, sf_dir)
+    return monitor.rounded_periods(_periods(spark, sf_dir))
 
 
 @query
 def monitoring_by_station(spark, sf_dir):
-    return _periods(spark, sf_dir, ["station_id"])
+    return monitor.rounded_periods(_periods(spark, sf_dir, ["station_id"]))
 
 
 @query
 def monitoring_summary(spark, sf_dir):
-    return rounded(monitor.summarise_periods(_periods(spark, sf_dir)))
+    return rounded(monitor.summarise_periods(
+        monitor.rounded_periods(_periods(spark, sf_dir))))
 
 
 @query
@@ -364,7 +368,7 @@ def numeric_summary_deliveries(spark, sf_dir):
 
 @query
 def value_counts(spark, sf_dir):
-    rows = m.merged(spark, sf_dir)
+    rows = stored(m.merged(spark, sf_dir), "merged")
     by_source = profile.value_counts(rows, F.col("data_source"), "value")
     by_hour = profile.value_counts(
         rows.filter(F.col("data_source") == "ACN"), F.hour("timestamp").cast("string"), "value")
@@ -402,13 +406,13 @@ def winsorised_energy(spark, sf_dir):
 
 @query
 def weekday_weekend_box(spark, sf_dir):
-    rows = feat.add_time_features(m.merged(spark, sf_dir))
+    rows = feat.add_time_features(stored(m.merged(spark, sf_dir), "merged"))
     return rounded(profile.box_statistics(rows, ["data_source", "is_weekend"]))
 
 
 @query
 def period_distribution(spark, sf_dir):
-    rows = feat.add_time_features(m.sessions_by_hour(spark, sf_dir))
+    rows = feat.add_time_features(stored(m.sessions_by_hour(spark, sf_dir), "hours"))
     return rounded(profile.period_distribution(rows))
 
 
@@ -420,7 +424,7 @@ def demand_volatility(spark, sf_dir):
 @query
 def util_histogram(spark, sf_dir):
     return rounded(quantiles.histogram(
-        m.sessions_by_hour(spark, sf_dir), "charger_utilization_rate"))
+        stored(m.sessions_by_hour(spark, sf_dir), "hours"), "charger_utilization_rate"))
 
 
 @query
@@ -433,13 +437,14 @@ def energy_histogram(spark, sf_dir):
 
 @query
 def tariff_histogram(spark, sf_dir):
-    return rounded(quantiles.histogram(m.priced(spark, sf_dir), "dynamic_tariff"))
+    return rounded(quantiles.histogram(
+        stored(m.priced(spark, sf_dir).select("dynamic_tariff"), "priced"), "dynamic_tariff"))
 
 
 @query
 def util_cdf(spark, sf_dir):
     hourly = m.sessions_by_hour(spark, sf_dir).select(
-        F.round("charger_utilization_rate", 6).alias("charger_utilization_rate"))
+        half_even(F.col("charger_utilization_rate"), 6).alias("charger_utilization_rate"))
     return rounded(quantiles.cumulative_share(hourly, "charger_utilization_rate"))
 
 
@@ -480,21 +485,17 @@ def group_metric_table(spark, sf_dir):
 def top_station_hours(spark, sf_dir):
     return rounded(m.sessions_by_hour(spark, sf_dir).select(
         "station_id", "timestamp", "session_count", "energy_kwh").orderBy(
-            F.round("energy_kwh", 6).desc_nulls_last(),
+            half_even(F.col("energy_kwh"), 6).desc_nulls_last(),
             F.col("station_id").asc_nulls_last(), F.col("timestamp").asc_nulls_last()
         ).limit(20))
 
 
 # demand models
 
-def _hourly_features(spark, sf_dir):
-    return m.session_features(spark, sf_dir)
-
-
 @query
 def chrono_split(spark, sf_dir):
     rows = demand.complete_rows(
-        m.session_features(spark, sf_dir), ["demand_lag_24", "energy_kwh"])
+        stored(m.session_features(spark, sf_dir), "features"), ["demand_lag_24", "energy_kwh"])
     return rounded(demand.split_by_time(rows).select(
         "station_id", "timestamp", "energy_kwh", "demand_lag_24", "split"))
 
@@ -502,7 +503,7 @@ def chrono_split(spark, sf_dir):
 @query
 def position_split(spark, sf_dir):
     rows = demand.complete_rows(
-        m.session_features(spark, sf_dir), ["demand_lag_24", "energy_kwh"])
+        stored(m.session_features(spark, sf_dir), "features"), ["demand_lag_24", "energy_kwh"])
     return rounded(demand.split_by_position(rows).select(
         "station_id", "timestamp", "energy_kwh", "demand_lag_24", "split"))
 
@@ -528,7 +529,7 @@ def best_model(spark, sf_dir):
 @query
 def demand_forest(spark, sf_dir):
     _, table, _ = analytics.predict_demand(
-        m.session_features(spark, sf_dir),
+        stored(m.session_features(spark, sf_dir), "features"),
         regressors={"random_forest": demand.random_forest(trees=20, depth=8)})
     return rounded(table)
 
@@ -536,16 +537,16 @@ def demand_forest(spark, sf_dir):
 @query
 def demand_gbt(spark, sf_dir):
     _, table, _ = analytics.predict_demand(
-        m.session_features(spark, sf_dir),
+        stored(m.session_features(spark, sf_dir), "features"),
         regressors={"gradient_boosting": demand.gradient_boosting(rounds=15, step=0.2)})
     return rounded(table)
 
 
 @query
 def feature_importance(spark, sf_dir):
-    rows = m.session_features(spark, sf_dir)
+    rows = stored(m.session_features(spark, sf_dir), "features")
     names = demand.model_features(rows, "energy_kwh")
-    prepared = demand.prepare(rows, "energy_kwh", names)
+    prepared = stored(demand.prepare(rows, "energy_kwh", names), "prepared")
     model = demand.train(prepared, names, demand.random_forest(trees=20, depth=8))
     return demand.feature_importance(spark, model, names, top=15)
 
@@ -555,7 +556,9 @@ def feature_importance(spark, sf_dir):
 @query
 def pipeline_preprocess(spark, sf_dir):
     from chargelake.plans.preprocess import preprocess
-    merged = preprocess(m.raw_sessions(spark, sf_dir), m.grid_tables(spark, sf_dir))
+    merged = preprocess(
+        m.raw_sessions(spark, sf_dir), m.grid_tables(spark, sf_dir),
+        lambda df: stored(df, "readings"), m.CHUNK)
     return rounded(merged.groupBy("data_source", "station_id").agg(
         F.count(F.lit(1)).alias("hours"),
         F.sum("energy_kwh").alias("energy_kwh"),
@@ -577,4 +580,4 @@ def pipeline_tariff(spark, sf_dir):
 @query
 def pipeline_monitor(spark, sf_dir):
     signals, _ = analytics.monitor(m.features(spark, sf_dir), by=["data_source"])
-    return writers.flatten_structs(signals)
+    return writers.flatten_structs(monitor.rounded_periods(signals))
