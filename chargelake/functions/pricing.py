@@ -9,12 +9,16 @@ from chargelake.functions.scalar import clip, time_of_use_factor
 
 _LOWEST_CENTS = int(config.LOWEST_TARIFF * 100)
 _HIGHEST_CENTS = int(config.HIGHEST_TARIFF * 100)
-_COARSE_CENTS = 50
+# halvings that leave one price of the range
+_HALVINGS = (_HIGHEST_CENTS - _LOWEST_CENTS).bit_length()
 
 
-def objective(price: Column, utilisation: Column, hour: Column, congestion: Column) -> Column:
-    """Expected revenue less the cost of leaving the target price and of overload."""
-    reference = time_of_use_factor(hour) * config.BASELINE_TARIFF
+def objective(price: Column, utilisation: Column, reference: Column,
+              congestion: Column) -> Column:
+    """Expected revenue less the cost of leaving the target price and of overload.
+
+    `reference` is the baseline tariff times the time-of-use factor.
+    """
     demand = clip(
         1.0 + config.ELASTICITY * (price / reference - 1.0), *config.PRICING_DEMAND_BOUNDS
     )
@@ -32,33 +36,38 @@ def objective(price: Column, utilisation: Column, hour: Column, congestion: Colu
     return revenue - target_cost - penalty
 
 
-def _best_of(candidates: Column, utilisation: Column, hour: Column, congestion: Column) -> Column:
-    # A millionth is finer than any difference between neighbouring prices that is not
-    # a tie, and hides last-bit noise; of equal scores the lowest price wins.
-    scored = F.transform(
-        candidates,
-        lambda cents: F.struct(
-            F.rint(objective(cents / 100, utilisation, hour, congestion) * 1e6).alias("score"),
-            (-cents).alias("minus_cents"),
-        ),
-    )
-    return -F.array_max(scored)["minus_cents"]
+def reference_price(hour: Column) -> Column:
+    return time_of_use_factor(hour) * config.BASELINE_TARIFF
 
 
-def best_cents_coarse(utilisation: Column, hour: Column, congestion: Column) -> Column:
-    grid = F.sequence(F.lit(_LOWEST_CENTS), F.lit(_HIGHEST_CENTS), F.lit(_COARSE_CENTS))
-    return _best_of(grid, utilisation, hour, congestion)
+def best_cents(utilisation: Column, reference: Column, congestion: Column) -> Column:
+    """The price in whole cents with the largest objective.
 
+    Of two neighbours that are equally good the best price lies half way, and rounds up;
+    on a longer flat stretch the lowest price is taken.
 
-def best_cents_fine(coarse: Column, utilisation: Column, hour: Column,
-                    congestion: Column) -> Column:
-    """Best price in whole cents, given the best price of the coarse grid.
-
-    Every term of the objective is concave in the price, so the best cent lies within
-    one coarse step of the best coarse price and the search is exact.
+    Within the price range the demand bounds do not bind and every term is concave in the
+    price. So the objective rises up to the best price and never after it, and halving
+    the range by the sign of the next step finds the best cent exactly.
     """
-    grid = F.sequence(
-        F.greatest(coarse - _COARSE_CENTS, F.lit(_LOWEST_CENTS)),
-        F.least(coarse + _COARSE_CENTS, F.lit(_HIGHEST_CENTS)),
-    )
-    return _best_of(grid, utilisation, hour, congestion)
+    # A millionth is finer than any step between neighbouring prices that is not a tie,
+    # and hides last-bit noise.
+    score = lambda cents: F.rint(
+        objective(cents / 100, utilisation, reference, congestion) * 1e6)
+
+    def halve(span: Column, _: Column) -> Column:
+        middle = F.floor((span["low"] + span["high"]) / 2).cast("int")
+        rises = (span["low"] < span["high"]) & (score(middle + 1) > score(middle))
+        return F.struct(
+            F.when(rises, middle + 1).otherwise(span["low"]).alias("low"),
+            F.when(rises, span["high"]).otherwise(middle).alias("high"),
+        )
+
+    whole = F.struct(F.lit(_LOWEST_CENTS).alias("low"), F.lit(_HIGHEST_CENTS).alias("high"))
+
+    def round_up(span: Column) -> Column:
+        best = span["low"]
+        pair = (score(best + 1) == score(best)) & (score(best + 2) < score(best))
+        return F.when(pair & (best < _HIGHEST_CENTS), best + 1).otherwise(best)
+
+    return F.aggregate(F.sequence(F.lit(1), F.lit(_HALVINGS)), whole, halve, round_up)

@@ -18,6 +18,7 @@ def numeric_columns(df: DataFrame) -> list[str]:
 
 
 def nan_to_null(df: DataFrame) -> DataFrame:
+    """NaN as null, which is what it stands for in the inputs."""
     floats = [f.name for f in df.schema.fields
               if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
     return df.withColumns({c: without_nan(c) for c in floats})
@@ -63,21 +64,31 @@ def add_durations(df: DataFrame) -> DataFrame:
     return out
 
 
-def drop_invalid_sessions(df: DataFrame) -> DataFrame:
-    """Without energy, or with energy or duration not above zero. A null duration stays."""
-    if "kWhDelivered" in df.columns:
-        df = df.filter(F.col("kWhDelivered") > 0)
-    if "session_duration_min" in df.columns:
-        df = df.filter(~F.coalesce(F.col("session_duration_min") <= 0, F.lit(False)))
-    return df
+def drop_without_energy(df: DataFrame) -> DataFrame:
+    """Rows without energy or with energy not above zero; reaches the file scan as a filter."""
+    if "kWhDelivered" not in df.columns:
+        return df
+    return df.filter((F.col("kWhDelivered") > 0) & ~F.isnan("kWhDelivered"))
+
+
+def drop_without_duration(df: DataFrame) -> DataFrame:
+    """Rows that end by their start. A missing time stays.
+
+    Comparing the times, not the minutes, keeps the filter cheap where it is pushed down.
+    """
+    if not {"connectionTime", "disconnectTime"} <= set(df.columns):
+        return df
+    ended = F.col("disconnectTime") <= F.col("connectionTime")
+    return df.filter(~F.coalesce(ended, F.lit(False)))
 
 
 def clean_sessions(df: DataFrame) -> DataFrame:
     return (
-        nan_to_null(df)
+        drop_without_energy(df)
+        .transform(nan_to_null)
         .transform(parse_session_times)
+        .transform(drop_without_duration)
         .transform(add_durations)
-        .transform(drop_invalid_sessions)
         .withColumnsRenamed(schemas.SESSION_NAMES)
         .withColumn("data_source", F.lit(config.SESSION_SOURCE))
     )

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from itertools import combinations
+from itertools import combinations_with_replacement
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -168,28 +168,38 @@ def band_shares(df: DataFrame, column: str = "charger_utilization_rate") -> Data
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Pearson correlation of every pair of columns, over the rows where both have a value.
 
-    One aggregate holds all pairs. Moments are merged around running means, so large
-    offsets do not cancel; a constant column gives null instead of a division error.
+    Each row yields its pairs of columns, which are summed up per pair before the shuffle.
+    Moments are merged around running means, so large offsets do not cancel; a constant
+    column gives null instead of a division error.
     """
     present = [c for c in columns if c in df.columns]
-    pairs = list(combinations(range(len(present)), 2))
     value = [F.col(c).cast("double") for c in present]
-    only = lambda i, j: F.stddev_pop(F.when(value[j].isNotNull(), value[i]))
-    aggregates = [
-        agg for i, j in pairs for agg in (
-            F.covar_pop(value[i], value[j]).alias(f"c_{i}_{j}"),
-            only(i, j).alias(f"a_{i}_{j}"), only(j, i).alias(f"b_{i}_{j}"),
-        )
-    ] + [F.stddev_pop(v).alias(f"s_{i}") for i, v in enumerate(value)]
-    entry = lambda a, b, r: F.struct(
-        F.lit(a).alias("a"), F.lit(b).alias("b"), r.cast("double").alias("r"))
-    entries = [
-        entry(c, c, F.when(F.col(f"s_{i}") > 0, 1.0)) for i, c in enumerate(present)
+    pairs = [
+        F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), value[i].alias("x"),
+                 value[j].alias("y"))
+        for i, j in combinations_with_replacement(range(len(present)), 2)
     ]
-    for i, j in pairs:
-        r = ratio(F.col(f"c_{i}_{j}"), F.col(f"a_{i}_{j}") * F.col(f"b_{i}_{j}"))
-        entries += [entry(present[i], present[j], r), entry(present[j], present[i], r)]
-    return df.agg(*aggregates).select(F.explode(F.array(*entries)).alias("e")).select("e.*")
+    x, y = F.col("x"), F.col("y")
+    moments = (
+        df.select(F.explode(F.array(*pairs)).alias("p")).select("p.*")
+        .groupBy("i", "j").agg(
+            F.covar_pop(x, y).alias("xy"),
+            F.stddev_pop(F.when(y.isNotNull(), x)).alias("sx"),
+            F.stddev_pop(F.when(x.isNotNull(), y)).alias("sy"),
+        )
+    )
+    r = F.when(F.col("i") == F.col("j"), F.when(F.col("sx") > 0, 1.0)).otherwise(
+        ratio("xy", F.col("sx") * F.col("sy")))
+    both_ways = F.array(
+        F.struct(F.col("i").alias("a"), F.col("j").alias("b")),
+        F.struct(F.col("j").alias("a"), F.col("i").alias("b")),
+    )
+    names = F.array(*[F.lit(c) for c in present])
+    return (
+        moments.withColumn("r", r)
+        .select(F.explode(F.array_distinct(both_ways)).alias("k"), "r")
+        .select(names[F.col("k.a")].alias("a"), names[F.col("k.b")].alias("b"), "r")
+    )
 
 
 def mean_by(df: DataFrame, by: str, column: str, name: str) -> DataFrame:

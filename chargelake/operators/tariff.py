@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from chargelake import config
-from chargelake.functions.pricing import best_cents_coarse, best_cents_fine
+from chargelake.functions.pricing import best_cents, reference_price
 from chargelake.functions.scalar import clip, tenth_index, without_nan
 
 _CELL = ["hour", "u_idx", "c_idx"]
@@ -19,12 +19,9 @@ def tariff_lookup(spark: SparkSession) -> DataFrame:
         F.expr("id div 11 % 11").cast("int").alias("u_idx"),
         F.expr("id % 11").cast("int").alias("c_idx"),
     )
-    cell = (F.col("u_idx") / 10.0, F.col("hour"), F.col("c_idx") / 10.0)
-    return (
-        cells.withColumn("_coarse", best_cents_coarse(*cell))
-        .withColumn("_cents", best_cents_fine(F.col("_coarse"), *cell))
-        .select(*_CELL, (F.col("_cents") / 100).alias("tariff_inr"))
-    )
+    cells = cells.withColumn("_reference", reference_price(F.col("hour")))
+    cents = best_cents(F.col("u_idx") / 10.0, F.col("_reference"), F.col("c_idx") / 10.0)
+    return cells.select(*_CELL, (cents / 100).alias("tariff_inr"))
 
 
 def price_cell(df: DataFrame, utilization: str | None = "predicted_utilization",

@@ -18,6 +18,8 @@ def build_session(app_name: str = "chargelake", master: str | None = None,
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.ui.enabled": "false",
+        # recording a call site for every column expression doubles the time to build a plan
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
     } | conf
     builder = SparkSession.builder.appName(app_name)
     if master:

@@ -156,7 +156,9 @@ FROM (SELECT *, greatest(least(1 - 0.3::DOUBLE * (p / r - 1), 1.8::DOUBLE), 0.2:
                  range(900, 3001) q(cents)))"""
 
 _CTE["lookup"] = """
-SELECT s.hour, s.u_idx, s.c_idx, min(s.cents) / 100::DOUBLE AS tariff_inr
+SELECT s.hour, s.u_idx, s.c_idx,
+       CASE WHEN count(*) = 2 THEN max(s.cents) ELSE min(s.cents) END / 100::DOUBLE
+         AS tariff_inr
 FROM scores s JOIN (SELECT hour, u_idx, c_idx, max(score) AS best FROM scores GROUP BY ALL) m
   ON s.hour = m.hour AND s.u_idx = m.u_idx AND s.c_idx = m.c_idx AND s.score = m.best
 GROUP BY 1, 2, 3"""

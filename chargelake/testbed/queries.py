@@ -36,7 +36,7 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
 
 @query
 def session_clean(spark, sf_dir):
-    return rounded(m.sessions(spark, sf_dir))
+    return rounded(cleaning.clean_sessions(m.raw_sessions(spark, sf_dir)).drop("_id"))
 
 
 @query
