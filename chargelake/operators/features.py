@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, WindowSpec, functions as F
+from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
 from chargelake import config
 from chargelake.functions.scalar import clip, floor_time, ratio, time_feature_columns
-from chargelake.operators.ordered import over_history, running_total, time_chunk
+from chargelake.operators.ordered import (
+    CHUNK, HISTORY, over_history, running_total, time_chunk,
+)
 
 
 def _no_value() -> Column:
@@ -40,42 +42,44 @@ def occupancy_from_chargers() -> Column:
     return F.coalesce(share, F.lit(0.0))
 
 
-def _with_rows_per_hour(df: DataFrame, station: str, ts: str,
-                        source: DataFrame | None = None) -> DataFrame:
+def _with_rows_per_hour(df: DataFrame, station: str, ts: str) -> DataFrame:
     """Number of rows per station and hour, on every row; null where a key is null.
 
     Counts are made before the shuffle and joined back, so a crowded station-hour is
-    never gathered for a window, and the join may split it. `source` is a table with the
-    same rows that is cheaper to count.
+    never gathered for a window, and the join may split it.
     """
-    hour = floor_time(ts, "hour")
-    counts = (df if source is None else source).groupBy(station, hour.alias("_hour")).agg(
-        F.count(ts).alias("_rows"))
-    return df.withColumn("_hour", hour).join(counts, [station, "_hour"], "left").drop("_hour")
+    keyed = df.withColumn("_hour", floor_time(ts, "hour"))
+    counts = keyed.groupBy(station, "_hour").agg(F.count(ts).alias("_rows"))
+    return keyed.join(counts, [station, "_hour"], "left").drop("_hour")
+
+
+def queue_of_rows() -> Column:
+    return clip(F.col("_rows") - 1, 0, None)
+
+
+def occupancy_of_rows(chargers: int = 10) -> Column:
+    return clip(F.col("_rows") / F.lit(float(chargers)), 0.0, 1.0)
 
 
 def add_queue_length(df: DataFrame, station: str = "station_id", ts: str = "timestamp",
-                     name: str = "queue_length_proxy",
-                     source: DataFrame | None = None) -> DataFrame:
+                     name: str = "queue_length_proxy") -> DataFrame:
     """Other rows at the same station in the same hour."""
     if not {station, ts} <= set(df.columns):
         return df.withColumn(name, F.lit(0).cast("bigint"))
-    others = clip(F.col("_rows") - 1, 0, None)
     return (
-        _with_rows_per_hour(df, station, ts, source)
-        .select(*[c for c in df.columns if c != name], others.alias(name))
+        _with_rows_per_hour(df, station, ts)
+        .select(*[c for c in df.columns if c != name], queue_of_rows().alias(name))
     )
 
 
 def add_occupancy_density(df: DataFrame, station: str = "station_id", ts: str = "timestamp",
-                          chargers: int = 10, name: str = "occupancy_density",
-                          source: DataFrame | None = None) -> DataFrame:
+                          chargers: int = 10, name: str = "occupancy_density") -> DataFrame:
     """Rows at the same station in the same hour, as a share of its chargers."""
     if station not in df.columns:
         return df.withColumn(name, _no_value())
-    density = clip(F.col("_rows") / F.lit(float(chargers)), 0.0, 1.0)
+    density = occupancy_of_rows(chargers)
     return (
-        _with_rows_per_hour(df, station, ts, source)
+        _with_rows_per_hour(df, station, ts)
         .select(*[c for c in df.columns if c != name], density.alias(name))
     )
 
@@ -104,7 +108,7 @@ def _keys(df: DataFrame, station: str | None) -> list[str]:
 
 def add_lags(df: DataFrame, target: str = "energy_kwh", lags: Sequence[int] = config.LAGS,
              station: str | None = "station_id", order: Sequence[str] = ("timestamp",),
-             chunk: str = "month") -> DataFrame:
+             chunk: str = "year") -> DataFrame:
     """Value n rows earlier, per station or over the whole table."""
     return over_history(
         df, _keys(df, station), order, max(lags), [target],
@@ -115,7 +119,7 @@ def add_lags(df: DataFrame, target: str = "energy_kwh", lags: Sequence[int] = co
 def add_rolling(df: DataFrame, targets: Sequence[str] = ("energy_kwh",),
                 sizes: Sequence[int] = config.ROLLING_ROWS,
                 station: str | None = "station_id", order: Sequence[str] = ("timestamp",),
-                chunk: str = "month") -> DataFrame:
+                chunk: str = "year") -> DataFrame:
     """Mean over the last n rows, the current one included; shorter at the start."""
     present = [c for c in targets if c in df.columns]
     if not present:
@@ -130,22 +134,33 @@ def add_rolling(df: DataFrame, targets: Sequence[str] = ("energy_kwh",),
 def add_lags_and_rolling(df: DataFrame, target: str = "energy_kwh",
                          targets: Sequence[str] = ("energy_kwh", "charger_utilization_rate"),
                          station: str | None = "station_id",
-                         order: Sequence[str] = ("timestamp",),
-                         chunk: str = "month") -> DataFrame:
-    """Lags and rolling means from one window over one shuffle."""
+                         order: Sequence[str] = ("timestamp",), chunk: str = "year",
+                         rows_per_hour: str | None = None) -> DataFrame:
+    """Lags and rolling means from one window over one shuffle.
+
+    `rows_per_hour` names a column for the number of rows of the station in the hour. For
+    hourly tables, whose rows per station and hour are few, it needs no shuffle of its own.
+    """
     present = [c for c in targets if c in df.columns]
     _check_rolling_names(present)
-    return over_history(
-        df, _keys(df, station), order, max(config.LAGS), [target, *present],
-        lambda window: _lags(target, config.LAGS, window)
-        | _rolling(present, config.ROLLING_ROWS, window),
-        chunk,
-    )
+    keys = _keys(df, station)
+
+    def build(window: WindowSpec) -> dict[str, Column]:
+        columns = _lags(target, config.LAGS, window) | _rolling(
+            present, config.ROLLING_ROWS, window)
+        if rows_per_hour:
+            hour = Window.partitionBy(*keys, CHUNK, floor_time(order[0], "hour"))
+            own = F.when(~F.col(HISTORY), F.col(order[0]))
+            columns[rows_per_hour] = F.when(
+                F.col(order[0]).isNotNull(), F.count(own).over(hour))
+        return columns
+
+    return over_history(df, keys, order, max(config.LAGS), [target, *present], build, chunk)
 
 
 def sequence_windows(df: DataFrame, features: Sequence[str], target: str,
                      rows: int = config.SEQUENCE_ROWS, station: str | None = "station_id",
-                     order: Sequence[str] = ("timestamp",), chunk: str = "month") -> DataFrame:
+                     order: Sequence[str] = ("timestamp",), chunk: str = "year") -> DataFrame:
     """The feature vectors of the `rows` rows before each row, with its target.
 
     Only rows with a full window are kept.
@@ -175,13 +190,14 @@ def add_session_overlap(df: DataFrame, station: str = "station_id",
         F.struct(F.col(end).alias("at"), F.lit(0).alias("starts"), F.lit(1).alias("ends")),
     ))
     both = F.col(start).isNotNull() & F.col(end).isNotNull()
-    instants = (
+    moments = (
         df.filter(both).select(station, edges.alias("e")).select(station, "e.*")
-        .groupBy(station, "at").agg(F.sum("starts").alias("starts"), F.sum("ends").alias("ends"))
-        .withColumn("_chunk", time_chunk("at", chunk))
+        .withColumn(CHUNK, time_chunk("at", chunk))
     )
+    instants = moments.groupBy(station, CHUNK, "at").agg(
+        F.sum("starts").alias("starts"), F.sum("ends").alias("ends"))
     totals = running_total(
-        instants, [station], "_chunk", "at", {"all_starts": "starts", "all_ends": "ends"}
+        instants, [station], CHUNK, "at", {"all_starts": "starts", "all_ends": "ends"}, moments
     )
     before_end = totals.select(
         station, F.col("at").alias(end), (F.col("all_starts") - F.col("starts")).alias("_started")
@@ -195,20 +211,20 @@ def add_session_overlap(df: DataFrame, station: str = "station_id",
     )
 
 
-def build_features(df: DataFrame, chunk: str = "month") -> DataFrame:
-    """All features of the hourly table, which is read four times: pass a stored one."""
-    hourly = df
+def build_features(df: DataFrame, chunk: str = "year") -> DataFrame:
+    """All features of the hourly table, which is read three times: pass a stored one."""
     if "charger_utilization_rate" not in df.columns:
         df = df.withColumn("charger_utilization_rate", charger_utilization(df))
-    out = add_lags_and_rolling(df, chunk=chunk)
-    if "timestamp" in out.columns:
-        out = add_time_features(out, "timestamp")
-    elif "session_start" in out.columns:
-        out = add_time_features(out, "session_start")
-    out = out.withColumns({
-        "revenue_per_session": revenue(out), "energy_cost_per_kwh": energy_cost(out),
-    })
-    out = add_queue_length(out, source=hourly)
+    ts = "timestamp" if "timestamp" in df.columns else "session_start"
+    out = add_lags_and_rolling(df, order=[ts], chunk=chunk, rows_per_hour="_rows")
+    out = add_time_features(out, ts)
     if {"active_chargers", "total_chargers"} <= set(out.columns):
-        return out.withColumn("occupancy_density", occupancy_from_chargers())
-    return add_occupancy_density(out, source=hourly)
+        density = occupancy_from_chargers()
+    else:
+        density = occupancy_of_rows()
+    return out.withColumns({
+        "revenue_per_session": revenue(out),
+        "energy_cost_per_kwh": energy_cost(out),
+        "queue_length_proxy": queue_of_rows(),
+        "occupancy_density": density,
+    }).drop("_rows")

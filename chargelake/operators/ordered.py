@@ -68,10 +68,11 @@ def carry_forward(df: DataFrame, keys: Sequence[str], ts: str, columns: Sequence
 
 
 def with_history(df: DataFrame, keys: Sequence[str], order: Sequence[str], rows: int,
-                 columns: Sequence[str], chunk: str = "month") -> DataFrame:
+                 columns: Sequence[str], chunk: str = "year") -> DataFrame:
     """Add to every chunk the `rows` rows that precede it within its key.
 
-    `order` starts with a timestamp and must be unique per key. The copies carry the keys,
+    A chunk is worked on by one task, so `chunk` should bound its rows: hourly rows are at
+    most 8,784 a year. Chunks much larger than `rows` keep the copies few. `order` starts with a timestamp and must be unique per key. The copies carry the keys,
     the order columns and `columns` only and are marked in HISTORY.
     """
     slot = [*keys, CHUNK]
@@ -91,7 +92,8 @@ def with_history(df: DataFrame, keys: Sequence[str], order: Sequence[str], rows:
     )
     start = F.struct(F.col(CHUNK).alias("chunk"), (F.col("_end") - F.col("_size")).alias("start"))
     later = F.collect_list(start).over(by_key.rowsBetween(1, rows))
-    later = sizes.select(*slot, "_end", later.alias("_later"))
+    near = F.filter(later, lambda x: x["start"] - F.col("_end") < rows)
+    later = sizes.select(*slot, "_end", near.alias("_later")).filter(F.size("_later") > 0)
 
     reached = F.filter(
         "_later", lambda x: x["start"] - F.col("_end") + F.col("_from_end") <= rows
@@ -109,7 +111,7 @@ def with_history(df: DataFrame, keys: Sequence[str], order: Sequence[str], rows:
 
 def over_history(df: DataFrame, keys: Sequence[str], order: Sequence[str], rows: int,
                  columns: Sequence[str], build: Callable[[WindowSpec], dict[str, Column]],
-                 chunk: str = "month") -> DataFrame:
+                 chunk: str = "year") -> DataFrame:
     """Add the window columns `build` makes; they may look back at most `rows` rows.
 
     A row whose key has a null gets null, as a null belongs to no group.
@@ -130,13 +132,14 @@ def over_history(df: DataFrame, keys: Sequence[str], order: Sequence[str], rows:
 
 
 def running_total(df: DataFrame, keys: Sequence[str], chunk: str, order: str,
-                  amounts: dict[str, str]) -> DataFrame:
+                  amounts: dict[str, str], source: DataFrame | None = None) -> DataFrame:
     """Inclusive running sums per key, in the order of (chunk, order).
 
     `chunk` names a column that grows with `order`; `amounts` maps new to summed columns.
+    `source` is a table with the same sums per chunk that is cheaper to read than `df`.
     """
     slot = [*keys, chunk]
-    sums = df.groupBy(*slot).agg(*[F.sum(c).alias(n) for n, c in amounts.items()])
+    sums = (df if source is None else source).groupBy(*slot).agg(*[F.sum(c).alias(n) for n, c in amounts.items()])
     earlier = (
         Window.partitionBy(*keys).orderBy(chunk).rowsBetween(Window.unboundedPreceding, -1)
     )

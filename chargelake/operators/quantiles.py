@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from chargelake.functions.scalar import floor_time, ratio
 from chargelake.operators.ordered import running_total
+from chargelake.session import stored
 
 _VALUE, _SLOT = "_value", "_slot"
 
@@ -38,7 +39,8 @@ def values_at_ranks(df: DataFrame, column: str, ranks: dict[str, Callable[[Colum
                     slot: Callable[[Column], Column] = magnitude_slot) -> DataFrame:
     """One row per group: `rows` and, per name, the value at a zero-based rank.
 
-    Each entry of `ranks` computes the rank from the number of rows in the group.
+    Each entry of `ranks` computes the rank from the number of rows in the group. The
+    input is read twice, the first time at once.
     """
     by = list(by)
     rows = _values(df, column, by, slot)
@@ -56,7 +58,10 @@ def values_at_ranks(df: DataFrame, column: str, ranks: dict[str, Callable[[Colum
         "_wanted", F.filter(wanted, lambda w: inside(w, F.col("_start"), F.col("_end")))
     ).filter(F.size("_wanted") > 0).select(*by, _SLOT, "_start", "_wanted", "rows")
 
-    # sizes of both sides are only known at run time: adaptive execution picks the join
+    # Stored, the wanted slots have a known size: with few groups they are broadcast, and
+    # no more than the values of those slots is shuffled; with many groups they are joined
+    # by key, where adaptive execution splits a crowded slot.
+    targets = stored(targets, "ranks")
     counted = (
         rows.join(targets, [*by, _SLOT])
         .groupBy(*by, _SLOT, _VALUE, "_start", "rows", "_wanted")
@@ -152,6 +157,6 @@ def winsorise(df: DataFrame, column: str, share: float, by: Sequence[str] = ())
     if not by:
         return df.withColumn(column, bound(caps.scalar()))
     return (
-        df.join(caps, list(by), "left")
+        df.join(stored(caps, "caps"), list(by), "left")
         .withColumn(column, bound(F.col("_cap"))).select(*df.columns)
     )

@@ -19,7 +19,7 @@ from chargelake.session import stored
 REGRESSORS = {"gradient_boosting": gradient_boosting, "random_forest": random_forest}
 
 
-def engineer_features(merged: DataFrame, chunk: str = "month") -> DataFrame:
+def engineer_features(merged: DataFrame, chunk: str = "year") -> DataFrame:
     return build_features(merged, chunk)
 
 

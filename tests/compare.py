@@ -41,10 +41,22 @@ def duck_rows(sql, folder):
     return [columns[i] for i in order], sorted(rows, key=repr), types
 
 
+# DuckDB type -> Spark types that count as the same
+SAME_TYPE = {
+    "BIGINT": {"bigint"}, "INTEGER": {"int"}, "DOUBLE": {"double"}, "VARCHAR": {"string"},
+    "TIMESTAMP": {"timestamp_ntz"}, "DATE": {"date"}, "BOOLEAN": {"boolean"},
+}
+
+
 def difference(df, sql, folder):
     """None when names and rows agree, else a short description."""
     names, left = spark_rows(df)
-    other, right, _ = duck_rows(sql, folder)
+    other, right, types = duck_rows(sql, folder)
+    kinds = dict(df.dtypes)
+    odd = {c: (kinds[c], t) for c, t in types.items()
+           if c in kinds and kinds[c] not in SAME_TYPE.get(t, ())}
+    if odd:
+        return f"types {odd}"
     if names != other:
         return f"columns {names} != {other}"
     if len(left) != len(right):
