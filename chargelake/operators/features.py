@@ -199,10 +199,11 @@ def add_session_overlap(df: DataFrame, station: str = "station_id",
     totals = running_total(
         instants, [station], CHUNK, "at", {"all_starts": "starts", "all_ends": "ends"}, moments
     )
-    before_end = totals.select(
+    before_end = totals.filter("ends > 0").select(
         station, F.col("at").alias(end), (F.col("all_starts") - F.col("starts")).alias("_started")
     )
-    by_start = totals.select(station, F.col("at").alias(start), F.col("all_ends").alias("_ended"))
+    by_start = totals.filter("starts > 0").select(
+        station, F.col("at").alias(start), F.col("all_ends").alias("_ended"))
     overlap = F.when(both, F.col("_started") - F.col("_ended") - 1)
     return (
         df.join(before_end, [station, end], "left")
