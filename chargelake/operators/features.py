@@ -106,35 +106,42 @@ def _keys(df: DataFrame, station: str | None) -> list[str]:
     return [station] if station and station in df.columns else []
 
 
+def _usual_chunk(keys: Sequence[str]) -> str:
+    """A year of hourly rows of one station, or an hour of all stations together."""
+    return "year" if keys else "hour"
+
+
 def add_lags(df: DataFrame, target: str = "energy_kwh", lags: Sequence[int] = config.LAGS,
              station: str | None = "station_id", order: Sequence[str] = ("timestamp",),
-             chunk: str = "year") -> DataFrame:
+             chunk: str | None = None) -> DataFrame:
     """Value n rows earlier, per station or over the whole table."""
+    keys = _keys(df, station)
     return over_history(
-        df, _keys(df, station), order, max(lags), [target],
-        lambda window: _lags(target, lags, window), chunk,
+        df, keys, order, max(lags), [target],
+        lambda window: _lags(target, lags, window), chunk or _usual_chunk(keys),
     )
 
 
 def add_rolling(df: DataFrame, targets: Sequence[str] = ("energy_kwh",),
                 sizes: Sequence[int] = config.ROLLING_ROWS,
                 station: str | None = "station_id", order: Sequence[str] = ("timestamp",),
-                chunk: str = "year") -> DataFrame:
+                chunk: str | None = None) -> DataFrame:
     """Mean over the last n rows, the current one included; shorter at the start."""
     present = [c for c in targets if c in df.columns]
     if not present:
         return df
     _check_rolling_names(present)
+    keys = _keys(df, station)
     return over_history(
-        df, _keys(df, station), order, max(max(sizes) - 1, 1), present,
-        lambda window: _rolling(present, sizes, window), chunk,
+        df, keys, order, max(max(sizes) - 1, 1), present,
+        lambda window: _rolling(present, sizes, window), chunk or _usual_chunk(keys),
     )
 
 
 def add_lags_and_rolling(df: DataFrame, target: str = "energy_kwh",
                          targets: Sequence[str] = ("energy_kwh", "charger_utilization_rate"),
                          station: str | None = "station_id",
-                         order: Sequence[str] = ("timestamp",), chunk: str = "year",
+                         order: Sequence[str] = ("timestamp",), chunk: str | None = None,
                          rows_per_hour: str | None = None) -> DataFrame:
     """Lags and rolling means from one window over one shuffle.
 
@@ -155,12 +162,14 @@ def add_lags_and_rolling(df: DataFrame, target: str = "energy_kwh",
                 F.col(order[0]).isNotNull(), F.count(own).over(hour))
         return columns
 
-    return over_history(df, keys, order, max(config.LAGS), [target, *present], build, chunk)
+    return over_history(
+        df, keys, order, max(config.LAGS), [target, *present], build,
+        chunk or _usual_chunk(keys))
 
 
 def sequence_windows(df: DataFrame, features: Sequence[str], target: str,
                      rows: int = config.SEQUENCE_ROWS, station: str | None = "station_id",
-                     order: Sequence[str] = ("timestamp",), chunk: str = "year") -> DataFrame:
+                     order: Sequence[str] = ("timestamp",), chunk: str | None = None) -> DataFrame:
     """The feature vectors of the `rows` rows before each row, with its target.
 
     Only rows with a full window are kept.
@@ -171,7 +180,7 @@ def sequence_windows(df: DataFrame, features: Sequence[str], target: str,
     out = over_history(
         base, keys, order, rows, ["_vector"],
         lambda window: {"sequence": F.collect_list("_vector").over(window.rowsBetween(-rows, -1))},
-        chunk,
+        chunk or _usual_chunk(keys),
     )
     return out.filter(F.size("sequence") == rows).drop("_vector")
 

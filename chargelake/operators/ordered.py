@@ -71,8 +71,9 @@ def with_history(df: DataFrame, keys: Sequence[str], order: Sequence[str], rows:
                  columns: Sequence[str], chunk: str = "year") -> DataFrame:
     """Add to every chunk the `rows` rows that precede it within its key.
 
-    A chunk is worked on by one task, so `chunk` should bound its rows: hourly rows are at
-    most 8,784 a year. Chunks much larger than `rows` keep the copies few. `order` starts with a timestamp and must be unique per key. The copies carry the keys,
+    A chunk is worked on by one task, so `chunk` should bound its rows: the hourly rows of
+    a station are at most 8,784 a year. Chunks much larger than `rows` keep the copies few.
+    `order` starts with a timestamp and must be unique per key. The copies carry the keys,
     the order columns and `columns` only and are marked in HISTORY.
     """
     slot = [*keys, CHUNK]
@@ -139,7 +140,8 @@ def running_total(df: DataFrame, keys: Sequence[str], chunk: str, order: str,
     `source` is a table with the same sums per chunk that is cheaper to read than `df`.
     """
     slot = [*keys, chunk]
-    sums = (df if source is None else source).groupBy(*slot).agg(*[F.sum(c).alias(n) for n, c in amounts.items()])
+    sums = (df if source is None else source).groupBy(*slot).agg(
+        *[F.sum(c).alias(n) for n, c in amounts.items()])
     earlier = (
         Window.partitionBy(*keys).orderBy(chunk).rowsBetween(Window.unboundedPreceding, -1)
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 from chargelake.operators.demand import (
     evaluate_all, gradient_boosting, model_features, prepare, random_forest, train,
