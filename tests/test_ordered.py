@@ -142,7 +142,8 @@ def test_queue_and_occupancy(spark):
          (None, START), ("A", None)] + [("B", START)] * 12,
         "station_id STRING, timestamp TIMESTAMP_NTZ")
     queue = features.add_queue_length(df).collect()
-    assert sorted([r["queue_length_proxy"] for r in queue if r["station_id"] == "A" and r["timestamp"]]) == [0, 1, 1]
+    at_a = [r["queue_length_proxy"] for r in queue if r["station_id"] == "A" and r["timestamp"]]
+    assert sorted(at_a) == [0, 1, 1]
     assert {r["queue_length_proxy"] for r in queue if r["station_id"] == "B"} == {11}
     assert [r["queue_length_proxy"] for r in queue if not r["station_id"] or not r["timestamp"]] == [None, None]
     dense = features.add_occupancy_density(df).collect()
