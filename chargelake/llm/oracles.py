@@ -1,3 +1,221 @@
-"""DuckDB SQL of the queries that SQL can express on whole tables."""
+"""DuckDB SQL of the queries that SQL can express on whole tables.
 
-ORACLES: dict[str, str] = {}
+Not expressed: 3 (tokenizer), 4 (XXH64), 5 and 9 (learned models), the pipeline. Tests hold
+brute-force versions of those.
+"""
+
+_WORD = r"'[^\x20\x09-\x0D]+'"
+
+_OP1 = rf"""
+WITH w AS (SELECT doc_id, coalesce(regexp_extract_all(text, {_WORD}), []) AS words FROM documents),
+starts AS (SELECT doc_id, unnest(generate_series(1, len(words) - 34)) AS i, words FROM w
+           WHERE len(words) >= 35),
+keyed AS (SELECT doc_id, i, md5(array_to_string(words[i:i + 34], ' ')) AS k FROM starts),
+again AS (SELECT k FROM keyed GROUP BY k HAVING count(*) > 1),
+hits AS (SELECT doc_id, i FROM keyed WHERE k IN (SELECT k FROM again)),
+each AS (SELECT doc_id, unnest(words) AS word, unnest(generate_series(1, len(words))) AS i FROM w),
+marked AS (SELECT e.doc_id, e.word, e.i, coalesce(max(CASE WHEN h.i IS NULL THEN 0 ELSE 1 END) OVER (
+             PARTITION BY e.doc_id ORDER BY e.i ROWS BETWEEN 34 PRECEDING AND CURRENT ROW), 0) AS gone
+           FROM each e LEFT JOIN hits h ON e.doc_id = h.doc_id AND e.i = h.i),
+kept AS (SELECT doc_id, sum(gone)::BIGINT AS n_removed,
+                coalesce(string_agg(word, ' ' ORDER BY i) FILTER (WHERE gone = 0), '') AS rest
+         FROM marked GROUP BY doc_id)
+SELECT w.doc_id, len(words)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed,
+       sha256(coalesce(rest, '')) AS kept_sha256
+FROM w LEFT JOIN kept ON w.doc_id = kept.doc_id
+"""
+
+_OP2 = """
+WITH RECURSIVE v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings),
+good AS (SELECT * FROM v WHERE e IS NOT NULL
+         AND len(list_filter(e, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+         AND len(list_filter(e, lambda x: x <> 0)) > 0),
+pairs AS MATERIALIZED (SELECT a.vec_id AS x, b.vec_id AS y FROM good a JOIN good b
+          ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.e, b.e) >= 0.95),
+reach(x, y) AS (SELECT vec_id, vec_id FROM v
+                UNION SELECT r.x, p.y FROM reach r JOIN pairs p ON r.y = p.x),
+low AS (SELECT x, min(y) AS component_id FROM reach GROUP BY x),
+degree AS (SELECT x, count(*) AS n FROM pairs GROUP BY x)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept
+FROM v JOIN low ON v.vec_id = low.x LEFT JOIN degree ON degree.x = v.vec_id
+"""
+
+
+def _unescaped(text: str) -> str:
+    for entity, character in (("&nbsp;", "' '"), ("&lt;", "'<'"), ("&gt;", "'>'"),
+                              ("&quot;", "'\"'"), ("&#39;", "''''"), ("&amp;", "'&'")):
+        text = f"replace({text}, '{entity}', {character})"
+    return text
+
+
+def _tidy(text: str) -> str:
+    text = rf"regexp_replace({text}, '[ \t\r\f]+', ' ', 'g')"
+    text = rf"regexp_replace({text}, ' ?\n[ \n]*', chr(10), 'g')"
+    return rf"regexp_replace({text}, '^[ \n]+|[ \n]+$', '', 'g')"
+
+
+def _record_id(kind: str, *parts: str) -> str:
+    digest = f"md5(concat_ws('|', {kind}, {', '.join(parts)}))"
+    cuts = ", ".join(f"substr({digest}, {at}, {n})"
+                     for at, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12)))
+    return f"('<urn:uuid:' || concat_ws('-', {cuts}) || '>')"
+
+
+_HIDDEN = r"(?is)<(?:script|style)\b[^>]*>.*?</(?:script|style)\s*>|<!--.*?-->|<!doctype[^>]*>"
+_BREAKS = (r"(?i)</?(?:p|br|div|h[1-6]|li|ul|ol|tr|table|article|section|nav|header|footer|title"
+           r"|head|body|html|blockquote|pre)\b[^>]*>")
+_text = rf"regexp_replace(html, '{_HIDDEN}', ' ', 'g')"
+_text = rf"regexp_replace({_text}, '\n', ' ', 'g')"
+_text = f"regexp_replace({_text}, '{_BREAKS}', chr(10), 'g')"
+_text = _tidy(_unescaped(f"regexp_replace({_text}, '<[^>]*>', '', 'g')"))
+_title = r"regexp_replace(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title', 1), '\n', ' ', 'g')"
+_links = r"""regexp_extract_all(html, '(?i)<a\s[^>]*?href\s*=\s*["'']([^"'']*)["'']', 1)"""
+_NL = "(chr(13) || chr(10))"
+
+_OP6 = f"""
+WITH r AS (SELECT coalesce(html, '') AS html, coalesce(url, '') AS target_uri,
+       {_record_id("'response'", "coalesce(page_id::VARCHAR, '')", "coalesce(url, '')")} AS refers_to,
+       strftime(TIMESTAMP '2024-01-01 00:00:00' + to_seconds(coalesce(page_id, 0)),
+                '%Y-%m-%dT%H:%M:%SZ') AS warc_date,
+       'Content-Length: ' || strlen(coalesce(html, '')) AS length_line
+  FROM pages),
+d AS (SELECT *, 'sha256:' || sha256(html) AS source_payload_digest,
+       'sha256:' || sha256('HTTP/1.1 200 OK' || {_NL} || 'Content-Type: text/html; charset=utf-8'
+         || {_NL} || length_line || {_NL} || {_NL} || html) AS source_block_digest FROM r),
+made AS (
+  SELECT *, 'metadata' AS record_type, 'application/warc-fields' AS content_type,
+    'title: ' || {_tidy(_unescaped(_title))} || {_NL}
+    || coalesce(array_to_string(list_transform({_links}, lambda x:
+         'outlink: ' || {_unescaped('x')} || {_NL}), ''), '')
+    || 'source-payload-digest: ' || source_payload_digest || {_NL}
+    || 'source-block-digest: ' || source_block_digest || {_NL}
+    || 'source-header: HTTP/1.1 200 OK' || {_NL}
+    || 'source-header: Content-Type: text/html; charset=utf-8' || {_NL}
+    || 'source-header: ' || length_line || {_NL} AS block FROM d
+  UNION ALL
+  SELECT *, 'conversion', 'text/plain; charset=utf-8', {_text} FROM d),
+named AS (SELECT {_record_id('record_type', 'refers_to')} AS record_id, record_type, refers_to,
+    target_uri, warc_date, content_type, strlen(block)::BIGINT AS content_length,
+    'sha256:' || sha256(block) AS block_digest, source_payload_digest, source_block_digest, block
+  FROM made)
+SELECT *, 'WARC/1.1' || {_NL} || 'WARC-Type: ' || record_type || {_NL}
+  || 'WARC-Record-ID: ' || record_id || {_NL} || 'WARC-Refers-To: ' || refers_to || {_NL}
+  || 'WARC-Target-URI: ' || target_uri || {_NL} || 'WARC-Date: ' || warc_date || {_NL}
+  || 'WARC-Block-Digest: ' || block_digest || {_NL} || 'Content-Type: ' || content_type || {_NL}
+  || 'Content-Length: ' || content_length || {_NL} || {_NL} AS warc_header
+FROM named
+"""
+
+_OP7 = r"""
+WITH t AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+n AS (SELECT doc_id, text, length(text) AS n_chars, coalesce(
+        lead(text) OVER (ORDER BY doc_id),
+        first_value(text) OVER (ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING
+                                AND UNBOUNDED FOLLOWING)) AS next FROM t),
+e AS (SELECT *, substr(text, 1, n_chars - n_chars // 4) || substr(next, 1, n_chars // 4) AS edited
+      FROM n),
+texts AS (SELECT doc_id, 'own' AS kind, text AS s FROM e UNION ALL
+          SELECT doc_id, 'edited', edited FROM e UNION ALL SELECT doc_id, 'next', next FROM e),
+hashed AS (SELECT doc_id, kind, coalesce(array_to_string(list_transform(
+             regexp_extract_all(s, '[^.!?\n]{1,96}[.!?\n]*|[.!?\n]+'),
+             lambda p: md5(p) || CASE WHEN substr(md5(p), 32, 1) IN ('0', '8') THEN ';' ELSE '' END),
+             ''), '') AS joined FROM texts),
+prints AS (SELECT doc_id, kind, substr(sha256(array_to_string(list_transform(
+             string_split(rtrim(joined, ';'), ';'), lambda s: md5(s)), '')), 1, 32) || ':'
+             || regexp_replace(joined, '([0-9a-f]{8})[0-9a-f]{24}', '\1', 'g') AS print
+           FROM hashed),
+wide AS (SELECT doc_id, max(print) FILTER (WHERE kind = 'own') AS own,
+                max(print) FILTER (WHERE kind = 'edited') AS edited_print,
+                max(print) FILTER (WHERE kind = 'next') AS next_print FROM prints GROUP BY doc_id),
+sets AS (SELECT *, list_distinct(regexp_extract_all(substr(own, 34), '[0-9a-f]{8}')) AS a,
+                list_distinct(regexp_extract_all(substr(edited_print, 34), '[0-9a-f]{8}')) AS b,
+                list_distinct(regexp_extract_all(substr(next_print, 34), '[0-9a-f]{8}')) AS c
+         FROM wide)
+SELECT doc_id, n_chars::BIGINT AS n_chars, sha256(edited) AS edited_sha256, own AS fingerprint,
+       edited_print AS edited_fingerprint,
+       CASE WHEN own = edited_print THEN 1.0::DOUBLE WHEN len(a) + len(b) = 0 THEN 0.0::DOUBLE
+            ELSE 2.0::DOUBLE * len(list_intersect(a, b)) / (len(a) + len(b)) END AS near_edited,
+       CASE WHEN own = next_print THEN 1.0::DOUBLE WHEN len(a) + len(c) = 0 THEN 0.0::DOUBLE
+            ELSE 2.0::DOUBLE * len(list_intersect(a, c)) / (len(a) + len(c)) END AS near_next
+FROM sets JOIN e USING (doc_id)
+"""
+
+_OP8 = rf"""
+WITH s AS (SELECT doc_id, source, coalesce(len(regexp_extract_all(text, {_WORD})), 0)::BIGINT AS size
+           FROM documents),
+t AS (SELECT source, sum(size)::BIGINT AS total, row_number() OVER (ORDER BY source NULLS LAST) - 1
+        AS place FROM s GROUP BY source),
+w AS (SELECT *, [5, 2, 1][(place % 3 + 1)::INT] AS weight, total * 3 AS stop FROM t),
+l AS (SELECT *, (sum(total) OVER () - coalesce(sum(stop) OVER (ORDER BY stop / weight, place
+        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) / sum(weight) OVER (
+        ORDER BY stop / weight, place ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS lev
+      FROM w),
+f AS (SELECT *, (SELECT lev FROM l x WHERE stop / weight > lev ORDER BY stop / weight, place LIMIT 1)
+        AS final FROM l),
+g AS (SELECT source, total, least(stop::DOUBLE, coalesce(final * weight, stop::DOUBLE)) AS target
+      FROM f),
+p AS (SELECT s.doc_id, s.size, total, floor(target + 0.5)::BIGINT AS quota, coalesce(sum(size) OVER (
+        PARTITION BY s.source ORDER BY md5(concat_ws(':', doc_id::VARCHAR, 'mix')), doc_id
+        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS a
+      FROM s JOIN g ON s.source IS NOT DISTINCT FROM g.source WHERE size > 0),
+k AS (SELECT doc_id, sum(greatest(least(a + size + e * total, quota) - (a + e * total), 0))::BIGINT
+        AS taken FROM p, (VALUES (0), (1), (2)) epochs(e) GROUP BY doc_id)
+SELECT s.doc_id, s.source, s.size, g.total AS source_size, g.target,
+       coalesce(k.taken, 0)::BIGINT AS taken
+FROM s JOIN g ON s.source IS NOT DISTINCT FROM g.source LEFT JOIN k ON s.doc_id = k.doc_id
+"""
+
+_HEX = "(instr('0123456789abcdef', substr(md5(pattern), {0}, 1)) - 1)"
+_first, _off = f"({_HEX.format(2)} * 2)", f"({_HEX.format(2)} * 2 + 1 + {_HEX.format(3)})"
+_start = "TIMESTAMP '2024-01-01 00:00:00'"
+_host = r"regexp_extract(lower(url), '^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)', 1)"
+
+_OP10 = rf"""
+WITH c AS (SELECT page_id, url, {_start} + to_seconds((page_id * 7919) % 2592000) AS fetched,
+             coalesce({_host}, '') AS host,
+             string_split({_host}, '.') AS labels,
+             list_filter(string_split(regexp_extract(url,
+               '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*(/[^?#]*)', 1), '/'), lambda x: x <> '') AS parts
+           FROM pages),
+asked AS (SELECT page_id, fetched, unnest(list_distinct(list_concat(
+            list_transform(generate_series(1, greatest(len(labels) - 1, 1)),
+                           lambda i: array_to_string(labels[i:], '.')),
+            list_transform(generate_series(1, len(parts)),
+                           lambda i: host || '/' || array_to_string(parts[1:i], '/'))))) AS pattern
+          FROM c WHERE host <> ''),
+named AS (SELECT DISTINCT pattern, len(pattern) - len(replace(pattern, '/', '')) AS slashes,
+            len(split_part(pattern, '/', 1)) - len(replace(split_part(pattern, '/', 1), '.', '')) AS dots
+          FROM asked),
+hosts AS (SELECT pattern FROM named WHERE slashes = 0 AND dots > 1 AND {_HEX.format(1)} < 8),
+entries AS (
+  SELECT 'hosts' AS list, pattern, 'block' AS action, {_start} + to_days({_first}::INT) AS dated
+    FROM hosts
+  UNION ALL SELECT 'hosts', pattern, 'remove', {_start} + to_days({_off}::INT) FROM hosts
+    WHERE {_HEX.format(4)} < 8
+  UNION ALL SELECT 'hosts', pattern, 'block', {_start} + to_days(({_off} + 3)::INT) FROM hosts
+    WHERE {_HEX.format(4)} < 8 AND {_HEX.format(5)} < 8
+  UNION ALL SELECT 'sections', pattern, 'allow', {_start} + to_days({_first}::INT) FROM named
+    WHERE slashes = 1 AND {_HEX.format(1)} < 4
+  UNION ALL SELECT 'domains', pattern, 'review', {_start} + to_days({_first}::INT) FROM named
+    WHERE slashes = 0 AND dots = 1 AND {_HEX.format(1)} < 12),
+spans AS (SELECT list, pattern, action, dated AS valid_from,
+            lead(dated) OVER (PARTITION BY list, pattern ORDER BY dated) AS valid_to FROM entries),
+active AS (SELECT a.page_id, s.* FROM asked a JOIN spans s ON a.pattern = s.pattern
+             AND s.action <> 'remove' AND a.fetched >= s.valid_from
+             AND (s.valid_to IS NULL OR a.fetched < s.valid_to)),
+ranked AS (SELECT *, count(*) OVER (PARTITION BY page_id) AS n, row_number() OVER (
+             PARTITION BY page_id ORDER BY length(pattern) DESC, valid_from DESC, action, list) AS r
+           FROM active)
+SELECT c.page_id, c.url, c.fetched, c.host, coalesce(n, 0)::BIGINT AS n_active,
+       coalesce(action, 'unlisted') AS verdict, list, pattern, valid_from, valid_to
+FROM c LEFT JOIN ranked ON c.page_id = ranked.page_id AND r = 1
+"""
+
+ORACLES: dict[str, str] = {
+    "op1_substring_dedup": _OP1,
+    "op2_embedding_dedup": _OP2,
+    "op6_warc": _OP6,
+    "op7_fingerprints": _OP7,
+    "op8_mixing": _OP8,
+    "op10_url_lists": _OP10,
+}

@@ -45,7 +45,7 @@ def _windows(words: Words, powers: Powers, threshold: int, gram: int):
 
 
 def anchors(docs: DataFrame, threshold: int, gram: int) -> DataFrame:
-    """id, key, anchor: every anchor of every document, once for each place."""
+    """id, key, anchor, places: every anchor of every document and how often it is there."""
     width = threshold - gram + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -61,11 +61,21 @@ def anchors(docs: DataFrame, threshold: int, gram: int) -> DataFrame:
                 bound[width - 1:width - 1 + len(least)] = np.where(whole, least, 0)
                 chosen = np.flatnonzero(sliding(bound, width, np.maximum) == grams)
                 of = np.searchsorted(words.first, chosen, side="right") - 1
+                gram_of = grams[chosen]
+                order = np.lexsort((gram_of, of))
+                of, gram_of = of[order], gram_of[order]
+                new = np.ones(len(of), bool)
+                new[1:] = (of[1:] != of[:-1]) | (gram_of[1:] != gram_of[:-1])
+                at = np.flatnonzero(new)
+                places = np.diff(np.append(at, len(of)))
+                of = pa.array(of[at])
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("id").take(pa.array(of)), part.column("key").take(pa.array(of)),
-                     pa.array(grams[chosen].view(np.int64))], ["id", "key", "anchor"])
+                    [part.column("id").take(of), part.column("key").take(of),
+                     pa.array(gram_of[at].view(np.int64)), pa.array(places.astype(np.int32))],
+                    ["id", "key", "anchor", "places"])
 
-    return keyed(docs, "text").mapInArrow(run, "id bigint, key bigint, anchor bigint")
+    return keyed(docs, "text").mapInArrow(
+        run, "id bigint, key bigint, anchor bigint, places int")
 
 
 def blocks(seeded: DataFrame, threshold: int, gram: int) -> DataFrame:
@@ -198,8 +208,8 @@ def _same_anchor(kinds: DataFrame, threshold: int) -> DataFrame:
 def repeats(docs: DataFrame, threshold: int = THRESHOLD, gram: int = GRAM) -> DataFrame:
     """id, key, spans: the maximal repeats [from, to) in words, of documents that have any."""
     found = anchors(docs, threshold, gram)
-    seeds = found.groupBy("anchor").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
-    seeded = (found.join(seeds.select("anchor"), "anchor")
+    seeds = found.groupBy("anchor").agg(F.sum("places").alias("_n")).filter("_n > 1")
+    seeded = (found.select("id", "key", "anchor").join(seeds.select("anchor"), "anchor")
               .groupBy("id", "key").agg(F.collect_set("anchor").alias("seeds")))
     # equal blocks and windows count within equal anchors, so 128 bits tell them apart
     texts = light(docs.select("doc_id", "text")).select("id", "key", "squeezed")
