@@ -71,24 +71,49 @@ class Trees:
                     shorter = self.cost[self.index[gram[1:]], j] if len(gram) > 1 else 8.0
                     self.cost[i, j] = self.escape[self.index[gram[:-1]], j] + shorter
 
-    def byte(self, gram: bytes) -> np.ndarray:
-        """Bits of the last byte after the ones before it, per language."""
-        bits = np.zeros(len(self.languages))
-        while gram:
-            i = self.index.get(gram)
-            if i is not None:
-                return bits + self.cost[i]
-            context = self.index.get(gram[:-1])
-            if context is not None:
-                bits = bits + self.escape[context]
-            gram = gram[1:]
-        return bits + 8.0
-
-    def word(self, word: bytes) -> np.ndarray:
-        text, bits = b" " + word + b" ", np.zeros(len(self.languages))
-        for end in range(2, len(text) + 1):
-            bits += self.byte(text[max(end - self.order - 1, 0):end])
-        return bits
+        # the same strings by size, as sorted numbers
+        self.tables = []
+        for size in range(order + 2):
+            rows = [(int.from_bytes(gram, "big"), i) for gram, i in self.index.items()
+                    if len(gram) == size]
+            rows.sort()
+            self.tables.append((np.array([k for k, _ in rows], np.int64),
+                                np.array([i for _, i in rows], np.int64)))
+        del self.index
+
+    def _find(self, size: int, keys: np.ndarray) -> np.ndarray:
+        """Row of each string of that size, -1 for one that no language has."""
+        table, rows = self.tables[size]
+        if not len(table):
+            return np.full(len(keys), -1)
+        at = np.minimum(np.searchsorted(table, keys), len(table) - 1)
+        return np.where(table[at] == keys, rows[at], -1)
+
+    def words(self, words: list[bytes]) -> np.ndarray:
+        """Code length in bits of each word, with the space behind it, per language."""
+        sizes = np.fromiter(map(len, words), np.int64, len(words)) + 2
+        data = np.frombuffer(b" " + b"  ".join(words) + b" ", np.uint8).astype(np.int64)
+        begins = np.cumsum(sizes) - sizes
+        place = np.arange(len(data)) - np.repeat(begins, sizes)
+        bits = np.zeros((len(data), len(self.languages)))
+        # the string that ends at each byte, of the greatest size first
+        longest = np.minimum(place + 1, self.order + 1)
+        open_ = np.flatnonzero(place > 0)
+        for size in range(self.order + 1, 0, -1):
+            now = open_[longest[open_] >= size]
+            key = np.zeros(len(now), np.int64)
+            for back in range(size):
+                key += data[now - back] << (8 * back)
+            row = self._find(size, key)
+            seen = row >= 0
+            bits[now[seen]] += self.cost[row[seen]]
+            unseen = now[~seen]
+            context = self._find(size - 1, key[~seen] >> 8)
+            known = context >= 0
+            bits[unseen[known]] += self.escape[context[known]]
+            open_ = np.concatenate([unseen, open_[longest[open_] < size]])
+        bits[open_] += 8.0
+        return np.add.reduceat(bits, begins, axis=0)
 
 
 def _word_counts(docs: DataFrame) -> DataFrame:
@@ -147,33 +172,27 @@ def identify(docs: DataFrame, trees: Trees) -> DataFrame:
         width = len(trees.languages)
         has_letter = regex.compile(letter).search
 
-        class Known(dict):
-            def __init__(self):
-                self.bits = np.zeros((1 << 12, max(width, 1)))
-
-            def __missing__(self, word: bytes) -> int:
-                i = len(self)
-                if i == len(self.bits):
-                    self.bits = np.concatenate([self.bits, np.zeros_like(self.bits)])
-                self.bits[i] = trees.word(word)
-                self[word] = i
-                return i
-
-        known = Known()
+        known: dict[bytes, int] = {}
+        table = np.zeros((0, width))
         for batch in batches:
             for part in steps(batch):
-                texts = part.column("text").to_pylist()
+                split = [text.encode().split() if text is not None and width and has_letter(text)
+                         else None for text in part.column("text").to_pylist()]
+                new = list({w for words in split if words for w in words if w not in known})
+                if len(known) + len(new) > _KNOWN_WORDS:
+                    known, table = {}, np.zeros((0, width))
+                    new = list({w for words in split if words for w in words})
+                if new:
+                    known.update(zip(new, range(len(table), len(table) + len(new))))
+                    table = np.concatenate([table, trees.words(new)])
                 named, scores = [], []
-                for text in texts:
-                    if text is None or not width or not has_letter(text):
+                for words in split:
+                    if words is None:
                         named.append(UNDETERMINED)
                         scores.append(0.0)
                         continue
-                    if len(known) > _KNOWN_WORDS:
-                        known = Known()
-                    words = text.encode().split()
                     at = np.fromiter(map(known.__getitem__, words), np.int64, len(words))
-                    bits = known.bits[at].sum(axis=0)
+                    bits = table[at].sum(axis=0)
                     best = int(bits.argmin())
                     named.append(trees.languages[best])
                     scores.append(float(1 / np.exp2(np.maximum(bits[best] - bits, -1000)).sum()))
