@@ -12,6 +12,10 @@ order; dealing the numbers round to `steps` groups balances the tiers and tokens
 
 from __future__ import annotations
 
+import json
+import os
+import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,7 +34,32 @@ STEP_TOKENS = 1 << 20
 BLOCK = 1 << 18
 #: offsets are broadcast up to this many rows (tasks times tiers), joined plainly beyond
 BROADCAST_ROWS = 50_000
-_KNOWN_WORDS = 300_000
+_KNOWN_WORDS = 600_000
+_STOPS = re.compile(rb"([a-z0-9])([.,;:!?]+)(?=\s|$)")
+
+
+def folds_case(tokenizer: str) -> bool:
+    """Whether the tokenizer lower-cases and cuts letters and digits from punctuation."""
+    with open(tokenizer, encoding="utf-8") as file:
+        settings = json.load(file)
+    steps_ = (settings.get("normalizer") or {}).get("normalizers", [])
+    cuts = (settings.get("pre_tokenizer") or {}).get("pretokenizers", [{}])
+    pattern = cuts[0].get("pattern", {}).get("Regex", "") if cuts else ""
+    return (any(s["type"] == "Lowercase" for s in steps_)
+            and pattern.endswith(r"[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"))
+
+
+def _units(text: str | None, fold: bool) -> list[bytes]:
+    """Words to encode one by one; their ids together are those of the text.
+
+    Where the tokenizer does the same itself, A-Z is lowered and a word's last stops are cut
+    off, so that fewer different words are left. Texts that might hold a special token's
+    string are left as they are.
+    """
+    data = (text or "").encode()
+    if fold and b"<|" not in data:
+        data = _STOPS.sub(rb"\1 \2", data.lower())
+    return data.split()
 
 
 def pieces(docs: DataFrame, tokenizer: str, end: int = END,
@@ -46,6 +75,8 @@ def pieces(docs: DataFrame, tokenizer: str, end: int = END,
     descending = np.array(tiers)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # one thread a task: Spark deals out the cores
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         encoder = Tokenizer.from_file(tokenizer)
@@ -57,7 +88,7 @@ def pieces(docs: DataFrame, tokenizer: str, end: int = END,
         last = np.array([end], "<u4").tobytes()
         for batch in batches:
             for some in steps(batch):
-                split = [(t or "").encode().split() for t in some.column("text").to_pylist()]
+                split = [_units(t, fold) for t in some.column("text").to_pylist()]
                 new = list({w for words in split for w in words if w not in known})
                 if len(known) + len(new) > _KNOWN_WORDS:
                     known = {}
@@ -67,7 +98,7 @@ def pieces(docs: DataFrame, tokenizer: str, end: int = END,
                     encoded = encoder.encode_batch_fast(
                         [w.decode() for w in group], add_special_tokens=False)
                     for w, e in zip(group, encoded):
-                        known[w] = np.array(e.ids, "<u4").tobytes()
+                        known[w] = array("I", e.ids).tobytes()
                 rows = []
                 for d, words in enumerate(split):
                     ids = b"".join([known[w] for w in words]) + last
@@ -91,6 +122,7 @@ def pieces(docs: DataFrame, tokenizer: str, end: int = END,
                     ["id", "key", "start", "length", "doc_tokens", "ids", "tier", "part",
                      "nth", "gaps", "tokens"])
 
+    fold = folds_case(tokenizer)
     return keyed(docs, "text").mapInArrow(
         run, "id bigint, key bigint, start bigint, length bigint, doc_tokens bigint, "
              "ids binary, tier int, part int, nth bigint, gaps bigint, tokens bigint")
