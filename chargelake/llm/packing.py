@@ -15,8 +15,11 @@ from __future__ import annotations
 import json
 import os
 import re
+import sys
 from array import array
 from collections.abc import Iterator
+from itertools import chain
+from types import ModuleType
 
 import numpy as np
 import pandas as pd
@@ -34,7 +37,8 @@ STEP_TOKENS = 1 << 20
 BLOCK = 1 << 18
 #: offsets are broadcast up to this many rows (tasks times tiers), joined plainly beyond
 BROADCAST_ROWS = 50_000
-_KNOWN_WORDS = 600_000
+#: words a worker keeps the ids of
+_KNOWN_WORDS = 800_000
 _STOPS = re.compile(rb"([a-z0-9])([.,;:!?]+)(?=\s|$)")
 
 
@@ -62,6 +66,56 @@ def _units(text: str | None, fold: bool) -> list[bytes]:
     return data.split()
 
 
+class WordIds(dict):
+    """Words to places in one flat list of token ids; `end` is the id of the empty word."""
+
+    def __init__(self, key: tuple):
+        super().__init__()
+        self.key, self.new = key, []
+        self.flat, self.stops = array("I"), array("q", [0])
+
+    def __missing__(self, word: bytes) -> int:
+        place = self[word] = len(self)
+        self.new.append(word)
+        return place
+
+    def encode(self, split: list[list[bytes]], encoder, end: int) -> tuple[bytes, list[int]]:
+        """Ids of all documents, each with `end` behind, and where each begins."""
+        if len(self) > _KNOWN_WORDS:
+            self.clear()
+            self.flat, self.stops = array("I"), array("q", [0])
+        if not self:
+            self[b""] = 0
+            self.flat.append(end)
+            self.stops.append(1)
+        counts = np.fromiter(map(len, split), np.int64, len(split))
+        words = np.fromiter(map(self.__getitem__, chain.from_iterable(split)), np.int64,
+                            int(counts.sum()))
+        new, self.new = self.new, []
+        for at in range(0, len(new), 20_000):
+            for e in encoder.encode_batch_fast(
+                    [w.decode() for w in new[at:at + 20_000]], add_special_tokens=False):
+                self.flat.extend(e.ids)
+                self.stops.append(len(self.flat))
+        words = np.insert(words, np.cumsum(counts), 0)
+        stops = np.array(self.stops)
+        sizes = (stops[1:] - stops[:-1])[words]
+        ends = np.cumsum(sizes)
+        ids = np.array(self.flat)[np.repeat(stops[words] - ends + sizes, sizes)
+                                  + np.arange(ends[-1])]
+        last = np.cumsum(counts + 1) - 1
+        return ids.astype("<u4").tobytes(), [0, *ends[last].tolist()]
+
+
+def _kept(kind: type, key: tuple):
+    """An object that later tasks of the same worker process find again."""
+    process = sys.modules.setdefault("_kept_by_worker", ModuleType("_kept_by_worker"))
+    kept = getattr(process, "word_ids", None)
+    if kept is None or kept.key != key:
+        kept = process.word_ids = kind(key)
+    return kept
+
+
 def pieces(docs: DataFrame, tokenizer: str, end: int = END,
            tiers: tuple[int, ...] = TIERS) -> DataFrame:
     """Token ids of every document plus `end`, cut into windows of the largest tier and a tail.
@@ -72,6 +126,7 @@ def pieces(docs: DataFrame, tokenizer: str, end: int = END,
     distinct word is encoded once in a task.
     """
     largest = tiers[0]
+    fold = folds_case(tokenizer)
     descending = np.array(tiers)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -81,33 +136,23 @@ def pieces(docs: DataFrame, tokenizer: str, end: int = END,
 
         encoder = Tokenizer.from_file(tokenizer)
         part = TaskContext.get().partitionId()
-        known: dict[bytes, bytes] = {}
+        known = _kept(WordIds, (tokenizer, fold, end))
         nth = np.zeros(len(tiers), np.int64)
         gaps = np.zeros(len(tiers), np.int64)
         tokens = np.zeros(len(tiers), np.int64)
-        last = np.array([end], "<u4").tobytes()
         for batch in batches:
             for some in steps(batch):
                 split = [_units(t, fold) for t in some.column("text").to_pylist()]
-                new = list({w for words in split for w in words if w not in known})
-                if len(known) + len(new) > _KNOWN_WORDS:
-                    known = {}
-                    new = list({w for words in split for w in words})
-                for at in range(0, len(new), 20_000):
-                    group = new[at:at + 20_000]
-                    encoded = encoder.encode_batch_fast(
-                        [w.decode() for w in group], add_special_tokens=False)
-                    for w, e in zip(group, encoded):
-                        known[w] = array("I", e.ids).tobytes()
+                ids, bounds = known.encode(split, encoder, end)
                 rows = []
-                for d, words in enumerate(split):
-                    ids = b"".join([known[w] for w in words]) + last
-                    total = len(ids) // 4
+                for d, (begin, stop) in enumerate(zip(bounds, bounds[1:])):
+                    total = stop - begin
                     for start in range(0, total, largest):
                         length = min(largest, total - start)
+                        own = ids[4 * (begin + start):4 * (begin + start + length)]
                         tier = int((descending >= length).sum()) - 1
-                        rows.append((d, start, length, total, ids[4 * start:4 * (start + length)],
-                                     tier, nth[tier], gaps[tier], tokens[tier]))
+                        rows.append((d, start, length, total, own, tier,
+                                     nth[tier], gaps[tier], tokens[tier]))
                         nth[tier] += 1
                         gaps[tier] += tiers[tier] - length
                         tokens[tier] += length
@@ -122,7 +167,6 @@ def pieces(docs: DataFrame, tokenizer: str, end: int = END,
                     ["id", "key", "start", "length", "doc_tokens", "ids", "tier", "part",
                      "nth", "gaps", "tokens"])
 
-    fold = folds_case(tokenizer)
     return keyed(docs, "text").mapInArrow(
         run, "id bigint, key bigint, start bigint, length bigint, doc_tokens bigint, "
              "ids binary, tier int, part int, nth bigint, gaps bigint, tokens bigint")
