@@ -26,7 +26,7 @@ ORDER = 4
 #: text a language's tree is learned from, in expectation
 SAMPLE_BYTES = 1 << 20
 UNDETERMINED = "und"
-_KNOWN_WORDS = 400_000
+_KNOWN_WORDS = 250_000
 
 
 def held_out(doc_id: str = "doc_id") -> Column:
