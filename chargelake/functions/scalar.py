@@ -85,11 +85,29 @@ def minutes_between(start: Column | str, end: Column | str) -> Column:
 
 
 def parse_time(text: Column | str) -> Column:
-    """ISO or RFC-1123 text to TIMESTAMP_NTZ; anything else becomes null."""
-    text = as_column(text)
-    # "Wed, 25 Apr 2018 11:08:04 GMT": the weekday and the zone are left out
-    rfc = F.try_to_timestamp(F.substring(text, 6, 20), F.lit("d MMM yyyy HH:mm:ss"))
-    return F.coalesce(text.try_cast("timestamp_ntz"), rfc.cast("timestamp_ntz"))
+    """ISO or RFC-1123 text to TIMESTAMP_NTZ; anything else becomes null.
+
+    Text with a zone or offset gives the time in UTC, text without one the time it names.
+    """
+    text = F.trim(as_column(text))
+
+    def utc(moment: Column) -> Column:
+        return F.convert_timezone(
+            F.current_timezone(), F.lit("UTC"), moment.cast("timestamp_ntz"))
+
+    # "Wed, 25 Apr 2018 11:08:04 GMT" without its weekday
+    rfc = F.regexp_replace(text, r"^[A-Za-z]{3}, ", "")
+    zoned = F.coalesce(
+        F.when(text.rlike(r"\d:\d.*(Z|[+-]\d\d?(:?\d\d)?| ?[A-Za-z]+(/[A-Za-z_]+)?)$"),
+               text.try_cast("timestamp")),
+        F.try_to_timestamp(rfc, F.lit("d MMM yyyy HH:mm:ss z")),
+        F.try_to_timestamp(rfc, F.lit("d MMM yyyy HH:mm:ss xx")),
+        F.try_to_timestamp(rfc, F.lit("yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]xx")),
+    )
+    plain = F.coalesce(
+        text.try_cast("timestamp_ntz"),
+        F.try_to_timestamp(rfc, F.lit("d MMM yyyy HH:mm:ss")).cast("timestamp_ntz"))
+    return F.coalesce(utc(zoned), plain)
 
 
 def time_period(hour: Column | str) -> Column:

@@ -195,8 +195,10 @@ def add_session_overlap(df: DataFrame, station: str = "station_id",
     totals over the distinct instants of a station: no pairs are formed.
     """
     edges = F.explode(F.array(
-        F.struct(F.col(start).alias("at"), F.lit(1).alias("starts"), F.lit(0).alias("ends")),
-        F.struct(F.col(end).alias("at"), F.lit(0).alias("starts"), F.lit(1).alias("ends")),
+        F.struct(F.col(start).alias("at"), F.lit(1).alias("starts"), F.lit(0).alias("ends"),
+                 F.lit(0).alias("points")),
+        F.struct(F.col(end).alias("at"), F.lit(0).alias("starts"), F.lit(1).alias("ends"),
+                 (F.col(start) >= F.col(end)).cast("int").alias("points")),
     ))
     both = F.col(start).isNotNull() & F.col(end).isNotNull()
     moments = (
@@ -204,7 +206,8 @@ def add_session_overlap(df: DataFrame, station: str = "station_id",
         .withColumn(CHUNK, time_chunk("at", chunk))
     )
     instants = moments.groupBy(station, CHUNK, "at").agg(
-        F.sum("starts").alias("starts"), F.sum("ends").alias("ends"))
+        F.sum("starts").alias("starts"), F.sum("ends").alias("ends"),
+        F.sum("points").alias("points"))
     totals = running_total(
         instants, [station], CHUNK, "at", {"all_starts": "starts", "all_ends": "ends"}, moments
     )
@@ -212,8 +215,11 @@ def add_session_overlap(df: DataFrame, station: str = "station_id",
         station, F.col("at").alias(end), (F.col("all_starts") - F.col("starts")).alias("_started")
     )
     by_start = totals.filter("starts > 0").select(
-        station, F.col("at").alias(start), F.col("all_ends").alias("_ended"))
-    overlap = F.when(both, F.col("_started") - F.col("_ended") - 1)
+        station, F.col("at").alias(start), F.col("all_ends").alias("_ended"),
+        F.col("points").alias("_points"))
+    # a session of no length is among the ends, not the starts, and so are others like it
+    itself = F.when(F.col(start) < F.col(end), F.lit(1)).otherwise(-F.col("_points"))
+    overlap = F.when(both, F.greatest(F.col("_started") - F.col("_ended") - itself, F.lit(0)))
     return (
         df.join(before_end, [station, end], "left")
         .join(by_start, [station, start], "left")

@@ -93,9 +93,10 @@ def build_grid_readings(tables: dict[str, DataFrame], index: str = "timestamp")
     measures = {k: v for k, v in schemas.GRID_MEASURES.items() if k in tables}
     if not measures:
         raise ValueError("no table of grid measures")
-    grids = [c for c in tables[next(iter(measures))].columns if c != index]
+    # every table brings the grids it has: one may lack some that another holds
     parts = {
-        name: wide_to_long(attach_calendar(tables[key], tables["time"], index), name, grids)
+        name: wide_to_long(attach_calendar(tables[key], tables["time"], index), name,
+                           [c for c in tables[key].columns if c != index])
         for key, name in measures.items()
     }
     readings = combine_measures(parts)

@@ -21,12 +21,14 @@ def _or_none(read, *args) -> DataFrame | None:
 
 
 def read_csv(spark: SparkSession, path: str, types: dict[str, str] | None = None,
-             timestamps: Sequence[str] = ()) -> DataFrame:
+             timestamps: Sequence[str] = (), multiline: bool = False) -> DataFrame:
     """CSV with header. Columns are matched by name and cast as asked; others are text.
 
-    Text that cannot be cast becomes null. No pass over the data infers types.
+    Quotes within quoted text are doubled (RFC 4180). With `multiline`, quoted text may
+    hold line breaks; a file is then read by one task. Text that cannot be cast becomes
+    null. No pass over the data infers types.
     """
-    raw = spark.read.csv(path, header=True)
+    raw = spark.read.csv(path, header=True, quote='"', escape='"', multiLine=multiline)
     wanted = dict(types or {}) | {c: "timestamp_ntz" for c in timestamps}
     return raw.withColumns(
         {c: F.col(f"`{c}`").try_cast(t) for c, t in wanted.items() if c in raw.columns}
@@ -37,8 +39,8 @@ def _raw_session_schema() -> T.StructType:
     return T._parse_datatype_string(schemas.RAW_SESSION_DDL)
 
 
-def read_sessions_csv(spark: SparkSession, path: str) -> DataFrame:
-    return read_csv(spark, path, {"kWhDelivered": "double"})
+def read_sessions_csv(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
+    return read_csv(spark, path, {"kWhDelivered": "double"}, multiline=multiline)
 
 
 def read_sessions_json(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
@@ -47,19 +49,25 @@ def read_sessions_json(spark: SparkSession, path: str, lines: bool = False) -> D
     With `lines`, one record per line: the form to use for large data, as files are split.
     Otherwise each file holds one document, an array of records, {"data": [records]} or
     an object whose values are records; files are read in parallel, a file by one task.
+    A document that is none of these, or broken off, raises an error; an empty one has no
+    rows.
     """
     schema = _raw_session_schema()
     if lines:
         rows = spark.read.schema(schema).json(path)
     else:
         record = schema.simpleString()
-        document = spark.read.text(path, wholetext=True).select(F.trim("value").alias("value"))
+        document = spark.read.text(path, wholetext=True).select(
+            F.regexp_replace("value", r"^[\s\uFEFF]+|\s+$", "").alias("value"))
         as_array = F.from_json("value", f"array<{record}>")
         as_data = F.from_json("value", f"struct<data:array<{record}>>")["data"]
         as_map = F.map_values(F.from_json("value", f"map<string,{record}>"))
         records = F.when(F.col("value").startswith("["), as_array).otherwise(
             F.coalesce(as_data, as_map))
-        rows = document.select(F.explode(records).alias("r")).select("r.*")
+        checked = F.when(F.col("value") == "", F.lit(None)).otherwise(F.coalesce(
+            records, F.raise_error(F.concat(
+                F.lit("not a document of session records: "), F.substring("value", 1, 80)))))
+        rows = document.select(F.explode(checked).alias("r")).select("r.*")
     return rows
 
 

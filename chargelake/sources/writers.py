@@ -12,7 +12,7 @@ from chargelake.sources.readers import read_stage
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").csv(path, header=True)
+    df.write.mode("overwrite").csv(path, header=True, quote='"', escape='"')
 
 
 def write_json(df: DataFrame, path: str) -> None:

@@ -95,3 +95,14 @@ def test_gain_from_zero_is_infinite(spark):
 def test_oid(spark):
     assert one(spark, s.oid_text(F.lit('{"$oid":"5a"}'))) == "5a"
     assert one(spark, s.oid_text(F.lit("5a"))) == "5a"
+
+
+@pytest.mark.parametrize("text,hour", [
+    ("2018-04-25T11:08:04+08:00", 3), ("2018-04-25T11:08:04-07:00", 18),
+    ("2018-04-25 11:08:04Z", 11), ("2018-04-25T11:08:04", 11),
+    ("Wed, 25 Apr 2018 11:08:04 GMT", 11), ("Wed, 25 Apr 2018 11:08:04 +0200", 9),
+    ("Wed, 25 Apr 2018 11:08:04", 11), ("junk", None), ("", None),
+])
+def test_parse_time_keeps_the_zone(spark, text, hour):
+    found = one(spark, s.parse_time(F.lit(text)))
+    assert (found.hour if found else None) == hour

@@ -83,3 +83,31 @@ def test_lookup_round_trip(spark, tmp_path):
     writers.save_lookup(lookup, str(tmp_path / "lookup"))
     back = writers.load_lookup(spark, str(tmp_path / "lookup"))
     assert back.exceptAll(lookup).isEmpty() and back.count() == tariff.LOOKUP_CELLS
+
+
+@pytest.mark.parametrize("text", ['[{"stationID": "S"}, {"stationID"', '{"a": {"stationID": "S"}, "meta": 3}'])
+def test_broken_json_document_raises(spark, tmp_path, text):
+    path = tmp_path / "sessions.json"
+    path.write_text(text)
+    with pytest.raises(Exception, match="session records"):
+        readers.read_sessions_json(spark, str(path)).collect()
+
+
+def test_json_document_after_white_space(spark, tmp_path):
+    path = tmp_path / "sessions.json"
+    path.write_text("\n\t " + json.dumps(RECORDS) + "\n")
+    assert readers.read_sessions_json(spark, str(path)).count() == 2
+    path.write_text("\n")
+    assert readers.read_sessions_json(spark, str(path)).count() == 0
+
+
+def test_csv_quotes_and_line_breaks(spark, tmp_path):
+    path = tmp_path / "sessions.csv"
+    path.write_text('a,b,stationID,kWhDelivered\n1,"[{""x"": 1, ""y"": ""u, v""}]",S1,2.5\n'
+                    '2,"two\nlines",S2,3.5\n')
+    rows = readers.read_sessions_csv(spark, str(path), multiline=True).collect()
+    assert [(r["b"], r["stationID"], r["kWhDelivered"]) for r in rows] == [
+        ('[{"x": 1, "y": "u, v"}]', "S1", 2.5), ("two\nlines", "S2", 3.5)]
+    frame = spark.createDataFrame([('say "hi", you', 1)], "t string, n int")
+    writers.write_csv(frame, str(tmp_path / "out"))
+    assert readers.read_csv(spark, str(tmp_path / "out"), {"n": "int"}).collect() == frame.collect()
