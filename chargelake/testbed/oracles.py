@@ -188,10 +188,10 @@ _CTE["cells"] = """
 SELECT hour, u_idx, c_idx, count(*) AS slots FROM forecast GROUP BY 1, 2, 3"""
 
 _CTE["schedule"] = """
-SELECT c.hour, c.u_idx / 10::DOUBLE AS utilization, sum(c.slots)::BIGINT AS slots,
+SELECT l.hour, l.u_idx / 10::DOUBLE AS utilization, coalesce(sum(c.slots), 0)::BIGINT AS slots,
        any_value(l.tariff_inr) AS tariff_inr
-FROM cells c JOIN lookup l ON l.hour = c.hour AND l.u_idx = c.u_idx AND l.c_idx = 0
-GROUP BY c.hour, c.u_idx"""
+FROM lookup l LEFT JOIN cells c ON l.hour = c.hour AND l.u_idx = c.u_idx WHERE l.c_idx = 0
+GROUP BY l.hour, l.u_idx"""
 
 
 def _even(value: str, digits: int) -> str:
@@ -434,7 +434,8 @@ FROM hours WINDOW w AS (PARTITION BY station_id ORDER BY timestamp)
 QUALIFY row_number() OVER w > 24"""
 
 _SQL["tariff_grid"] = """
-SELECT hour, u_idx, c_idx, slots, tariff_inr FROM cells JOIN lookup USING (hour, u_idx, c_idx)"""
+SELECT hour, u_idx, c_idx, coalesce(slots, 0)::BIGINT AS slots, tariff_inr
+FROM lookup LEFT JOIN cells USING (hour, u_idx, c_idx)"""
 
 _SQL["pricing_schedule"] = "SELECT hour, utilization, slots, tariff_inr FROM schedule"
 

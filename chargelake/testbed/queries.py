@@ -234,16 +234,17 @@ def _observed_cells(spark, sf_dir):
 
 @query
 def tariff_grid(spark, sf_dir):
-    return _observed_cells(spark, sf_dir).join(
-        F.broadcast(tariff.tariff_lookup(spark)), ["hour", "u_idx", "c_idx"])
+    cells = tariff.tariff_lookup(spark).join(
+        _observed_cells(spark, sf_dir), ["hour", "u_idx", "c_idx"], "left")
+    return cells.withColumn("slots", F.coalesce("slots", F.lit(0)))
 
 
 def _observed_schedule(spark, sf_dir):
     slots = _observed_cells(spark, sf_dir).groupBy(
         "hour", (F.col("u_idx") / 10.0).alias("utilization")).agg(F.sum("slots").alias("slots"))
-    return slots.join(
-        F.broadcast(tariff.pricing_schedule(tariff.tariff_lookup(spark))),
-        ["hour", "utilization"])
+    schedule = tariff.pricing_schedule(tariff.tariff_lookup(spark)).join(
+        slots, ["hour", "utilization"], "left")
+    return schedule.withColumn("slots", F.coalesce("slots", F.lit(0)))
 
 
 @query
