@@ -117,11 +117,6 @@ def features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return build_features(stored(merged(spark, sf_dir), "merged"), CHUNK)
 
 
-def session_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Features of the session side only: the cheaper input for reports."""
-    return build_features(stored(sessions_by_hour(spark, sf_dir), "hours"), CHUNK)
-
-
 def forecast(df: DataFrame) -> DataFrame:
     """Rolling utilisation as the prediction that pricing works from."""
     return df.withColumns({
@@ -131,7 +126,7 @@ def forecast(df: DataFrame) -> DataFrame:
 
 
 def priced(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return price_table(forecast(session_features(spark, sf_dir)))
+    return price_table(forecast(features(spark, sf_dir)))
 
 
 def deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -118,12 +118,10 @@ SELECT *, {_time('timestamp')},
 FROM {source} WINDOW w AS (PARTITION BY station_id ORDER BY timestamp)"""
 
 
-_CTE["features"] = _features("hours", """least(
-         count(timestamp) OVER (PARTITION BY station_id, timestamp) / 10::DOUBLE, 1::DOUBLE)""")
 _SHARE = "active_chargers / nullif(total_chargers, 0)"
 _OCCUPANCY = f"""coalesce(CASE WHEN {_SHARE} IS NOT NULL THEN
          greatest(least({_SHARE}, 1::DOUBLE), 0::DOUBLE) END, 0)"""
-_CTE["all_features"] = _features("merged", _OCCUPANCY)
+_CTE["features"] = _features("merged", _OCCUPANCY)
 
 
 def _index(value: str, default: str) -> str:
@@ -171,7 +169,7 @@ _CTE["all_priced"] = f"""
 SELECT f.*, coalesce(l.tariff_inr, 15::DOUBLE) AS dynamic_tariff
 FROM (SELECT *, hour_of_day AS hour,
              {_index('charger_utilization_rate', '0.5::DOUBLE')} AS u_idx, 0 AS c_idx
-      FROM all_features) f LEFT JOIN lookup l USING (hour, u_idx, c_idx)"""
+      FROM features) f LEFT JOIN lookup l USING (hour, u_idx, c_idx)"""
 
 _CTE["deliveries"] = """
 SELECT 'SUP_' || CAST(l_suppkey AS VARCHAR) AS station_id, l_shipdate AS timestamp,
@@ -714,7 +712,7 @@ SELECT station_id, timestamp, session_count, total_chargers, is_cbd, data_source
        queue_length_proxy,
        {_r(*_MERGED_VALUES, 'revenue_per_session', 'energy_cost_per_kwh', 'occupancy_density',
            *_LAG_NAMES, *_ROLLING_NAMES)}
-FROM all_features"""
+FROM features"""
 
 _SQL["pipeline_tariff"] = f"""
 SELECT {_select(_REVENUE | _UTILIZATION | _OFF_PEAK)}

@@ -227,7 +227,7 @@ def sequence_windows(spark, sf_dir):
 # tariffs
 
 def _observed_cells(spark, sf_dir):
-    rows = m.forecast(m.session_features(spark, sf_dir))
+    rows = m.forecast(m.features(spark, sf_dir))
     cells = rows.select(*[c.alias(n) for n, c in tariff.price_cell(rows).items()])
     return cells.groupBy("hour", "u_idx", "c_idx").agg(F.count(F.lit(1)).alias("slots"))
 
@@ -279,7 +279,7 @@ def single_tariff(spark, sf_dir):
 
 @query
 def predictions_join(spark, sf_dir):
-    rows = stored(m.session_features(spark, sf_dir), "features")
+    rows = stored(m.features(spark, sf_dir), "features")
     predictions = rows.filter(F.col("is_peak_hour") == 1).select(
         "station_id", "timestamp", F.col("charger_rolling_6h").alias("predicted_utilization"))
     joined = tariff.with_predictions(
@@ -456,7 +456,7 @@ def band_shares(spark, sf_dir):
 
 @query
 def correlation_matrix(spark, sf_dir):
-    return rounded(profile.correlation_matrix(m.session_features(spark, sf_dir), [
+    return rounded(profile.correlation_matrix(m.features(spark, sf_dir), [
         "energy_kwh", "charger_utilization_rate", "hour_of_day", "day_of_week", "is_weekend",
         "is_peak_hour", "revenue_per_session", "occupancy_density", "demand_lag_1",
         "energy_rolling_6h", "energy_rolling_24h"]))
@@ -496,7 +496,7 @@ def top_station_hours(spark, sf_dir):
 @query
 def chrono_split(spark, sf_dir):
     rows = demand.complete_rows(
-        stored(m.session_features(spark, sf_dir), "features"), ["demand_lag_24", "energy_kwh"])
+        stored(m.features(spark, sf_dir), "features"), ["demand_lag_24", "energy_kwh"])
     return rounded(demand.split_by_time(rows).select(
         "station_id", "timestamp", "energy_kwh", "demand_lag_24", "split"))
 
@@ -504,14 +504,14 @@ def chrono_split(spark, sf_dir):
 @query
 def position_split(spark, sf_dir):
     rows = demand.complete_rows(
-        stored(m.session_features(spark, sf_dir), "features"), ["demand_lag_24", "energy_kwh"])
+        stored(m.features(spark, sf_dir), "features"), ["demand_lag_24", "energy_kwh"])
     return rounded(demand.split_by_position(rows).select(
         "station_id", "timestamp", "energy_kwh", "demand_lag_24", "split"))
 
 
 def _naive_forecasts(spark, sf_dir):
     """The value n hours before as a forecast, for every lag n."""
-    rows = m.session_features(spark, sf_dir)
+    rows = m.features(spark, sf_dir)
     return rows.select("station_id", F.col("energy_kwh").alias("actual"), F.explode(F.array(*[
         F.struct(F.lit(f"lag_{n}").alias("model"), F.col(f"demand_lag_{n}").alias("prediction"))
         for n in (1, 2, 6, 24)])).alias("f")).select("station_id", "actual", "f.*")
@@ -530,7 +530,7 @@ def best_model(spark, sf_dir):
 @query
 def demand_forest(spark, sf_dir):
     _, table, _ = analytics.predict_demand(
-        stored(m.session_features(spark, sf_dir), "features"),
+        stored(m.features(spark, sf_dir), "features"),
         regressors={"random_forest": demand.random_forest(trees=20, depth=8)})
     return rounded(table)
 
@@ -538,14 +538,14 @@ def demand_forest(spark, sf_dir):
 @query
 def demand_gbt(spark, sf_dir):
     _, table, _ = analytics.predict_demand(
-        stored(m.session_features(spark, sf_dir), "features"),
+        stored(m.features(spark, sf_dir), "features"),
         regressors={"gradient_boosting": demand.gradient_boosting(rounds=15, step=0.2)})
     return rounded(table)
 
 
 @query
 def feature_importance(spark, sf_dir):
-    rows = stored(m.session_features(spark, sf_dir), "features")
+    rows = stored(m.features(spark, sf_dir), "features")
     names = demand.model_features(rows, "energy_kwh")
     prepared = stored(demand.prepare(rows, "energy_kwh", names), "prepared")
     model = demand.train(prepared, names, demand.random_forest(trees=20, depth=8))
