@@ -122,6 +122,7 @@ _SHARE = "active_chargers / nullif(total_chargers, 0)"
 _OCCUPANCY = f"""coalesce(CASE WHEN {_SHARE} IS NOT NULL THEN
          greatest(least({_SHARE}, 1::DOUBLE), 0::DOUBLE) END, 0)"""
 _CTE["features"] = _features("merged", _OCCUPANCY)
+_CTE["hour_features"] = _features("hours", "0::DOUBLE")
 
 
 def _index(value: str, default: str) -> str:
@@ -388,7 +389,7 @@ _SQL["occupancy_from_chargers"] = f"""
 SELECT station_id, timestamp, round({_OCCUPANCY}, 6) AS occupancy_density FROM grid_hours"""
 
 _SQL["lag_features"] = f"""
-SELECT station_id, timestamp, {_r('energy_kwh', *_LAG_NAMES)} FROM features"""
+SELECT station_id, timestamp, {_r('energy_kwh', *_LAG_NAMES)} FROM hour_features"""
 
 _SQL["lag_global"] = f"""
 SELECT station_id, timestamp, {_r('energy_kwh', *_LAG_NAMES)}
@@ -396,7 +397,7 @@ FROM (SELECT *, {_LAGS} FROM hours WINDOW w AS (ORDER BY timestamp, station_id))
 
 _SQL["rolling_features"] = f"""
 SELECT station_id, timestamp, {_r('energy_kwh', 'charger_utilization_rate', *_ROLLING_NAMES)}
-FROM features"""
+FROM hour_features"""
 
 _SQL["lag_rolling_deliveries"] = f"""
 SELECT station_id, timestamp, {_r('energy_kwh', *_LAG_NAMES, *_ROLLING_NAMES[:3])}

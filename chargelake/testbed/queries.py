@@ -413,13 +413,13 @@ def weekday_weekend_box(spark, sf_dir):
 
 @query
 def period_distribution(spark, sf_dir):
-    rows = feat.add_time_features(stored(m.sessions_by_hour(spark, sf_dir), "hours"))
+    rows = feat.add_time_features(stored(m.merged(spark, sf_dir), "hours"))
     return rounded(profile.period_distribution(rows))
 
 
 @query
 def demand_volatility(spark, sf_dir):
-    return rounded(profile.volatility(feat.add_time_features(m.sessions_by_hour(spark, sf_dir))))
+    return rounded(profile.volatility(feat.add_time_features(m.merged(spark, sf_dir))))
 
 
 @query
