@@ -99,7 +99,7 @@ def links(prints: DataFrame, distance: int = DISTANCE) -> DataFrame:
     # by number: small as the table is, its many postings are work for all tasks
     tasks = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     posted = (
-        prints.repartition(tasks, "fp").select("fp", F.explode(F.array(*[F.lit(m).cast("bigint") for m in masks]))
+        prints.repartition(tasks, F.xxhash64("fp")).select("fp", F.explode(F.array(*[F.lit(m).cast("bigint") for m in masks]))
                       .alias("positions"))
         .withColumn("bytes", F.col("fp").bitwiseAND(F.col("positions")))
     )
