@@ -14,6 +14,7 @@ from chargelake.operators.cleaning import complete_rows, numeric_columns
 from chargelake.operators.metrics import regression_metric, report
 from chargelake.operators.ordered import with_position
 from chargelake.operators.quantiles import day_slot, values_at_ranks
+from chargelake.session import ensure_checkpoint_dir
 
 SPLIT = "split"
 _HELD_OUT = "_held_out"
@@ -113,6 +114,8 @@ def train(prepared: DataFrame, features: Sequence[str], regressor: Estimator) ->
     if regressor.hasParam("validationIndicatorCol") and regressor.isSet("validationIndicatorCol"):
         rows = prepared.filter(F.col(SPLIT) != "test").withColumn(
             _HELD_OUT, F.col(SPLIT) == "validation")
+    # boosting cuts its lineage every few rounds, if there is a folder for it
+    ensure_checkpoint_dir(prepared.sparkSession)
     model = regressor.fit(scaling.transform(rows))
     return PipelineModel([*scaling.stages, model])
 

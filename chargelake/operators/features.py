@@ -228,19 +228,28 @@ def add_session_overlap(df: DataFrame, station: str = "station_id",
 
 
 def build_features(df: DataFrame, chunk: str = "year") -> DataFrame:
-    """All features of the hourly table, which is read three times: pass a stored one."""
+    """All features of the hourly table, which is read three times: pass a stored one.
+
+    A queue counted on the sessions is kept, zero where a source has none. Without one, the
+    rows per station and hour are counted here.
+    """
     if "charger_utilization_rate" not in df.columns:
         df = df.withColumn("charger_utilization_rate", charger_utilization(df))
     ts = "timestamp" if "timestamp" in df.columns else "session_start"
-    out = add_lags_and_rolling(df, order=[ts], chunk=chunk, rows_per_hour="_rows")
+    counted = "queue_length_proxy" in df.columns
+    out = add_lags_and_rolling(
+        df, order=[ts], chunk=chunk, rows_per_hour=None if counted else "_rows")
     out = add_time_features(out, ts)
+    queue = F.coalesce("queue_length_proxy", F.lit(0)) if counted else queue_of_rows()
     if {"active_chargers", "total_chargers"} <= set(out.columns):
         density = occupancy_from_chargers()
+    elif counted:
+        density = clip((queue + 1) / F.lit(10.0), 0.0, 1.0)
     else:
         density = occupancy_of_rows()
     return out.withColumns({
         "revenue_per_session": revenue(out),
         "energy_cost_per_kwh": energy_cost(out),
-        "queue_length_proxy": queue_of_rows(),
+        "queue_length_proxy": queue,
         "occupancy_density": density,
     }).drop("_rows")

@@ -10,17 +10,21 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from chargelake import config
 from chargelake.functions.scalar import floor_time, gain_percent, half_even
 from chargelake.operators.metrics import (
-    efficiency_metric, report, response_metric, revenue_metric, waiting_metric, Metric,
+    efficiency_metric, regression_metric, report, response_metric, revenue_metric,
+    waiting_metric, Metric,
 )
 
 
 def period_metrics(df: DataFrame, unit: str | None = "day", ts: str = "timestamp",
                    energy: str = "energy_kwh", by: Sequence[str] = (),
-                   utilization: str = "predicted_utilization") -> DataFrame:
+                   utilization: str = "predicted_utilization",
+                   forecast: tuple[str, str] | None = None) -> DataFrame:
     """Revenue, utilisation, waiting, efficiency and response per period and group.
 
     All metrics of a period come from the same aggregate. The table must be priced.
     Revenue, gain and utilisation are not rounded; feedback works on the exact values.
+    `forecast` names an observed column and its forecast, whose error and fit are added as
+    `demand_rmse` and `demand_r2`.
     """
     if utilization not in df.columns:
         utilization = "charger_utilization_rate"
@@ -37,8 +41,13 @@ def period_metrics(df: DataFrame, unit: str | None = "day", ts: str = "timestamp
         revenue_metric(df, energy) | waiting_metric(df) | response_metric(df)
         | efficiency_metric(df, energy=energy) | exact
     )
+    fit = []
+    if forecast:
+        all_metrics = all_metrics | regression_metric(*forecast)
+        fit = [F.col("RMSE").alias("demand_rmse"), F.col("R2").alias("demand_r2")]
     return report(df, all_metrics, groups).select(
         *groups,
+        *fit,
         "revenue_INR",
         "revenue_gain_pct",
         "avg_utilization",

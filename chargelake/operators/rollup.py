@@ -15,18 +15,23 @@ def _sum0(name: str):
 
 
 def hourly_sessions(df: DataFrame) -> DataFrame:
-    """Sessions per station and hour of their start. Rows without a key are left out."""
+    """Sessions per station and hour of their start. Rows without a key are left out.
+
+    The queue of an hour is what `add_queue_length` gives each of its sessions, and the mean
+    of `add_session_overlap` is kept where it has been added.
+    """
     if "session_start" not in df.columns:
         return df
     aggregates = [
         F.count("energy_kwh").alias("session_count"),
         _sum0("energy_kwh").alias("total_energy_kwh"),
         F.avg("energy_kwh").alias("avg_energy_kwh"),
+        F.greatest(F.count("session_start") - 1, F.lit(0)).alias("queue_length_proxy"),
     ]
-    if "session_duration_min" in df.columns:
-        aggregates.append(F.avg("session_duration_min").alias("avg_duration_min"))
-    if "charging_duration_min" in df.columns:
-        aggregates.append(F.avg("charging_duration_min").alias("avg_charging_min"))
+    means = {"session_duration_min": "avg_duration_min",
+             "charging_duration_min": "avg_charging_min",
+             "overlapping_sessions": "avg_overlapping_sessions"}
+    aggregates += [F.avg(c).alias(name) for c, name in means.items() if c in df.columns]
     out = (
         df.filter(F.col("station_id").isNotNull() & F.col("session_start").isNotNull())
         .withColumn("timestamp", floor_time("session_start", "hour"))

