@@ -55,7 +55,7 @@ def split_by_time(df: DataFrame, ts: str = "timestamp") -> DataFrame:
     """70 / 15 / 15 by exact cut-off times; rows of one instant stay together."""
     cuts = values_at_ranks(
         df, ts, {"train_end": _train_rows, "validation_end": _train_and_validation_rows},
-        slot=day_slot,
+        slot=day_slot, narrow=0,
     ).select(F.struct("train_end", "validation_end")).scalar()
     return df.withColumn(SPLIT, _label(F.col(ts), cuts["train_end"], cuts["validation_end"]))
 

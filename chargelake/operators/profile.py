@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from itertools import combinations_with_replacement
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -168,37 +167,30 @@ def band_shares(df: DataFrame, column: str = "charger_utilization_rate") -> Data
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Pearson correlation of every pair of columns, over the rows where both have a value.
 
-    Each row yields its pairs of columns, which are summed up per pair before the shuffle.
-    Moments are merged around running means, so large offsets do not cancel; a constant
-    column gives null instead of a division error.
+    Each row meets the sums once per column, not once per pair, and all sums are made before
+    the shuffle. One aggregate of all pairs would spare that, but its code gets too long to
+    be compiled well. Moments are merged around running means, so large offsets do not
+    cancel; a constant column gives null instead of a division error.
     """
     present = [c for c in columns if c in df.columns]
-    value = [F.col(c).cast("double") for c in present]
-    pairs = [
-        F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), value[i].alias("x"),
-                 value[j].alias("y"))
-        for i, j in combinations_with_replacement(range(len(present)), 2)
-    ]
-    x, y = F.col("x"), F.col("y")
-    moments = (
-        df.select(F.explode(F.array(*pairs)).alias("p")).select("p.*")
-        .groupBy("i", "j").agg(
-            F.covar_pop(x, y).alias("xy"),
-            F.stddev_pop(F.when(y.isNotNull(), x)).alias("sx"),
-            F.stddev_pop(F.when(x.isNotNull(), y)).alias("sy"),
-        )
-    )
-    r = F.when(F.col("i") == F.col("j"), F.when(F.col("sx") > 0, 1.0)).otherwise(
-        ratio("xy", F.col("sx") * F.col("sy")))
-    both_ways = F.array(
-        F.struct(F.col("i").alias("a"), F.col("j").alias("b")),
-        F.struct(F.col("j").alias("a"), F.col("i").alias("b")),
-    )
-    names = F.array(*[F.lit(c) for c in present])
+    if not present:
+        return df.sparkSession.createDataFrame([], "a STRING, b STRING, r DOUBLE")
+    values = df.select(*[F.col(c).cast("double").alias(f"v{j}") for j, c in enumerate(present)])
+    firsts = F.explode(F.array(*[
+        F.struct(F.lit(c).alias("a"), F.col(f"v{i}").alias("x")) for i, c in enumerate(present)]))
+    x, sums, cells = F.col("x"), [], []
+    for j, name in enumerate(present):
+        y = F.col(f"v{j}")
+        sums += [F.covar_pop(x, y).alias(f"xy{j}"),
+                 F.stddev_pop(F.when(y.isNotNull(), x)).alias(f"x{j}"),
+                 F.stddev_pop(F.when(x.isNotNull(), y)).alias(f"y{j}")]
+        r = ratio(f"xy{j}", F.col(f"x{j}") * F.col(f"y{j}"))
+        cells.append(F.struct(F.lit(name).alias("b"), F.when(
+            F.col("a") == name, F.when(F.col(f"x{j}") > 0, 1.0)).otherwise(r).alias("r")))
     return (
-        moments.withColumn("r", r)
-        .select(F.explode(F.array_distinct(both_ways)).alias("k"), "r")
-        .select(names[F.col("k.a")].alias("a"), names[F.col("k.b")].alias("b"), "r")
+        values.select("*", firsts.alias("f")).select(*values.columns, "f.a", "f.x")
+        .groupBy("a").agg(*sums)
+        .select("a", F.explode(F.array(*cells)).alias("c")).select("a", "c.b", "c.r")
     )
 
 

@@ -2,7 +2,8 @@
 
 Values are first counted in narrow slots that grow with the value. The slot counts, a
 small table, tell which slot holds a wanted rank, and only the values of those slots are
-looked at one by one, as counts per distinct value. No group is gathered in one task.
+looked at, in ever narrower parts and at last as counts per distinct value. Neither a group
+nor a slot of many near-equal values is gathered in one task.
 """
 
 from __future__ import annotations
@@ -13,9 +14,11 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from chargelake.functions.scalar import floor_time, ratio
 from chargelake.operators.ordered import running_total
-from chargelake.session import stored
 
-_VALUE, _SLOT = "_value", "_slot"
+_VALUE, _SLOT, _FROM = "_value", "_slot", "_from"
+_PARTS = 65_536
+# distinct values that one task puts in order
+_RUN = 10_000
 
 
 def magnitude_slot(value: Column) -> Column:
@@ -34,42 +37,56 @@ def _values(df: DataFrame, column: str, by: Sequence[str],
     return rows.withColumn(_SLOT, slot(F.col(_VALUE)))
 
 
+def _part(parts: Column) -> Column:
+    """Which of equally wide parts between `_low` and `_high` the value lies in."""
+    place = F.floor(ratio(F.col(_VALUE) - F.col("_low"), F.col("_high") - F.col("_low")) * parts)
+    return F.coalesce(F.least(place, parts - 1), F.lit(0)).cast("bigint")
+
+
 def values_at_ranks(df: DataFrame, column: str, ranks: dict[str, Callable[[Column], Column]],
                     by: Sequence[str] = (),
-                    slot: Callable[[Column], Column] = magnitude_slot) -> DataFrame:
+                    slot: Callable[[Column], Column] = magnitude_slot,
+                    narrow: int = 1) -> DataFrame:
     """One row per group: `rows` and, per name, the value at a zero-based rank.
 
-    Each entry of `ranks` computes the rank from the number of rows in the group. The
-    input is read twice, the first time at once.
+    Each entry of `ranks` computes the rank from the number of rows in the group. A slot
+    that holds a wanted rank is cut into 65,536 parts between its smallest and its
+    largest value, `narrow` times over, so near-equal values don't stay together. The input
+    is read `narrow` + 2 times: pass a stored one if it is dear.
     """
     by = list(by)
-    rows = _values(df, column, by, slot)
-    in_order = Window.partitionBy(*by).orderBy(_SLOT)
-    sizes = rows.groupBy(*by, _SLOT).agg(F.count(F.lit(1)).alias("_n")).withColumns({
-        "_end": F.sum("_n").over(in_order.rowsBetween(Window.unboundedPreceding, 0)),
-        "rows": F.sum("_n").over(Window.partitionBy(*by)),
-    })
     wanted = F.array(*[
         F.struct(F.lit(name).alias("name"), make(F.col("rows")).cast("bigint").alias("rank"))
         for name, make in ranks.items()
     ])
     inside = lambda w, first, end: (w["rank"] >= first) & (w["rank"] < end)
-    targets = sizes.withColumn("_start", F.col("_end") - F.col("_n")).withColumn(
-        "_wanted", F.filter(wanted, lambda w: inside(w, F.col("_start"), F.col("_end")))
-    ).filter(F.size("_wanted") > 0).select(*by, _SLOT, "_start", "_wanted", "rows")
-
-    # Stored, the wanted slots have a known size: with few groups they are broadcast, and
-    # no more than the values of those slots is shuffled; with many groups they are joined
-    # by key, where adaptive execution splits a crowded slot.
-    targets = stored(targets, "ranks")
-    counted = (
-        rows.join(targets, [*by, _SLOT])
-        .groupBy(*by, _SLOT, _VALUE, "_start", "rows", "_wanted")
-        .agg(F.count(F.lit(1)).alias("_n"))
-    )
-    upto = Window.partitionBy(*by, _SLOT).orderBy(_VALUE).rowsBetween(
+    # without groups there is at most one slot per rank; else the size decides
+    held = (lambda targets: targets) if by else F.broadcast
+    key, carried = [*by, _FROM, _SLOT], []
+    rows = _values(df, column, by, slot).withColumn(_FROM, F.lit(0).cast("bigint"))
+    for level in range(narrow + 1):
+        in_order = Window.partitionBy(*by, _FROM).orderBy(_SLOT)
+        sizes = rows.groupBy(*key, *carried).agg(
+            F.count(F.lit(1)).alias("_n"), F.min(_VALUE).alias("_low"),
+            F.max(_VALUE).alias("_high"))
+        if not carried:
+            carried = ["rows", "_wanted"]
+            sizes = sizes.withColumn(
+                "rows", F.sum("_n").over(Window.partitionBy(*by))).withColumn("_wanted", wanted)
+        end = F.col(_FROM) + F.sum("_n").over(in_order.rowsBetween(Window.unboundedPreceding, 0))
+        targets = (
+            sizes.withColumn("_end", end).withColumn("_start", F.col("_end") - F.col("_n"))
+            .withColumn("_wanted", F.filter(
+                "_wanted", lambda w: inside(w, F.col("_start"), F.col("_end"))))
+            .filter(F.size("_wanted") > 0).drop("_end", "_n")
+        )
+        inner = _part(F.lit(_PARTS)) if level < narrow else F.lit(0).cast("bigint")
+        rows = rows.select(*key, _VALUE).join(held(targets), key).select(
+            *by, _VALUE, F.col("_start").alias(_FROM), inner.alias(_SLOT), *carried)
+    counted = rows.groupBy(*by, _FROM, _VALUE, *carried).agg(F.count(F.lit(1)).alias("_n"))
+    upto = Window.partitionBy(*by, _FROM).orderBy(_VALUE).rowsBetween(
         Window.unboundedPreceding, 0)
-    last = F.col("_start") + F.col("_seen")
+    last = F.col(_FROM) + F.col("_seen")
     hits = (
         counted.withColumn("_seen", F.sum("_n").over(upto))
         .withColumn("_wanted", F.filter(
@@ -110,13 +127,21 @@ def quantiles(df: DataFrame, column: str, shares: dict[str, float],
 
 
 def cumulative_share(df: DataFrame, column: str) -> DataFrame:
-    """Empirical distribution: each distinct value with the share of rows up to it."""
+    """Empirical distribution: each distinct value with the share of rows up to it.
+
+    Slots of many distinct values are cut into parts between their ends.
+    """
     counts = (
         _values(df, column, [], magnitude_slot)
         .groupBy(_SLOT, _VALUE).agg(F.count(F.lit(1)).alias("rows"))
     )
     total = counts.agg(F.sum("rows")).scalar()
-    return running_total(counts, [], _SLOT, _VALUE, {"rows_up_to": "rows"}).select(
+    spans = counts.groupBy(_SLOT).agg(
+        F.ceil(F.count(F.lit(1)) / _RUN).alias("_parts"), F.min(_VALUE).alias("_low"),
+        F.max(_VALUE).alias("_high"))
+    runs = counts.join(spans, _SLOT).select(
+        _VALUE, "rows", F.struct(F.col(_SLOT), _part(F.col("_parts")).alias("part")).alias(_SLOT))
+    return running_total(runs, [], _SLOT, _VALUE, {"rows_up_to": "rows"}).select(
         F.col(_VALUE).alias(column), "rows",
         (F.col("rows_up_to") / total).alias("cumulative_share"),
     )
@@ -157,6 +182,6 @@ def winsorise(df: DataFrame, column: str, share: float, by: Sequence[str] = ())
     if not by:
         return df.withColumn(column, bound(caps.scalar()))
     return (
-        df.join(stored(caps, "caps"), list(by), "left")
+        df.join(caps, list(by), "left")
         .withColumn(column, bound(F.col("_cap"))).select(*df.columns)
     )

@@ -157,3 +157,17 @@ def test_small_profiles(spark):
     assert (summary["energy_kwh"]["non_null"], summary["energy_kwh"]["mean"]) == (3, 2.0)
     assert {r["s"]: r["rows"] for r in profile.value_counts(df, F.col("station_id"), "s").collect()} == {"A": 1, "B": 3}
     assert profile.mean_by(df, "station_id", "energy_kwh", "m").count() == 2
+
+
+def test_near_equal_values_are_not_ordered_in_one_task(spark, tmp_path):
+    """100,000 values within a tenth of a percent: exact ranks, small windows."""
+    df = spark.range(100_000).select((F.lit(1e6) + F.pmod(F.col("id") * 7919, F.lit(100_000)) / 100)
+                                     .alias("v"))
+    got = quantiles.values_at_ranks(
+        df, "v", {"low": lambda n: F.lit(0), "mid": lambda n: F.floor(n / 2)}).first()
+    assert (got["rows"], got["low"], got["mid"]) == (100_000, 1e6, 1e6 + 500.0)
+    shares = quantiles.cumulative_share(df, "v").orderBy("v").collect()
+    assert [r["cumulative_share"] for r in shares[:3]] == [1e-5, 2e-5, 3e-5]
+    assert len(shares) == 100_000 and shares[-1]["cumulative_share"] == 1.0
+    slots = df.select(quantiles.magnitude_slot(F.col("v")).alias("s")).distinct().count()
+    assert slots == 1
