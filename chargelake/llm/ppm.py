@@ -11,6 +11,7 @@ is worked out once.
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 from collections.abc import Iterator
 from math import log2
@@ -23,10 +24,16 @@ from pyspark.sql import Column, DataFrame, functions as F
 from chargelake.llm.common import steps
 
 ORDER = 4
-#: text a language's tree is learned from, in expectation
+#: text a language's tree is learned from
 SAMPLE_BYTES = 1 << 20
+#: rows that share it at least, if the language has as many
+LEAST_ROWS = 64
 UNDETERMINED = "und"
 _KNOWN_WORDS = 250_000
+_BLANKS = " \t\n\x0b\x0c\r"
+#: longest run of bytes a text taken in part counts as one word
+_PIECE = 1024
+_GOLDEN = 0.6180339887498949
 
 
 def held_out(doc_id: str = "doc_id") -> Column:
@@ -117,12 +124,24 @@ class Trees:
 
 
 def _word_counts(docs: DataFrame) -> DataFrame:
+    """How often each word occurs per lang, in the `share` of each text that is taken.
+
+    A text taken in part gives words from all over it, at steps of the golden ratio, which
+    keep time with no pattern in it, and always its first. Its very long words are pieces.
+    """
+    def taken(text: bytes, share: float) -> Iterator[bytes]:
+        pieces = (text[at:min(at + _PIECE, word.end())] for word in re.finditer(rb"\S+", text)
+                  for at in range(word.start(), word.end(), _PIECE))
+        return (piece for i, piece in enumerate(pieces) if i * _GOLDEN % 1 < share)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             seen: Counter = Counter()
-            for language, text in zip(batch.column("lang").to_pylist(),
-                                      batch.column("text").to_pylist()):
-                seen.update((language, w) for w in text.encode().split())
+            for language, text, share in zip(*[batch.column(c).to_pylist()
+                                               for c in ("lang", "text", "share")]):
+                text = text.encode()
+                seen.update((language, w)
+                            for w in (text.split() if share >= 1 else taken(text, share)))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([x[0] for x in seen], pa.string()),
                  pa.array([x[1] for x in seen], pa.binary()),
@@ -133,25 +152,49 @@ def _word_counts(docs: DataFrame) -> DataFrame:
 
 
 def train(docs: DataFrame, order: int = ORDER, sample_bytes: int = SAMPLE_BYTES) -> Trees:
-    """Trees of every non-null lang of `docs`, from whole texts of a hash sample of rows.
+    """Trees of every non-null lang of `docs` that has a text with a word, from a hash sample.
 
-    Rows are picked by a hash of id and text so that a language brings `sample_bytes` of
-    text in expectation, or all it has. That bounds what comes to the driver: the distinct
-    words of the sample. Sizes per language are counted over all rows.
+    Rows are drawn in the order of a hash of id and text, until a language has
+    `sample_bytes` or all its rows. A text counts with a LEAST_ROWS-th of that at most, so
+    as many rows are drawn at least; what is still missing when all rows are drawn comes
+    from the longer texts in proportion. Texts that count in part give words from all over
+    them. So about `sample_bytes` per language come to the driver, and no language with a
+    word is without a tree. Sizes per language are counted over all rows. Repeated rows
+    count each.
     """
-    labelled = docs.filter("lang is not null and text is not null")
-    sizes = {r["lang"]: r["size"] for r in labelled.groupBy("lang").agg(
-        F.sum(F.octet_length("text")).alias("size")).collect() if r["size"]}
+    labelled = docs.filter("lang is not null").filter(
+        F.octet_length(F.ltrim("text", F.lit(_BLANKS))) > 0)
+    size = F.octet_length("text").cast("bigint")
+    part = F.least(size, F.lit(max(1, sample_bytes // LEAST_ROWS)).cast("bigint"))
+    # 64 buckets for each power of two: one has about a hundredth of the rows before it
+    bucket = F.floor(64 * F.log2(F.shiftrightunsigned(F.xxhash64("doc_id", "text"), 1) + 1.0))
+    sizes: dict[str, list] = {}
+    for row in labelled.groupBy("lang", bucket.alias("bucket")).agg(
+            F.sum(part).alias("part"), F.sum(size).alias("size")).collect():
+        sizes.setdefault(row["lang"], []).append((row["bucket"], row["part"], row["size"]))
     if not sizes:
         return Trees({}, order)
-    share = F.create_map(*[F.lit(x) for language, size in sizes.items()
-                           for x in (language, min(1.0, sample_bytes / size))])
-    drawn = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 20)) / float(1 << 20)
-    sample = labelled.filter(drawn < F.element_at(share, F.col("lang"))).select("lang", "text")
+    last, rest = [], []
+    for language, buckets in sizes.items():
+        parts = wholes = 0
+        for at, own, whole in sorted(buckets):
+            parts, wholes = parts + own, wholes + whole
+            if parts >= sample_bytes:
+                break
+        missing = max(0, sample_bytes - parts)
+        last += [F.lit(language), F.lit(at)]
+        rest += [F.lit(language), F.lit(min(1.0, missing / (wholes - parts)) if wholes > parts
+                                        else 1.0)]
+    of = lambda values: F.element_at(F.create_map(*values), F.col("lang"))
+    sample = labelled.filter(bucket <= of(last)).select(
+        "lang", "text", ((part + (size - part) * of(rest)) / size).alias("share"))
     counts: dict[str, Counter] = {language: Counter() for language in sizes}
     for row in _word_counts(sample).collect():
         counts[row["lang"]][bytes(row["word"])] = row["n"]
-    return Trees({k: v for k, v in counts.items() if v}, order)
+    without = sorted(language for language, words in counts.items() if not words)
+    if without:
+        raise ValueError(f"no words were drawn of the languages {without}")
+    return Trees(counts, order)
 
 
 def identify(docs: DataFrame, trees: Trees) -> DataFrame:

@@ -236,6 +236,43 @@ def test_language_of_awkward_rows(docs, texts):
     assert ppm.keep_identified(docs).columns == docs.columns
 
 
+def test_every_labelled_language_is_learned_within_the_sample(spark, monkeypatch):
+    rng = random.Random(3)
+    word = lambda first: first + "".join(rng.choice("abcdefgh") for _ in range(7))
+    languages = "qrstuvwx"
+    rows = [(100 * k + i, " ".join(word(first) for _ in range(12)), first)
+            for k, first in enumerate(languages) for i in range(3)]
+    # one text with nearly all of a language's bytes, one without a blank
+    rows += [(100 * k + 50, " ".join(word(first) for _ in range(30_000)), first)
+             for k, first in enumerate(languages)]
+    rows += [(900, "y" + "z" * 400_000, "y"), (901, "yz yz", "y"), (902, " \t\n", "blank")]
+    rows += [(1000 + i, " ".join(word("m") for _ in range(100)), "m") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    learned = {}
+    real = ppm.Trees
+
+    def kept(counts, *rest):
+        learned.update(counts)
+        return real(counts, *rest)
+
+    monkeypatch.setattr(ppm, "Trees", kept)
+    limit = 1 << 14
+    trees = ppm.train(docs, sample_bytes=limit)
+    monkeypatch.undo()
+    assert trees.languages == sorted([*languages, "y", "m"])
+    for language, words in learned.items():
+        size = sum(n * (len(w) + 1) for w, n in words.items())
+        # what there is of it is used, and not much more
+        assert 0.9 * limit < size < 1.2 * limit, (language, size)
+    named = ppm.identify(docs, trees).select("row.lang", "lang_pred").collect()
+    assert all(r["lang_pred"] == (r["lang"] if r["lang"] != "blank" else "und") for r in named)
+    whole = [(i, "a b c " * 3_000, "all") for i in range(3)]
+    learned.clear()
+    monkeypatch.setattr(ppm, "Trees", kept)
+    ppm.train(spark.createDataFrame(whole, docs.schema), sample_bytes=1 << 20)
+    assert learned["all"] == Counter({w: 9_000 for w in (b"a", b"b", b"c")})
+
+
 @pytest.mark.parametrize("name,accuracy", [("language", 0.98), ("quality", 0.97)])
 def test_held_out_accuracy(spark, name, accuracy):
     folder = "/root/testdata/sf0.01"
