@@ -3,28 +3,74 @@
 Each response yields one metadata record (title, outgoing links, the source's headers and
 digests) and one conversion record (the text of its HTML). Both have identifiers of their
 own, made from the response's, name it in WARC-Refers-To, and keep its target and date.
+
+Character references are decoded once, all of HTML5's named and numeric ones, by Python's
+tables; everything else is built-in functions.
 """
 
 from __future__ import annotations
 
+import html
+import re
+from html.entities import html5
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-#: entities that are replaced, `&amp;` last so that nothing is unescaped twice
-ENTITIES = (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"),
-            ("&amp;", "&"))
+#: a reference in text, where a name may run on; the pattern of html.unescape
+REFERENCE = r"&(#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\t\n\f <&#;]{1,32};?)"
+#: in an attribute, names without a semicolon end before = and alphanumerics: ?a=1&copy=2
+REFERENCE_IN_ATTRIBUTE = (
+    r"&(#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[a-zA-Z][a-zA-Z0-9]{0,31}(?:;|(?![a-zA-Z0-9=])))")
+#: a referenced blank is one space: none makes a line of its own
+BLANK = dict.fromkeys(map(ord, "\xa0\t\n\r\f"), " ")
 HIDDEN = r"(?is)<(?:script|style)\b[^>]*>.*?</(?:script|style)\s*>|<!--.*?-->|<!doctype[^>]*>"
 BREAKS = (r"(?i)</?(?:p|br|div|h[1-6]|li|ul|ol|tr|table|article|section|nav|header|footer|title"
           r"|head|body|html|blockquote|pre)\b[^>]*>")
 TAG = r"<[^>]*>"
-LINK = r"""(?i)<a\s[^>]*?href\s*=\s*["']([^"']*)["']"""
+#: attributes before href are passed over whole; the value has its quotes
+LINK = (r"""(?i)<a(?=[\s/])(?:[\s/]*+(?!href\s*=)[^\s/=>]++"""
+        r"""(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s"'>][^\s>]*+))?+)*+"""
+        r"""[\s/]*+href\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s"'>][^\s>]*+)""")
 TITLE = r"(?is)<title[^>]*>(.*?)</title"
 CRLF = "\r\n"
 
 
+def unescaped(text: str, attribute: bool = False) -> str:
+    """Text with its character references decoded once; a no-break space becomes a space."""
+    def decoded(found: re.Match) -> str:
+        reference = found.group()
+        if reference[1] == "#":
+            # int() refuses very long numbers, which are beyond Unicode
+            digits = reference[2:].rstrip(";").lstrip("0")
+            reference = f"&#{digits or 0};" if len(digits) < 10 else "\ufffd"
+        elif attribute and reference[1:] not in html5:
+            return reference
+        out = html.unescape(reference)
+        return out[:1].translate(BLANK) + out[1:]
+
+    if "&" not in text:
+        return text
+    return re.sub(REFERENCE_IN_ATTRIBUTE if attribute else REFERENCE, decoded, text)
+
+
 def _unescaped(text: Column) -> Column:
-    for entity, character in ENTITIES:
-        text = F.replace(text, F.lit(entity), F.lit(character))
-    return text
+    @F.arrow_udf("string")
+    def run(column: pa.Array) -> pa.Array:
+        return pa.array([None if x is None else unescaped(x) for x in column.to_pylist()],
+                        pa.string())
+
+    return run(text)
+
+
+def _link_targets(values: Column) -> Column:
+    @F.arrow_udf("array<string>")
+    def run(column: pa.Array) -> pa.Array:
+        return pa.array([None if links is None else [
+            unescaped(x[1:-1] if x[0] in "\"'" else x, attribute=True) for x in links]
+            for links in column.to_pylist()], pa.list_(pa.string()))
+
+    return run(values)
 
 
 def _tidy(text: Column) -> Column:
@@ -91,24 +137,27 @@ def derivatives(source: DataFrame) -> DataFrame:
         payload.alias("payload"), header.alias("http_header"),
         sha256(payload).alias("source_payload_digest"),
         sha256(F.concat(header, payload)).alias("source_block_digest"))
-    title = _tidy(_unescaped(F.regexp_replace(F.regexp_extract("payload", TITLE, 1), r"\n", " ")))
+    raw_title = F.regexp_replace(F.regexp_extract("payload", TITLE, 1), r"\n", " ")
     links = F.regexp_extract_all("payload", F.lit(LINK), F.lit(1))
+    read = base.select(
+        "*", _tidy(_unescaped(raw_title)).alias("title"), _link_targets(links).alias("links"),
+        plain_text(F.col("payload")).alias("plain"))
     fields = F.concat(
-        F.lit("title: "), title, F.lit(CRLF),
-        F.array_join(F.transform(links, lambda x: F.concat(
-            F.lit("outlink: "), _unescaped(x), F.lit(CRLF))), ""),
+        F.lit("title: "), F.col("title"), F.lit(CRLF),
+        F.array_join(F.transform("links", lambda x: F.concat(
+            F.lit("outlink: "), x, F.lit(CRLF))), ""),
         F.lit("source-payload-digest: "), F.col("source_payload_digest"), F.lit(CRLF),
         F.lit("source-block-digest: "), F.col("source_block_digest"), F.lit(CRLF),
         # header lines of the source, each as a field
         F.array_join(F.transform(
             F.filter(F.split(F.col("http_header"), "\r?\n"), lambda x: x != ""),
             lambda x: F.concat(F.lit("source-header: "), x, F.lit(CRLF))), ""))
-    made = base.select("*", F.explode(F.array(
+    made = read.select("*", F.explode(F.array(
         F.struct(F.lit("metadata").alias("record_type"),
                  F.lit("application/warc-fields").alias("content_type"), fields.alias("block")),
         F.struct(F.lit("conversion").alias("record_type"),
                  F.lit("text/plain; charset=utf-8").alias("content_type"),
-                 plain_text(F.col("payload")).alias("block")))).alias("made"))
+                 F.col("plain").alias("block")))).alias("made"))
     named = made.select(
         record_id(F.col("made.record_type"), "source_id").alias("record_id"), "made.record_type",
         F.col("source_id").alias("refers_to"), "target_uri", "warc_date", "made.content_type",

@@ -357,6 +357,42 @@ def test_warc_derivatives(spark):
         assert f"Content-Length: {len(r['block'].encode())}" in r["warc_header"]
 
 
+def test_warc_decodes_every_reference_and_takes_every_link(spark):
+    import html
+    from html.entities import html5
+
+    blank = dict.fromkeys(map(ord, "\xa0\t\n\r\f"), " ")
+    names = [n for n in sorted(html5) if n.endswith(";")]
+    numbers = ["#169;", "#xA9;", "#X1f600;", "#128;", "#0;", "#xD800;", "#160;", "#10;", "#13;",
+               "#0000000000000000065;", "#x110000;", "#65", "copy", "notit;", "unknown;"]
+    bodies = ["".join(f"<p>[&{n}]" for n in part) for part in (names, numbers)]
+    bodies.append("<p>&amp;copy; &amp;amp;lt; &lt;b&gt; &#" + "9" * 5_000 + ";")
+    tags = ["href=/bare", "class=x href=/b?a=1&copy=2&amp;c=3&lt", "HREF = /spaced", "href=/x/",
+            """title="see href=no" href='/it"s'""", 'href="it\'s"', "data-href=no href=/yes",
+            'title="a>b" href="&#x2F;&eacute;&notit;"', 'class="c"href="/close"', "name=top",
+            "hreflang=en href=/lang", "href", "href=/one href=/two", 'href=""']
+    tags += [f'href="{"/p" * 9}{"&eacute;" * 40_000}"', "x " * 40_000 + "href=/far"]
+    bodies.append("".join(f"<a {t}>x</a>" for t in tags) + "<abbr href=/no>y</abbr>")
+    pages = spark.createDataFrame([(i, f"u{i}", f"<title>&Eacute;&#33;</title>{b}")
+                                   for i, b in enumerate(bodies)],
+                                  "page_id bigint, url string, html string")
+    rows = warc.derivatives(warc.responses(pages)).collect()
+    got = {(int(r["target_uri"][1:]), r["record_type"]): r for r in rows}
+    for i, part in enumerate((names, numbers)):
+        lines = got[i, "conversion"]["block"].split("\n")[1:]
+        assert lines == [f"[{html.unescape('&' + n).translate(blank)}]" for n in part]
+    assert got[2, "conversion"]["block"].split("\n") == ["É!", "&copy; &amp;lt; <b> �"]
+    assert all(got[i, "metadata"]["block"].startswith("title: É!\r\n") for i in range(4))
+
+    block = got[3, "metadata"]["block"]
+    links = [x[len("outlink: "):] for x in block.split("\r\n") if x.startswith("outlink: ")]
+    assert links == ["/bare", "/b?a=1&copy=2&c=3<", "/spaced", "/x/", '/it"s', "it's", "/yes",
+                     "/é&notit;", "/close", "/lang", "/one", "", "/p" * 9 + "é" * 40_000, "/far"]
+    for r in rows:
+        assert r["content_length"] == len(r["block"].encode())
+        assert r["block_digest"] == "sha256:" + hashlib.sha256(r["block"].encode()).hexdigest()
+
+
 def test_url_lists_as_of(spark):
     from datetime import datetime as at
     entries = spark.createDataFrame([
