@@ -25,8 +25,10 @@ from chargelake.llm.common import (
 
 THRESHOLD = 35
 GRAM = 8
-#: blocks of an anchor that are compared in one task
+#: blocks of an anchor that are compared in one task, and their windows: text without a period
+#: has THRESHOLD - GRAM + 1 in a block at most, a line repeated as many as the document
 KINDS = 2048
+WINDOWS = KINDS * (THRESHOLD - GRAM + 1)
 _GRAM_FACTOR = 0xD6E8FEB86659FD93
 _WINDOW_FACTOR = 0xA0761D6478BD642F
 _BLOCK_FACTOR = 0xE7037ED1A0B428DB
@@ -143,14 +145,22 @@ def light(docs: DataFrame) -> DataFrame:
     return df.mapInArrow(run, out)
 
 
+def _sized(kinds: DataFrame) -> DataFrame:
+    """`kinds` and whether their anchor is crowded: too many blocks or windows for one task."""
+    sizes = kinds.groupBy("anchor").agg(
+        ((F.count(F.lit(1)) > KINDS) | (F.sum(F.size("windows").cast("bigint")) > WINDOWS))
+        .alias("crowded"))
+    return kinds.join(sizes, "anchor")
+
+
 def _same_anchor(kinds: DataFrame, threshold: int) -> DataFrame:
     """id, key, start, stop of the repeated windows of blocks met once, by anchor.
 
-    An anchor's blocks are compared in one task each while they are at most KINDS; the
-    windows of more are counted by partial sums, so that no anchor is gathered.
+    An anchor's blocks are compared in one task each while they are at most KINDS with at
+    most WINDOWS windows; the windows of more are counted by partial sums, so that no
+    anchor is gathered.
     """
-    sizes = kinds.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds"))
-    sized = kinds.join(sizes, "anchor")
+    sized = _sized(kinds)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest: pa.Table | None = None
@@ -191,11 +201,11 @@ def _same_anchor(kinds: DataFrame, threshold: int) -> DataFrame:
             ["id", "key", "start", "stop"])
 
     columns = ["anchor", "n", "windows", "id", "key", "start"]
-    few = sized.filter(F.col("kinds") <= KINDS).select(*columns).repartition("anchor")
+    few = sized.filter("not crowded").select(*columns).repartition("anchor")
     found = few.sortWithinPartitions("anchor").mapInArrow(
         run, "id bigint, key bigint, start bigint, stop bigint")
 
-    many = sized.filter(F.col("kinds") > KINDS).select(
+    many = sized.filter("crowded").select(
         *columns, F.posexplode("windows").alias("at", "window")).drop("windows")
     twice = (many.groupBy("anchor", "window").agg(F.count(F.lit(1)).alias("_n"))
              .filter("_n > 1").select("anchor", "window"))

@@ -75,6 +75,38 @@ def test_crowded_anchors_count_windows(docs, monkeypatch):
     assert sorted(substring.remove_repeats(docs).select("kept").collect()) == usual
 
 
+def test_long_blocks_crowd_an_anchor(spark, monkeypatch):
+    # one line repeated: a block is as long as its document
+    line = "the same line again and again and once more ".split()
+    texts = [line * n + [f"end{n}"] for n in (400, 500, 600)] + [["x", "y"] * 10]
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)],
+                                 "doc_id bigint, text string")
+    seen = Counter(tuple(w[i:i + 35]) for w in texts for i in range(len(w) - 34))
+    want = []
+    for w in texts:
+        gone = [False] * len(w)
+        for i in range(len(w) - 34):
+            if seen[tuple(w[i:i + 35])] > 1:
+                gone[i:i + 35] = [True] * 35
+        want.append(" ".join(x for x, g in zip(w, gone) if not g))
+    compared, real = [], substring._same_anchor
+
+    def spied(kinds, threshold):
+        compared.append({r["anchor"]: r["n"] for r in substring._sized(kinds).filter(
+            "not crowded").groupBy("anchor").agg(
+            F.sum(F.size("windows")).alias("n")).collect()})
+        compared.append(substring._sized(kinds).filter("crowded").count())
+        return real(kinds, threshold)
+
+    monkeypatch.setattr(substring, "_same_anchor", spied)
+    for limit in (1_000, 1_000_000):
+        monkeypatch.setattr(substring, "WINDOWS", limit)
+        got = substring.remove_repeats(docs).select("row.doc_id", "kept").collect()
+        assert [k for _, k in sorted(got)] == want
+    assert max(compared[0].values(), default=0) <= 1_000 < max(compared[2].values())
+    assert compared[1] == 3 and compared[3] == 0
+
+
 def brute_print(text):
     words = [w.lower() for w in split(text)]
     shingles = ([b" ".join(words[i:i + 4]) for i in range(max(len(words) - 3, 1))] if words else [])
