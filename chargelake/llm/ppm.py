@@ -33,6 +33,7 @@ _KNOWN_WORDS = 250_000
 _BLANKS = " \t\n\x0b\x0c\r"
 #: longest run of bytes a text taken in part counts as one word
 _PIECE = 1024
+_LETTER = r"\p{L}"
 _GOLDEN = 0.6180339887498949
 
 
@@ -207,13 +208,12 @@ def identify(docs: DataFrame, trees: Trees) -> DataFrame:
     """
     # plain tables: workers need not be able to import this package
     model = docs.sparkSession.sparkContext.broadcast(vars(trees))
-    letter = r"\p{L}"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trees = Trees({})
         vars(trees).update(model.value)
         width = len(trees.languages)
-        has_letter = regex.compile(letter).search
+        has_letter = regex.compile(_LETTER).search
 
         known: dict[bytes, int] = {}
         table = np.zeros((0, width))
@@ -254,7 +254,27 @@ def language_of(docs: DataFrame, order: int = ORDER,
     return identify(docs, train(docs.filter(~held_out()), order, sample_bytes))
 
 
+def _with_letter(docs: DataFrame) -> DataFrame:
+    """The rows of `docs` whose text holds a letter."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        has_letter = regex.compile(_LETTER).search
+        for batch in batches:
+            yield batch.filter(pa.array([text is not None and has_letter(text) is not None
+                                         for text in batch.column("text").to_pylist()],
+                                        pa.bool_()))
+
+    rows = docs.select("text", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    return rows.mapInArrow(run, rows.schema).select("row.*")
+
+
 def keep_identified(docs: DataFrame, least_score: float = 0.5) -> DataFrame:
-    """The documents, unchanged, whose language is determined with at least that score."""
-    return (language_of(docs).filter(F.col("lang_pred") != UNDETERMINED)
+    """The documents, unchanged, whose language is determined with at least that score.
+
+    If nothing can be learned, as no labelled row that is not held out has a word, there is
+    no score to go by: then only null texts and texts without a letter are dropped.
+    """
+    trees = train(docs.filter(~held_out()))
+    if not trees.languages:
+        return _with_letter(docs)
+    return (identify(docs, trees).filter(F.col("lang_pred") != UNDETERMINED)
             .filter(F.col("score") >= least_score).select("row.*"))

@@ -305,6 +305,16 @@ def test_every_labelled_language_is_learned_within_the_sample(spark, monkeypatch
     assert learned["all"] == Counter({w: 9_000 for w in (b"a", b"b", b"c")})
 
 
+@pytest.mark.parametrize("labels", ["none", "held out"])
+def test_documents_stay_where_no_language_was_learned(docs, texts, labels):
+    lang = F.when(ppm.held_out(), F.col("lang")) if labels == "held out" else F.lit(None)
+    table = docs.withColumn("lang", lang.cast("string"))
+    kept = ppm.keep_identified(table)
+    assert kept.columns == docs.columns
+    want = Counter((i, t) for i, t, *_ in texts if any(c.isalpha() for c in t or ""))
+    assert Counter((r["doc_id"], r["text"]) for r in kept.collect()) == want
+
+
 @pytest.mark.parametrize("name,accuracy", [("language", 0.98), ("quality", 0.97)])
 def test_held_out_accuracy(spark, name, accuracy):
     folder = "/root/testdata/sf0.01"
