@@ -363,6 +363,29 @@ def test_embedding_links_and_recall(spark):
     assert len(got) == len(rows) + len(bad)
 
 
+def test_embedding_tables_grow_with_their_substrings(spark, monkeypatch):
+    from math import ceil, comb
+    p = np.arccos(0.95) / np.pi
+    used, real = [], itq.fit
+
+    def fit(sample, bits, *rest):
+        used.append(bits)
+        return real(sample, bits, *rest)
+
+    monkeypatch.setattr(itq, "fit", fit)
+    x = np.random.default_rng(2).standard_normal((40, 16))
+    x[20:] = x[:20] + 0.01
+    classes = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)],
+                                    "rep bigint, vector array<double>")
+    for n in (100_000, 4_000_000, 10_000_000, 100_000_000, 1_000_000_000):
+        each = min(ceil(log2(n)) + 2, 31)
+        found = itq.links(classes, 0.95, itq.TABLES, itq.SAMPLE, bits=each)
+        tables = used.pop() // each
+        missed = (1 - sum(comb(each, k) * p**k * (1 - p)**(each - k) for k in range(3)))**tables
+        assert missed < 0.01 and (tables == itq.TABLES) == (n <= 4_000_000)
+    assert {(r["a"], r["b"]) for r in found.collect()} >= {(i, i + 20) for i in range(20)}
+
+
 def test_fingerprints_and_edits(docs, texts):
     rows = merkle.fingerprinted(docs).collect()
     assert len(rows) == len(texts)
