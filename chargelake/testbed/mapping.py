@@ -62,7 +62,13 @@ def sessions_by_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def grid_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The wide matrices, their calendar and the grid dimension."""
+    """The wide matrices, their calendar and the grid dimension.
+
+    The matrices have a column for each of GRIDS; an event of another type, or of none,
+    fails the query, as it would be in no figure.
+    """
+    grid = F.when(F.col("event_type").isin(GRIDS), F.col("event_type")).otherwise(F.raise_error(
+        F.concat(F.lit("event type outside GRIDS: "), F.coalesce("event_type", F.lit("null")))))
     slot = floor_minutes("ts", 5)
     # number of five-minute steps since the start of 2024
     index = (
@@ -70,7 +76,7 @@ def grid_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         + (F.minute(slot) / 5).cast("int")
     ).cast("bigint")
     events = table(spark, sf_dir, "events").select(
-        index.alias("timestamp"), slot.alias("slot"), "event_type", "value",
+        index.alias("timestamp"), slot.alias("slot"), grid.alias("event_type"), "value",
         minutes().alias("k"),
     )
     wide = lambda measure: (
