@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 from chargelake import config
 from chargelake.functions.scalar import clip, floor_time, ratio, time_feature_columns
 from chargelake.operators.ordered import (
-    CHUNK, HISTORY, over_history, running_total, time_chunk,
+    CHUNK, HISTORY, over_history, over_recent, running_total, time_chunk,
 )
 
 
@@ -88,12 +88,15 @@ def _lags(target: str, lags: Sequence[int], window: WindowSpec) -> dict[str, Col
     return {f"demand_lag_{n}": F.lag(target, n).over(window) for n in lags}
 
 
-def _rolling(targets: Sequence[str], sizes: Sequence[int],
-             window: WindowSpec) -> dict[str, Column]:
-    return {
-        f"{c.split('_')[0]}_rolling_{n}h": F.avg(c).over(window.rowsBetween(1 - n, 0))
-        for c in targets for n in sizes
-    }
+def _rolling(targets: Sequence[str], sizes: Sequence[int], window: WindowSpec,
+             mode: str = "rows") -> dict[str, Column]:
+    def last(n: int) -> WindowSpec:
+        if mode == "range":
+            return window.rangeBetween(1 - n * 3_600_000_000, 0)
+        return window.rowsBetween(1 - n, 0)
+
+    return {f"{c.split('_')[0]}_rolling_{n}h": F.avg(c).over(last(n))
+            for c in targets for n in sizes}
 
 
 def _check_rolling_names(targets: Sequence[str]) -> None:
@@ -125,13 +128,24 @@ def add_lags(df: DataFrame, target: str = "energy_kwh", lags: Sequence[int] = co
 def add_rolling(df: DataFrame, targets: Sequence[str] = ("energy_kwh",),
                 sizes: Sequence[int] = config.ROLLING_ROWS,
                 station: str | None = "station_id", order: Sequence[str] = ("timestamp",),
-                chunk: str | None = None) -> DataFrame:
-    """Mean over the last n rows, the current one included; shorter at the start."""
+                chunk: str | None = None, mode: str = "rows") -> DataFrame:
+    """Mean over the last n rows, the current one included; shorter at the start.
+
+    With mode="range", over the rows of the last n hours instead: later than n hours before
+    the row's time, up to that time, other rows of the same time included.
+    """
+    if mode not in ("rows", "range"):
+        raise ValueError(f"unknown mode {mode!r}")
     present = [c for c in targets if c in df.columns]
     if not present:
         return df
     _check_rolling_names(present)
     keys = _keys(df, station)
+    if mode == "range":
+        return over_recent(
+            df, keys, order[0], max(sizes), present,
+            lambda window: _rolling(present, sizes, window, mode), chunk or _usual_chunk(keys),
+        )
     return over_history(
         df, keys, order, max(max(sizes) - 1, 1), present,
         lambda window: _rolling(present, sizes, window), chunk or _usual_chunk(keys),

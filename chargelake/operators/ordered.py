@@ -6,6 +6,7 @@ before it, exactly what its own rows need:
 
 * `carry_forward`: the last value of each column before the chunk (one row per chunk);
 * `with_history`: the last `rows` rows before the chunk, however many chunks they span;
+* `over_recent`: the rows of the last `hours` before the chunk, however many they are;
 * `with_position`: the number of rows in all earlier sort partitions.
 
 Windows over keys alone run on the per-chunk summaries, one row per key and chunk.
@@ -132,6 +133,45 @@ def over_history(df: DataFrame, keys: Sequence[str], order: Sequence[str], rows:
     )
 
 
+def instant(ts: str) -> Column:
+    """Microseconds of a timestamp on its own clock, whatever the session zone."""
+    at = F.col(ts).cast("timestamp_ntz")
+    seconds = (F.datediff(at, F.lit("1970-01-01")).cast("bigint") * 86_400
+               + F.hour(at) * 3_600 + F.minute(at) * 60)
+    return seconds * 1_000_000 + (F.extract(F.lit("SECOND"), at) * 1_000_000).cast("bigint")
+
+
+def over_recent(df: DataFrame, keys: Sequence[str], ts: str, hours: int, columns: Sequence[str],
+                build: Callable[[WindowSpec], dict[str, Column]],
+                chunk: str = "year") -> DataFrame:
+    """Add the window columns `build` makes; their ranges may look back less than `hours`.
+
+    The window is ordered by instant(), for rangeBetween on microseconds. A row is copied
+    to each later chunk that begins less than `hours` after it. Rows without a time, or
+    whose key has a null, get null.
+    """
+    at = F.col(ts).cast("timestamp_ntz")
+    reach = at + F.make_dt_interval(F.lit(0), F.lit(hours)) - F.expr("INTERVAL '0.000001' SECOND")
+    chunks = F.sequence(floor_time(ts, chunk), floor_time(reach, chunk),
+                        F.expr(f"INTERVAL '1' {chunk.upper()}"))
+    own = df.withColumns({CHUNK: time_chunk(ts, chunk), HISTORY: F.lit(False)})
+    history = (
+        df.filter(F.col(ts).isNotNull()).select(*dict.fromkeys([*keys, ts, *columns]))
+        .withColumn(CHUNK, F.explode(F.slice(chunks, F.lit(2), F.size(chunks))))
+        .withColumn(HISTORY, F.lit(True))
+    )
+    known = F.col(ts).isNotNull()
+    for key in keys:
+        known = known & F.col(key).isNotNull()
+    window = Window.partitionBy(*keys, CHUNK).orderBy(instant(ts))
+    return (
+        own.unionByName(history, allowMissingColumns=True)
+        .withColumns({name: F.when(known, column) for name, column in build(window).items()})
+        .filter(~F.col(HISTORY))
+        .drop(CHUNK, HISTORY)
+    )
+
+
 def running_total(df: DataFrame, keys: Sequence[str], chunk: str, order: str,
                   amounts: dict[str, str], source: DataFrame | None = None) -> DataFrame:
     """Inclusive running sums per key, in the order of (chunk, order).

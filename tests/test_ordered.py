@@ -64,6 +64,30 @@ def test_rolling_of_one_row_is_the_value(hours):
     assert got.filter("NOT energy_rolling_1h <=> energy_kwh").isEmpty()
 
 
+@pytest.mark.parametrize("chunk", ["hour", "day", "month"])
+def test_rolling_over_true_hours(spark, hours, chunk):
+    # a row a moment before and one of the same time: an open and a closed end
+    odd = [("LONE", START + dt.timedelta(days=99, hours=h, microseconds=us), float(e), 0.5)
+           for e, (h, us) in enumerate([(0, 0), (6, -1), (6, 0), (6, 0), (23, 999_999), (24, 0)])]
+    table = hours.unionByName(spark.createDataFrame(odd, hours.schema))
+    rows = table.collect()
+
+    def mean(r, n):
+        if r["station_id"] is None or r["timestamp"] is None:
+            return None
+        values = [x["energy_kwh"] for x in rows
+                  if x["station_id"] == r["station_id"] and x["timestamp"] is not None
+                  and x["energy_kwh"] is not None
+                  and r["timestamp"] - dt.timedelta(hours=n) < x["timestamp"] <= r["timestamp"]]
+        return round(sum(values) / len(values), 6) if values else None
+
+    want = sorted((tuple(r) + tuple(mean(r, n) for n in (1, 6, 24)) for r in rows), key=repr)
+    got = features.add_rolling(table, sizes=[1, 6, 24], chunk=chunk, mode="range")
+    assert got.columns == [*table.columns, *[f"energy_rolling_{n}h" for n in (1, 6, 24)]]
+    assert sorted((tuple(r)[:4] + tuple(None if v is None else round(v, 6) for v in tuple(r)[4:])
+                   for r in got.collect()), key=repr) == want
+
+
 def test_rolling_names_must_differ(hours):
     with pytest.raises(ValueError):
         features.add_rolling(hours.withColumn("energy_cost", F.lit(1.0)),
