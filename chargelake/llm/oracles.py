@@ -1,7 +1,7 @@
 """DuckDB SQL of the queries that SQL can express on whole tables.
 
-Not expressed: 3 (tokenizer), 4 (XXH64), 5 and 9 (learned models), the pipeline. Tests hold
-brute-force versions of those.
+Not expressed: 3 and 12 (tokenizers), 4 (XXH64), 5 and 9 (learned models), the pipeline. Tests
+hold brute-force versions of those.
 """
 
 _WORD = r"'[^\x20\x09-\x0D]+'"
@@ -211,6 +211,69 @@ SELECT c.page_id, c.url, c.fetched, c.host, coalesce(n, 0)::BIGINT AS n_active,
 FROM c LEFT JOIN ranked ON c.page_id = ranked.page_id AND r = 1
 """
 
+_GRAM = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
+_OP11 = rf"""
+WITH RECURSIVE steps(i, done, c) AS (
+  SELECT i, 0, i FROM range(256) r(i)
+  UNION ALL SELECT i, done + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END
+  FROM steps WHERE done < 8),
+crc AS MATERIALIZED (SELECT list(c::BIGINT ORDER BY i) AS table_ FROM steps WHERE done = 8),
+own AS MATERIALIZED (SELECT doc_id, coalesce(regexp_extract_all(translate(text,
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), {_GRAM}), []) AS words
+  FROM documents),
+wanted AS (SELECT unnest(regexp_extract_all(translate(text,
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), {_GRAM})) AS word FROM benchmark),
+each AS MATERIALIZED (SELECT doc_id, unnest(words) AS word FROM own),
+counts AS (SELECT word, sum(s)::BIGINT AS s, sum(t)::BIGINT AS t FROM (
+    SELECT word, count(*) AS s, 0 AS t FROM each GROUP BY word
+    UNION ALL SELECT word, 0, count(*) FROM wanted GROUP BY word) GROUP BY word),
+bytes AS (SELECT word, s, t, list_concat([4294967295::BIGINT], list_transform(
+    generate_series(1, strlen(word)), lambda i: ('0x' || hex(word)[2 * i - 1:2 * i])::BIGINT)) AS b
+  FROM counts),
+bucketed AS MATERIALIZED (SELECT word, s, t, xor(list_reduce(b, lambda c, x:
+    xor(c >> 8, table_[(xor(c, x) & 255) + 1])), 4294967295) % 10000 AS bucket FROM bytes, crc),
+sums AS (SELECT bucket, sum(s) AS s, sum(t) AS t FROM bucketed GROUP BY bucket),
+gains AS (SELECT bucket, floor(1000 * ln(
+    ((t + 1)::DOUBLE * ((SELECT sum(s) FROM counts) + 10000)::DOUBLE)
+    / ((s + 1)::DOUBLE * ((SELECT sum(t) FROM counts) + 10000)::DOUBLE)))::BIGINT AS gain FROM sums),
+words AS (SELECT word, gain FROM bucketed JOIN gains USING (bucket)),
+weights AS (SELECT doc_id, sum(gain)::BIGINT AS total FROM each JOIN words USING (word)
+            GROUP BY doc_id),
+scored AS (SELECT o.doc_id, len(words)::BIGINT AS n_features,
+    floor(coalesce(total, 0)::DOUBLE / greatest(len(words), 1))::BIGINT AS weight,
+    ('0x' || substr(sha256('2024:' || o.doc_id), 1, 8))::BIGINT AS h
+  FROM own o LEFT JOIN weights w ON o.doc_id = w.doc_id),
+summed AS (SELECT doc_id, n_features, weight,
+    weight + floor(-1000 * ln(-ln((h + 0.5)::DOUBLE / 4294967296::DOUBLE)))::BIGINT AS score
+  FROM scored),
+placed AS (SELECT *, CASE WHEN n_features >= 20 THEN row_number() OVER (
+    PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id) END AS place FROM summed)
+SELECT doc_id, n_features AS n_words, n_features, weight, score,
+  CASE WHEN place <= 10 * (SELECT count(*) FROM summed WHERE n_features >= 20) // 100
+       THEN place END AS rank
+FROM placed
+"""
+
+_OP13 = r"""
+WITH units AS (SELECT doc_id, coalesce(text, '') AS text,
+    regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u,
+    sha256('1:' || doc_id) AS s FROM documents),
+drawn AS (SELECT *, len(u)::BIGINT AS n, ('0x' || substr(s, 1, 8))::BIGINT % (len(u) + 1) AS a,
+    ('0x' || substr(s, 9, 8))::BIGINT % (len(u) + 1) AS b, ('0x' || substr(s, 17, 8))::BIGINT AS h3,
+    ('0x' || substr(s, 25, 8))::BIGINT AS h4 FROM units),
+cut AS (SELECT *, array_to_string(u[1:least(a, b)], '') AS p,
+    array_to_string(u[least(a, b) + 1:greatest(a, b)], '') AS m,
+    array_to_string(u[greatest(a, b) + 1:], '') AS x,
+    CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+      OR h3 % 100 >= 90 THEN 'plain' WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM drawn)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || x || '<M>' || m
+         ELSE '<S>' || x || '<P>' || p || '<M>' || m END) AS output_sha256,
+  sha256(text) AS restored_sha256
+FROM cut
+"""
+
 ORACLES: dict[str, str] = {
     "op1_substring_dedup": _OP1,
     "op2_embedding_dedup": _OP2,
@@ -218,4 +281,6 @@ ORACLES: dict[str, str] = {
     "op7_fingerprints": _OP7,
     "op8_mixing": _OP8,
     "op10_url_lists": _OP10,
+    "op11_resampling": _OP11,
+    "op13_infill": _OP13,
 }

@@ -6,10 +6,12 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from chargelake.llm import (
-    itq, merkle, mixing, packing, ppm, qda, simhash, substring, urllists, warc)
+    chunks, infill, itq, merkle, mixing, packing, ppm, qda, resample, simhash, substring, urllists,
+    warc)
 from chargelake.llm.common import doc_id, table
 
 TOKENIZER = "word_bpe_49k.json"
+BYTE_TOKENIZER = "byte_bpe_50k.json"
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -121,6 +123,27 @@ def op10_url_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urllists.as_of(captures, list_entries(pages)).withColumnRenamed("capture_id", "page_id")
 
 
+def op11_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weight, score and rank of every document, a tenth drawn towards the benchmark texts."""
+    return resample.importance(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded, and decoded from its ids."""
+    path = public_tokenizers.path(BYTE_TOKENIZER)
+    encoded = chunks.encode(table(spark, sf_dir, "documents"), path)
+    return chunks.decode(encoded, path).select(
+        "row.doc_id", "n_tokens", "ids_sha256", F.sha2("text", 256).alias("decoded_sha256"))
+
+
+def op13_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document transformed for filling in the middle, and restored."""
+    text = infill.restored(F.col("output"), F.col("form"))
+    return infill.fill_in_middle(table(spark, sf_dir, "documents")).select(
+        "row.doc_id", "n", "form", "prefix_chars", "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"), F.sha2(text, 256).alias("restored_sha256"))
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_embedding_dedup": op2_embedding_dedup,
@@ -132,4 +155,7 @@ QUERIES = {
     "op8_mixing": op8_mixing,
     "op9_language_id": op9_language_id,
     "op10_url_lists": op10_url_lists,
+    "op11_resampling": op11_resampling,
+    "op12_bpe": op12_bpe,
+    "op13_infill": op13_infill,
 }
