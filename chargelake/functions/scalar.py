@@ -88,8 +88,11 @@ def parse_time(text: Column | str) -> Column:
     """ISO or RFC-1123 text to TIMESTAMP_NTZ; anything else becomes null.
 
     Text with a zone or offset gives the time in UTC, text without one the time it names.
+    The usual text, ISO without a zone, is told by its shape and cast at once.
     """
     text = F.trim(as_column(text))
+    usual = (F.substring(text, 5, 1) == "-") & (
+        F.translate(F.substring(text, 11, 64), "T0123456789:. ", "") == "")
 
     def utc(moment: Column) -> Column:
         return F.convert_timezone(
@@ -107,7 +110,7 @@ def parse_time(text: Column | str) -> Column:
     plain = F.coalesce(
         text.try_cast("timestamp_ntz"),
         F.try_to_timestamp(rfc, F.lit("d MMM yyyy HH:mm:ss")).cast("timestamp_ntz"))
-    return F.coalesce(utc(zoned), plain)
+    return F.when(usual, text.try_cast("timestamp_ntz")).otherwise(F.coalesce(utc(zoned), plain))
 
 
 def time_period(hour: Column | str) -> Column:

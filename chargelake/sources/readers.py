@@ -8,6 +8,11 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from chargelake import schemas
+from chargelake.sources.damaged import (
+    check_json_documents, check_json_lines, check_sessions_csv, sessions_or_error,
+    write_dead_letters,
+)
+from chargelake.sources.numbering import in_file_order
 
 
 def _or_none(read, *args) -> DataFrame | None:
@@ -49,26 +54,12 @@ def read_sessions_json(spark: SparkSession, path: str, lines: bool = False) -> D
     With `lines`, one record per line: the form to use for large data, as files are split.
     Otherwise each file holds one document, an array of records, {"data": [records]} or
     an object whose values are records; files are read in parallel, a file by one task.
-    A document that is none of these, or broken off, raises an error; an empty one has no
-    rows.
+    A line or document that is none of these, broken off or followed by something else, and
+    an element that is no record, raise an error; `damaged.check_json_lines` and
+    `check_json_documents` set them apart instead. Numbers may be written as text; one that
+    can't be read is null. Empty files have no rows.
     """
-    schema = _raw_session_schema()
-    if lines:
-        rows = spark.read.schema(schema).json(path)
-    else:
-        record = schema.simpleString()
-        document = spark.read.text(path, wholetext=True).select(
-            F.regexp_replace("value", r"^[\s\uFEFF]+|\s+$", "").alias("value"))
-        as_array = F.from_json("value", f"array<{record}>")
-        as_data = F.from_json("value", f"struct<data:array<{record}>>")["data"]
-        as_map = F.map_values(F.from_json("value", f"map<string,{record}>"))
-        records = F.when(F.col("value").startswith("["), as_array).otherwise(
-            F.coalesce(as_data, as_map))
-        checked = F.when(F.col("value") == "", F.lit(None)).otherwise(F.coalesce(
-            records, F.raise_error(F.concat(
-                F.lit("not a document of session records: "), F.substring("value", 1, 80)))))
-        rows = document.select(F.explode(checked).alias("r")).select("r.*")
-    return rows
+    return sessions_or_error(spark, path, lines)
 
 
 def read_sessions(spark: SparkSession, csv_path: str | None = None,
@@ -80,13 +71,33 @@ def read_sessions(spark: SparkSession, csv_path: str | None = None,
     return found if found is not None else spark.createDataFrame([], _raw_session_schema())
 
 
-def read_grid_tables(spark: SparkSession, folder: str, suffix: str = ".csv") -> dict[str, DataFrame]:
-    """The tables of the grid data set that exist in a folder, by name."""
+def read_sessions_checked(spark: SparkSession, dead_letters: str, csv_path: str | None = None,
+                          json_path: str | None = None, lines: bool = False) -> DataFrame:
+    """As read_sessions, with everything damaged stored in the table `dead_letters`."""
+    check = check_json_lines if lines else check_json_documents
+    found = _or_none(check_sessions_csv, spark, csv_path) if csv_path else None
+    if found is None and json_path:
+        found = _or_none(check, spark, json_path)
+    if found is None:
+        return spark.createDataFrame([], _raw_session_schema())
+    write_dead_letters(found.rejects, dead_letters, "sessions")
+    return found.rows
+
+
+def read_grid_tables(spark: SparkSession, folder: str, suffix: str = ".csv",
+                     index: str = "timestamp") -> dict[str, DataFrame]:
+    """The tables of the grid data set that exist in a folder, by name.
+
+    A matrix or calendar without the interval index gets it from the order of its rows in
+    the files: matrix and calendar then meet by position, from the first interval on.
+    """
     tables = {}
     for name in schemas.GRID_TABLES:
         table = _or_none(read_csv, spark, f"{folder.rstrip('/')}/{name}{suffix}")
         if table is not None:
-            tables[name] = table
+            by_interval = name == "time" or name in schemas.GRID_MEASURES
+            tables[name] = (in_file_order(table, index)
+                            if by_interval and index not in table.columns else table)
     return tables
 
 

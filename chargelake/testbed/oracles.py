@@ -350,6 +350,100 @@ _SQL["csv_roundtrip"] = """
 SELECT CAST(event_id AS VARCHAR) AS "sessionID", station_id AS "stationID",
        ts AS "connectionTime", value AS "kWhDelivered" FROM raw"""
 
+_CTE["records"] = """
+SELECT event_id AS id, value, value::DECIMAL(18,4)::DOUBLE AS energy,
+       '{"sessionID":"' || event_id || '","kWhDelivered":' || CASE event_id % 97
+         WHEN 3 THEN '"n/a"' WHEN 4 THEN '"' || value::DECIMAL(18,4) || '"'
+         ELSE value::DECIMAL(18,4)::VARCHAR END || '}' AS text
+FROM events"""
+
+_GOOD = """'row' AS kind, id::VARCHAR AS "sessionID",
+       CASE WHEN id % 97 <> 3 THEN energy END AS energy_kwh,
+       NULL::VARCHAR AS field, NULL::VARCHAR AS text"""
+
+_SQL["json_damaged"] = f"""
+SELECT {_GOOD} FROM records WHERE id % 97 NOT IN (0, 1)
+UNION ALL SELECT 'line', NULL, NULL, NULL, substr(text, 1, 12) FROM records WHERE id % 97 = 0
+UNION ALL SELECT 'surplus', NULL, NULL, NULL, text || ' ' || text FROM records WHERE id % 97 = 1
+UNION ALL SELECT 'record', NULL, NULL, NULL, '7' FROM records WHERE id % 97 = 2
+UNION ALL SELECT 'field', NULL, NULL, 'kWhDelivered', 'n/a' FROM records WHERE id % 97 = 3"""
+
+_CTE["documents_written"] = """
+SELECT d FROM range((SELECT count(*) // 500 + 10 FROM events)) r(d)"""
+_CTE["record_documents"] = """
+SELECT *, id % (SELECT count(*) FROM documents_written) AS d FROM records"""
+
+_SQL["json_documents"] = f"""
+SELECT {_GOOD} FROM record_documents WHERE d % 10 < 8
+UNION ALL SELECT 'field', NULL, NULL, 'kWhDelivered', 'n/a' FROM record_documents
+  WHERE id % 97 = 3 AND d % 10 < 8
+UNION ALL SELECT 'record', NULL, NULL, NULL, '5' FROM documents_written WHERE d % 10 < 8
+UNION ALL SELECT CASE WHEN w.d % 10 = 8 THEN 'document' ELSE 'surplus' END, NULL, NULL, NULL,
+       count(r.id)::VARCHAR FROM documents_written w LEFT JOIN record_documents r ON w.d = r.d
+  WHERE w.d % 10 >= 8 GROUP BY w.d"""
+
+_SQL["csv_quoted"] = f"""
+SELECT session_id, station_id || ', "' || session_id || '"' || chr(10) || 'end' AS station_id,
+       session_start, {_r('energy_kwh')} FROM sessions"""
+
+_CTE["csv_lines"] = """
+SELECT event_id, event_id % 89 AS c, value::DECIMAL(18,4)::DOUBLE AS energy,
+       event_id || ',' || CASE event_id % 89 WHEN 3 THEN 'n/a'
+         ELSE value::DECIMAL(18,4)::VARCHAR END AS fields,
+       CASE event_id % 89 WHEN 4 THEN 'soon' ELSE strftime(ts, '%Y-%m-%d %H:%M:%S') END AS moment
+FROM events"""
+
+_SQL["csv_damaged"] = """
+SELECT 'row' AS kind, event_id::VARCHAR AS "sessionID", CASE WHEN c <> 3 THEN energy END
+       AS energy_kwh, NULL::VARCHAR AS field, NULL::VARCHAR AS text FROM csv_lines WHERE c > 2
+UNION ALL SELECT 'line', NULL, NULL, NULL, CASE c WHEN 0 THEN fields
+       WHEN 1 THEN fields || ',' || moment || ',more' ELSE fields || ',"' || moment END
+  FROM csv_lines WHERE c <= 2
+UNION ALL SELECT 'field', NULL, NULL, 'kWhDelivered', 'n/a' FROM csv_lines WHERE c = 3
+UNION ALL SELECT 'field', NULL, NULL, 'connectionTime', 'soon' FROM csv_lines WHERE c = 4"""
+
+_SQL["parse_times"] = """
+SELECT event_id, t AS at, t AS iso, t AS iso_t, t AS zulu, t - INTERVAL 2 HOUR AS "offset",
+       t AS rfc, t + INTERVAL 90 MINUTE AS rfc_offset, date_trunc('day', t)::TIMESTAMP AS day,
+       NULL::TIMESTAMP AS none
+FROM (SELECT event_id, date_trunc('second', ts)::TIMESTAMP AS t FROM events)"""
+
+_CTE["odd_sessions"] = """
+SELECT k, CASE WHEN event_id % 11 = 0 THEN NULL WHEN event_id % 13 = 0 THEN 0
+           ELSE value END AS energy, event_type <> 'error' AND event_id % 7 <> 0 AS done,
+           event_id % 7 = 0 AS odd FROM raw"""
+_CTE["ruled"] = """
+SELECT *, CASE WHEN energy IS NULL THEN 'energy_missing'
+      WHEN k <= 0 THEN 'duration_not_positive' WHEN energy <= 0 THEN 'energy_not_positive' END
+      AS rule FROM odd_sessions"""
+
+_SQL["cleaning_ledger"] = """
+SELECT 'sessions' AS stage, 'all' AS rule, 'in' AS effect, count(*) AS rows FROM ruled
+UNION ALL SELECT 'sessions', n, 'dropped', count(rule) FROM (VALUES ('energy_missing'),
+    ('duration_not_positive'), ('energy_not_positive')) v(n) LEFT JOIN ruled ON rule = n GROUP BY n
+UNION ALL SELECT 'sessions', 'connectionTime', 'unread', 0
+UNION ALL SELECT 'sessions', 'disconnectTime', 'unread', 0
+UNION ALL SELECT 'sessions', 'doneChargingTime', 'unread', count(*) FROM ruled WHERE odd
+UNION ALL SELECT 'sessions', 'charging_duration', 'filled', count(*) FROM ruled
+  WHERE rule IS NULL AND NOT done AND k IS NOT NULL
+UNION ALL SELECT 'sessions', 'all', 'out', count(*) FROM ruled WHERE rule IS NULL"""
+
+_CELLS = ("volume_kwh", "active_chargers", "price_per_kwh", "avg_duration_min")
+_CTE["carried"] = "SELECT r.*, {} FROM readings r {}".format(
+    ", ".join(f"last_value({c} IGNORE NULLS) OVER w AS w_{c}" for c in _CELLS),
+    "WINDOW w AS (PARTITION BY station_id ORDER BY timestamp)")
+
+_SQL["grid_ledger"] = """
+SELECT 'grid' AS stage, 'all' AS rule, e AS effect, count(*) AS rows
+  FROM carried, (VALUES ('in'), ('out')) v(e) GROUP BY e
+{cells}
+UNION ALL SELECT 'grid', 'charger_utilization_rate', 'zeroed',
+  count(*) FILTER (WHERE coalesce(total_chargers, 0) = 0) FROM carried""".format(
+    cells="\n".join(
+        f"UNION ALL SELECT 'grid', '{c}', 'filled', count(*) FILTER (WHERE {c} IS NULL AND "
+        f"w_{c} IS NOT NULL) FROM carried UNION ALL SELECT 'grid', '{c}', 'zeroed', "
+        f"count(*) FILTER (WHERE w_{c} IS NULL) FROM carried" for c in _CELLS))
+
 _TEXT_TIME = "regexp_replace(regexp_replace(strftime({t}, '%Y-%m-%d %H:%M:%S.%f'), '0+$', ''), '\\.$', '')"
 _SQL["drop_null_columns"] = f"""
 SELECT {_RAW_TEXT}, {_TEXT_TIME.format(t='ts')} AS "connectionTime",

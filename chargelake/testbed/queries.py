@@ -7,14 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 
-from chargelake.functions.scalar import half_even
+from chargelake.functions.scalar import half_even, parse_time
 from chargelake.operators import (
     cleaning, demand, features as feat, metrics, monitor, profile, quantiles, reshape, rollup,
     tariff,
 )
+from chargelake.operators.ledger import Ledger, clean_grid, clean_sessions
 from chargelake.plans import analytics
 from chargelake.session import scratch_path, stored
-from chargelake.sources import readers, writers
+from chargelake.sources import damaged, readers, writers
 from chargelake.testbed import mapping as m
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -65,6 +66,147 @@ def csv_roundtrip(spark, sf_dir):
     return raw.select("sessionID", "stationID", "connectionTime", "kWhDelivered")
 
 
+def _record_texts(spark, sf_dir):
+    """Events as JSON session records, with their number in `id`."""
+    energy = F.col("value").cast("decimal(18,4)").cast("string")
+    return m.table(spark, sf_dir, "events").select(
+        F.col("event_id").alias("id"), F.concat(
+            F.lit('{"sessionID":"'), F.col("event_id").cast("string"), F.lit('","kWhDelivered":'),
+            F.when(F.col("event_id") % 97 == 3, F.lit('"n/a"'))
+            .when(F.col("event_id") % 97 == 4, F.concat(F.lit('"'), energy, F.lit('"')))
+            .otherwise(energy), F.lit("}")).alias("text"))
+
+
+def _accounted(checked):
+    """Good rows and rejects in one table; the file and place of a reject change with the run."""
+    good = checked.rows.select(
+        F.lit("row").alias("kind"), "sessionID", F.col("kWhDelivered").alias("energy_kwh"),
+        F.lit(None).cast("string").alias("field"), F.lit(None).cast("string").alias("text"))
+    return good.unionByName(checked.rejects.select(
+        "kind", "field", "text"), allowMissingColumns=True)
+
+
+@query
+def json_damaged(spark, sf_dir):
+    """Lines that are cut, doubled, lists, or hold damaged and quoted numbers."""
+    text, case = F.col("text"), F.col("id") % 97
+    line = (
+        F.when(case == 0, F.substring(text, 1, 12))
+        .when(case == 1, F.concat(text, F.lit(" "), text))
+        .when(case == 2, F.concat(F.lit("["), text, F.lit(",7]"))).otherwise(text)
+    )
+    path = scratch_path(spark, "json_damaged")
+    _record_texts(spark, sf_dir).select(line.alias("value")).write.text(path)
+    return _accounted(damaged.check_json_lines(spark, path))
+
+
+@query
+def json_documents(spark, sf_dir):
+    """Documents of about 500 records, one to a file: lists, maps and {"data": [...]}.
+
+    Each ends with an element that is no record; of ten, one is cut and one is followed by
+    a second list.
+    """
+    records = _record_texts(spark, sf_dir)
+    documents = F.lit(records.count() // 500 + 10)
+    number = F.pmod(F.col("id"), documents)
+    form, state = F.col("document") % 3, F.col("document") % 10
+    entry = F.when(form == 1, F.concat(F.lit('"'), F.col("id").cast("string"), F.lit('":'), "text"))
+    body = records.withColumn("document", number).select(
+        "document", F.lit(1).alias("part"), "id",
+        F.concat(F.coalesce(entry, F.col("text")), F.lit(",")).alias("value"))
+    ends = spark.range(records.count() // 500 + 10).select(F.col("id").alias("document"))
+    first = ends.select("document", F.lit(0).alias("part"), F.lit(0).cast("bigint").alias("id"),
+                        F.when(form == 0, "[").when(form == 1, "{").otherwise('{"data":[')
+                        .alias("value"))
+    close = F.when(form == 0, "5]").when(form == 1, '"end":5}').otherwise("5]}")
+    last = ends.select(
+        "document", F.lit(2).alias("part"), F.lit(0).cast("bigint").alias("id"),
+        F.when(state == 8, "").when(state == 9, F.concat(close, F.lit(" []"))).otherwise(close)
+        .alias("value"))
+    path = scratch_path(spark, "json_documents")
+    (first.unionByName(body).unionByName(last).repartition("document")
+     .sortWithinPartitions("document", "part", "id").select("document", "value")
+     .write.partitionBy("document").text(path))
+    checked = damaged.check_json_documents(spark, f"{path}/*")
+    whole = F.col("kind").isin("document", "surplus")
+    rejects = checked.rejects.withColumn("text", F.when(whole, F.regexp_count(
+        "text", F.lit("sessionID")).cast("string")).otherwise(F.col("text")))
+    return _accounted(damaged.Checked(checked.rows, rejects))
+
+
+@query
+def csv_quoted(spark, sf_dir):
+    """Sessions by way of CSV with quotes, separators and line breaks in their text."""
+    raw = m.raw_sessions(spark, sf_dir)
+    odd = F.concat(F.col("stationID"), F.lit(', "'), F.col("sessionID"), F.lit('"\nend'))
+    path = scratch_path(spark, "csv_quoted")
+    writers.write_csv(raw.withColumn("stationID", odd).drop("_id"), path)
+    read = readers.read_sessions_csv(spark, path, multiline=True)
+    return rounded(cleaning.clean_sessions(read).select(
+        "session_id", "station_id", "session_start", "energy_kwh"))
+
+
+@query
+def csv_damaged(spark, sf_dir):
+    """CSV lines with a field too few or too many, an open quote, or a damaged number or time."""
+    case = F.col("event_id") % 89
+    energy = F.col("value").cast("decimal(18,4)").cast("string")
+    fields = F.concat_ws(
+        ",", F.col("event_id").cast("string"), F.when(case == 3, "n/a").otherwise(energy))
+    when = F.when(case == 4, "soon").otherwise(F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
+    line = (
+        F.when(case == 0, fields).when(case == 1, F.concat_ws(",", fields, when, F.lit("more")))
+        .when(case == 2, F.concat_ws(",", fields, F.concat(F.lit('"'), when)))
+        .otherwise(F.concat_ws(",", fields, when))
+    )
+    path = scratch_path(spark, "csv_damaged")
+    m.table(spark, sf_dir, "events").select(line.alias("value")).write.text(path)
+    return _accounted(damaged.check_sessions_csv(
+        spark, path, columns=["sessionID", "kWhDelivered", "connectionTime"]))
+
+
+@query
+def parse_times(spark, sf_dir):
+    """One time in the forms that sessions come with, each read back."""
+    moment = F.date_trunc("second", "ts").cast("timestamp_ntz")
+    shown = lambda pattern: F.date_format(F.col("at"), pattern)
+    events = m.table(spark, sf_dir, "events").select("event_id", moment.alias("at"))
+    forms = {
+        "iso": shown("yyyy-MM-dd HH:mm:ss"), "iso_t": shown("yyyy-MM-dd'T'HH:mm:ss"),
+        "zulu": F.concat(shown("yyyy-MM-dd'T'HH:mm:ss"), F.lit("Z")),
+        "offset": F.concat(shown("yyyy-MM-dd'T'HH:mm:ss"), F.lit("+02:00")),
+        "rfc": F.concat(shown("EEE, dd MMM yyyy HH:mm:ss"), F.lit(" GMT")),
+        "rfc_offset": F.concat(shown("EEE, dd MMM yyyy HH:mm:ss"), F.lit(" -0130")),
+        "day": shown("yyyy-MM-dd"), "none": F.lit("soon"),
+    }
+    return events.select("event_id", "at", *[parse_time(t).alias(c) for c, t in forms.items()])
+
+
+def _ledger_of(spark, sf_dir, clean):
+    """The ledger after the one pass that stores the cleaned rows."""
+    kept = Ledger()
+    stored(clean(kept), "cleaned")
+    return kept.table(spark)
+
+
+@query
+def cleaning_ledger(spark, sf_dir):
+    raw = m.raw_sessions(spark, sf_dir)
+    odd = F.when(F.col("sessionID").cast("bigint") % 7 == 0, F.lit("soon")).otherwise(
+        F.col("doneChargingTime"))
+    low = F.when(F.col("sessionID").cast("bigint") % 11 == 0, F.lit(None)).when(
+        F.col("sessionID").cast("bigint") % 13 == 0, F.lit(0.0)).otherwise(F.col("kWhDelivered"))
+    damaged_rows = raw.withColumns({"doneChargingTime": odd, "kWhDelivered": low})
+    return _ledger_of(spark, sf_dir, lambda kept: clean_sessions(damaged_rows, kept))
+
+
+@query
+def grid_ledger(spark, sf_dir):
+    readings = stored(m.readings(spark, sf_dir), "readings")
+    return _ledger_of(spark, sf_dir, lambda kept: clean_grid(readings, kept, chunk=m.CHUNK))
+
+
 @query
 def stage_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "stage_roundtrip")
