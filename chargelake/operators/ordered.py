@@ -73,12 +73,14 @@ def with_history(df: DataFrame, keys: Sequence[str], order: Sequence[str], rows:
     """Add to every chunk the `rows` rows that precede it within its key.
 
     A chunk is worked on by one task, so `chunk` should bound its rows: the hourly rows of
-    a station are at most 8,784 a year. Chunks much larger than `rows` keep the copies few.
+    a station are at most 8,784 a year. A table that has its chunks in CHUNK already, as a
+    bucketed stage, keeps them: its rows are not shuffled, only the copies are. Chunks much larger than `rows` keep the copies few.
     `order` starts with a timestamp and must be unique per key. The copies carry the keys,
     the order columns and `columns` only and are marked in HISTORY.
     """
     slot = [*keys, CHUNK]
-    chunked = df.withColumn(CHUNK, time_chunk(order[0], chunk))
+    stored_by_chunk = CHUNK in df.columns
+    chunked = df if stored_by_chunk else df.withColumn(CHUNK, time_chunk(order[0], chunk))
     slim = chunked.select(*dict.fromkeys([*slot, *order, *columns]))
 
     # the last rows of every chunk, with their distance from its end; the row_number
@@ -106,11 +108,39 @@ def with_history(df: DataFrame, keys: Sequence[str], order: Sequence[str], rows:
         .drop("_later", "_end", "_from_end")
         .withColumn(HISTORY, F.lit(True))
     )
+    if stored_by_chunk:
+        return _beside_first(chunked, history.drop(HISTORY), slot, order)
     return chunked.withColumn(HISTORY, F.lit(False)).unionByName(
         history, allowMissingColumns=True
     )
 
 
+def _beside_first(chunked: DataFrame, history: DataFrame, slot: Sequence[str],
+                  order: Sequence[str]) -> DataFrame:
+    """`chunked` and `history` in one, without moving the rows of `chunked`.
+
+    A union would lose how a bucketed table is dealt out. Instead the copies of a chunk, a
+    few rows, are joined to it as one list, and its first row turns into itself and them.
+    """
+    carried = [c for c in history.columns if c not in slot]
+    lists = history.groupBy(*slot).agg(F.collect_list(F.struct(*carried)).alias("_copies"))
+    first = F.row_number().over(Window.partitionBy(*slot).orderBy(*oldest_first(order))) == 1
+    itself = F.array(F.lit(None).cast(history.select(F.struct(*carried).alias("s")).schema["s"].dataType))
+    both = (
+        chunked.join(lists, slot, "left")
+        .withColumn("_first", first)
+        .withColumn("_copy", F.explode(F.when(
+            F.col("_first") & F.col("_copies").isNotNull(), F.concat(itself, F.col("_copies")))
+            .otherwise(itself)))
+    )
+    own = F.col("_copy").isNull()
+    values = {c: F.when(own, F.col(f"`{c}`")).otherwise(F.col(f"_copy.`{c}`")) if c in carried
+              else F.when(own, F.col(f"`{c}`")) for c in chunked.columns if c not in slot}
+    return both.select(
+        *slot, *[v.alias(c) for c, v in values.items()], (~own).alias(HISTORY)
+    ).select(*[F.col(f"`{c}`") for c in chunked.columns], HISTORY)
+
+
 def over_history(df: DataFrame, keys: Sequence[str], order: Sequence[str], rows: int,
                  columns: Sequence[str], build: Callable[[WindowSpec], dict[str, Column]],
                  chunk: str = "year") -> DataFrame:
@@ -129,7 +159,7 @@ def over_history(df: DataFrame, keys: Sequence[str], order: Sequence[str], rows:
         with_history(df, keys, order, rows, columns, chunk)
         .withColumns(added)
         .filter(~F.col(HISTORY))
-        .drop(CHUNK, HISTORY)
+        .drop(HISTORY, *([] if CHUNK in df.columns else [CHUNK]))
     )
 
 

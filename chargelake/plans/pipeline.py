@@ -35,13 +35,17 @@ def run_pipeline(
     grid_folder: str | None = None, sessions_json: str | None = None,
     skip_preprocessing: bool = False, skip_features: bool = False,
     regressors: dict | None = None, energy: str = "energy_kwh", unit: str = "day",
+    keep_damaged: bool = False,
 ) -> PipelineResult:
     """Preprocess, engineer features, train, price and monitor.
 
-    Every stage is stored below `folder`; a skipped stage is read from there.
+    Every stage is stored below `folder`; a skipped stage is read from there. Each stage is
+    skipped by its own flag only. The ledger of preprocessing is stored as `ledger`. With
+    `keep_damaged`, damaged session input goes to `damaged` instead of failing the run.
     """
-    if not skip_preprocessing and not skip_features:
-        run_preprocessing(spark, sessions_csv, grid_folder, f"{folder}/merged", sessions_json)
+    if not skip_preprocessing:
+        run_preprocessing(spark, sessions_csv, grid_folder, f"{folder}/merged", sessions_json,
+                          f"{folder}/ledger", f"{folder}/damaged" if keep_damaged else None)
     if not skip_features:
         engineered = engineer_features(read_merged(spark, f"{folder}/merged"))
         engineered = engineered.withColumn("ym", F.date_format("timestamp", "yyyy-MM"))

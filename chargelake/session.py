@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from chargelake.sources import storage
+
 
 def build_session(app_name: str = "chargelake", master: str | None = None,
                   **conf: str) -> SparkSession:
@@ -30,23 +31,20 @@ def build_session(app_name: str = "chargelake", master: str | None = None,
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder the cluster names in spark.checkpoint.dir.
-
-    Only a local session without that setting gets a folder of its own.
-    """
+    """The folder the cluster names in spark.checkpoint.dir; else one in the warehouse,
+    which executors reach as well."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-    folder = tempfile.mkdtemp(prefix="chargelake-")
-    spark.sparkContext.setCheckpointDir(folder)
-    return folder
+    return folder or os.path.join(spark.conf.get("spark.sql.warehouse.dir"), "_intermediate")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path below the shared folder that no other call has used."""
-    return os.path.join(shared_folder(spark), f"{name}-{uuid.uuid4().hex}")
+    """A path below the shared folder that no other call has used.
+
+    It lies in a folder of this application, which goes when the application ends.
+    """
+    own = os.path.join(shared_folder(spark), f"chargelake-{spark.sparkContext.applicationId}")
+    storage.drop_at_exit(spark, own)
+    return os.path.join(own, f"{name}-{uuid.uuid4().hex}")
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -54,6 +52,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
     For inputs that an operator reads more than once: the work behind them is done once,
     later reads take only the columns they need, and lost executors cost no recomputation.
+    The table goes when the application ends.
     """
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)

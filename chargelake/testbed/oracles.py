@@ -869,6 +869,20 @@ _SQL["feature_importance"] = " UNION ALL ".join(
     f"SELECT '{c}' AS feature, true AS is_share, true AS sums_to_one" for c in _MODEL_FEATURES)
 
 
+_CTE["session_features"] = _features(
+    "hours", "least(greatest((queue_length_proxy + 1) / 10::DOUBLE, 0), 1)::DOUBLE")
+_SQL["incremental_features"] = f"""
+SELECT station_id, timestamp, session_count, data_source, hour_of_day, day_of_week, is_weekend,
+       is_peak_hour, month, day_of_month, time_period, queue_length_proxy,
+       {_r('total_energy_kwh', 'avg_energy_kwh', 'avg_duration_min', 'avg_charging_min',
+           'charger_utilization_rate', 'energy_kwh', 'revenue_per_session',
+           'energy_cost_per_kwh', 'occupancy_density', *_LAG_NAMES, *_ROLLING_NAMES)}
+FROM session_features"""
+
+_SQL["bucketed_features"] = _SQL["pipeline_features"]
+_SQL["bucketed_predictions"] = _SQL["predictions_join"]
+
+
 def _stable_rounding(sql: str) -> str:
     """Every round(x, n) as the scaled form, which both engines compute alike."""
     while found := re.search(r"\bround\(", sql):

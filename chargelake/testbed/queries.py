@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -13,9 +14,9 @@ from chargelake.operators import (
     tariff,
 )
 from chargelake.operators.ledger import Ledger, clean_grid, clean_sessions
-from chargelake.plans import analytics
+from chargelake.plans import analytics, incremental
 from chargelake.session import scratch_path, stored
-from chargelake.sources import damaged, readers, writers
+from chargelake.sources import bucketed, damaged, readers, writers
 from chargelake.testbed import mapping as m
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -727,6 +728,57 @@ def feature_importance(spark, sf_dir):
         (F.abs(total - 1) < 1e-9).alias("sums_to_one"))
 
 
+# stages
+
+@query
+def bucketed_features(spark, sf_dir):
+    """pipeline_features over a stage dealt into buckets by station and day."""
+    stage = _bucketed(spark, m.merged(spark, sf_dir), "merged")
+    return rounded(feat.build_features(stage.read(spark), m.CHUNK).drop("_chunk"))
+
+
+@query
+def bucketed_predictions(spark, sf_dir):
+    """predictions_join over a bucketed stage: only the predictions are shuffled."""
+    stage = _bucketed(spark, m.features(spark, sf_dir), "features")
+    rows = stage.read(spark)
+    predictions = rows.filter(F.col("is_peak_hour") == 1).select(
+        "station_id", "timestamp", F.col("charger_rolling_6h").alias("predicted_utilization"))
+    with bucketed.co_partitioned(spark):
+        joined = stored(stage.join(spark, predictions).select(
+            "station_id", "timestamp", "energy_kwh", "predicted_utilization"), "joined")
+    return rounded(joined.withColumn(
+        "congestion", tariff.congestion_flag("predicted_utilization")))
+
+
+def _bucketed(spark, rows, name):
+    path = scratch_path(spark, name)
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return bucketed.write_bucketed(
+        rows, os.path.basename(path).replace("-", "_"), path, parts, m.CHUNK)
+
+
+@query
+def incremental_features(spark, sf_dir):
+    """Features kept up to date as session files come in: first all but one day in seven,
+    then the files of those days, then one of them anew."""
+    source, folder = scratch_path(spark, "incoming"), scratch_path(spark, "stages")
+    raw = m.raw_sessions(spark, sf_dir).drop("_id")
+    late = F.dayofmonth(F.col("connectionTime").cast("timestamp_ntz")) % 7 == 3
+    again = F.dayofmonth(F.col("connectionTime").cast("timestamp_ntz")) == 10
+    stages = incremental.SessionStages(spark, source, folder, chunk=m.CHUNK)
+    writers.write_csv(raw.filter(~late), f"{source}/first")
+    stages.update()
+    writers.write_csv(raw.filter(late & ~again), f"{source}/late")
+    writers.write_csv(raw.filter(again).withColumn("kWhDelivered", F.lit(1.0)), f"{source}/tenth")
+    stages.update()
+    writers.write_csv(raw.filter(again), f"{source}/tenth")
+    stages.update()
+    if not stages.update().skipped:
+        raise RuntimeError("an update without a change did something")
+    return rounded(stages.features())
+
+
 # composed plans
 
 @query

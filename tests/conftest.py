@@ -7,10 +7,14 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from chargelake.session import build_session
 
-    session = build_session("tests", "local[4]", **{"spark.sql.shuffle.partitions": "4"})
+    session = build_session("tests", "local[4]", **{
+        "spark.sql.shuffle.partitions": "4",
+        "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
+        "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
+    })
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
