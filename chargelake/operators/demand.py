@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.ml import Estimator, Pipeline, PipelineModel
@@ -11,9 +12,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from chargelake import config
 from chargelake.operators.cleaning import complete_rows, numeric_columns
+from chargelake.operators.features import energy_columns, engineered_columns
 from chargelake.operators.metrics import regression_metric, report
-from chargelake.operators.ordered import with_position
 from chargelake.operators.quantiles import day_slot, values_at_ranks
+from chargelake.operators.selection import cuts_at
 from chargelake.session import ensure_checkpoint_dir
 
 SPLIT = "split"
@@ -21,18 +23,17 @@ _HELD_OUT = "_held_out"
 
 
 def model_features(df: DataFrame, target: str, leak_free: bool = True) -> list[str]:
-    """The known features the table has, else all numeric columns but the target.
+    """The engineered features the table has, else all numeric columns but the target.
 
     Features computed from the energy of the same row are left out when energy is
     predicted, unless leak_free is off.
     """
-    known = (config.TIME_FEATURES + config.ENGINEERED_FEATURES + config.LAG_FEATURES
-             + config.ROLLING_FEATURES)
-    names = [c for c in known if c in df.columns]
+    names = [c for c in engineered_columns() if c in df.columns]
     if not names:
         names = [c for c in numeric_columns(df) if c != target]
     if leak_free and target in ("energy_kwh", "total_energy_kwh"):
-        names = [c for c in names if c not in config.ENERGY_DERIVED]
+        own_energy = energy_columns()
+        names = [c for c in names if c not in own_energy]
     return names
 
 
@@ -62,11 +63,18 @@ def split_by_time(df: DataFrame, ts: str = "timestamp") -> DataFrame:
 
 def split_by_position(df: DataFrame,
                       order: Sequence[str] = ("station_id", "timestamp")) -> DataFrame:
-    """70 / 15 / 15 by place in the given order: whole stations are held out."""
-    placed = with_position(df, order, "_position")
-    rows = placed.agg(F.count(F.lit(1))).scalar()
-    label = _label(F.col("_position"), _train_rows(rows), _train_and_validation_rows(rows))
-    return placed.withColumn(SPLIT, label).drop("_position")
+    """70 / 15 / 15 by place in the order of station and time: whole stations are held out.
+
+    The rows at the two borders are selected, the table is not sorted. Rows of one station
+    and time stay together.
+    """
+    station, ts = order
+    rows = df.count()
+    train = math.floor(rows * config.TRAIN_SHARE)
+    validation = train + math.floor(rows * config.VALIDATION_SHARE)
+    cuts = cuts_at(df, {"train": train, "validation": validation}, station, ts)
+    return df.withColumn(SPLIT, F.when(cuts["train"].after(station, ts), "train").when(
+        cuts["validation"].after(station, ts), "validation").otherwise("test"))
 
 
 def prepare(df: DataFrame, target: str = "energy_kwh", features: Sequence[str] | None = None,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
+from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F, types as T
 
 from chargelake import config
 from chargelake.functions.scalar import clip, floor_time, ratio, time_feature_columns
@@ -13,6 +13,14 @@ from chargelake.operators.ordered import (
 )
 
 
+_UTILISATION = "charger_utilization_rate"
+#: features of a row by itself: its revenue, cost, queue and occupancy
+_OF_ROWS = ("revenue_per_session", "energy_cost_per_kwh", "queue_length_proxy",
+            "occupancy_density")
+#: columns that rolling means are taken of
+_ROLLED = ("energy_kwh", _UTILISATION)
+
+
 def _no_value() -> Column:
     return F.lit(None).cast("double")
 
@@ -153,7 +161,7 @@ def add_rolling(df: DataFrame, targets: Sequence[str] = ("energy_kwh",),
 
 
 def add_lags_and_rolling(df: DataFrame, target: str = "energy_kwh",
-                         targets: Sequence[str] = ("energy_kwh", "charger_utilization_rate"),
+                         targets: Sequence[str] = _ROLLED,
                          station: str | None = "station_id",
                          order: Sequence[str] = ("timestamp",), chunk: str | None = None,
                          rows_per_hour: str | None = None) -> DataFrame:
@@ -241,18 +249,53 @@ def add_session_overlap(df: DataFrame, station: str = "station_id",
     )
 
 
+def engineered_columns() -> list[str]:
+    """Names of the numeric features that build_features gives an hourly table."""
+    window = Window.partitionBy("station_id").orderBy("timestamp")
+    by_time = [c for c in time_feature_columns("timestamp") if c != "time_period"]
+    return [*by_time, _UTILISATION, *_OF_ROWS, *_lags("energy_kwh", config.LAGS, window),
+            *_rolling(_ROLLED, config.ROLLING_ROWS, window)]
+
+
+def energy_columns() -> set[str]:
+    """Those of the features that hold the energy of the same row."""
+    window = Window.partitionBy("station_id").orderBy("timestamp")
+    return {_OF_ROWS[0], *_rolling(["energy_kwh"], config.ROLLING_ROWS, window)}
+
+
+def _lag_target(df: DataFrame) -> str:
+    """The column that lags are taken of: energy, else the first numeric one."""
+    numbers = [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
+    if "energy_kwh" in numbers or not numbers:
+        return "energy_kwh"
+    return numbers[0]
+
+
+def _with_utilisation(df: DataFrame) -> DataFrame:
+    """The utilisation, worked out from the durations if there is none in the whole table."""
+    computed = charger_utilization(df)
+    if _UTILISATION not in df.columns:
+        return df.withColumn(_UTILISATION, computed)
+    if not {"charging_duration_min", "session_duration_min"} <= set(df.columns):
+        return df
+    # one number, which the plan works out first
+    known = df.agg(F.count(_UTILISATION)).scalar()
+    return df.withColumn(_UTILISATION, F.when(known == 0, computed).otherwise(F.col(_UTILISATION)))
+
+
 def build_features(df: DataFrame, chunk: str = "year") -> DataFrame:
     """All features of the hourly table, which is read three times: pass a stored one.
 
     A queue counted on the sessions is kept, zero where a source has none. Without one, the
-    rows per station and hour are counted here.
+    rows per station and hour are counted here. A utilisation that is null throughout is
+    worked out anew, and without energy lags are taken of the first numeric column.
     """
-    if "charger_utilization_rate" not in df.columns:
-        df = df.withColumn("charger_utilization_rate", charger_utilization(df))
+    target = _lag_target(df)
+    df = _with_utilisation(df)
     ts = "timestamp" if "timestamp" in df.columns else "session_start"
     counted = "queue_length_proxy" in df.columns
     out = add_lags_and_rolling(
-        df, order=[ts], chunk=chunk, rows_per_hour=None if counted else "_rows")
+        df, target, _ROLLED, order=[ts], chunk=chunk, rows_per_hour=None if counted else "_rows")
     out = add_time_features(out, ts)
     queue = F.coalesce("queue_length_proxy", F.lit(0)) if counted else queue_of_rows()
     if {"active_chargers", "total_chargers"} <= set(out.columns):
@@ -261,9 +304,5 @@ def build_features(df: DataFrame, chunk: str = "year") -> DataFrame:
         density = clip((queue + 1) / F.lit(10.0), 0.0, 1.0)
     else:
         density = occupancy_of_rows()
-    return out.withColumns({
-        "revenue_per_session": revenue(out),
-        "energy_cost_per_kwh": energy_cost(out),
-        "queue_length_proxy": queue,
-        "occupancy_density": density,
-    }).drop("_rows")
+    values = (revenue(out), energy_cost(out), queue, density)
+    return out.withColumns(dict(zip(_OF_ROWS, values))).drop("_rows")

@@ -15,6 +15,31 @@ from chargelake.operators.metrics import (
 )
 
 
+def episode_metric(df: DataFrame, energy: str = "energy_kwh",
+                   utilization: str = "predicted_utilization",
+                   tariff: str = "dynamic_tariff") -> Metric:
+    """Revenue, utilisation, waiting, efficiency and response at the prices in `tariff`.
+
+    Revenue, gain and utilisation are not rounded; feedback works on the exact values.
+    """
+    if utilization not in df.columns:
+        utilization = "charger_utilization_rate"
+    parts = (
+        revenue_metric(df, energy, tariff) | waiting_metric(df, tariff=tariff)
+        | response_metric(df, tariff)
+        | efficiency_metric(df, revenue=f"{tariff.removesuffix('_tariff')}_revenue", energy=energy,
+                            tariff=tariff)
+    )
+    return Metric(parts.aggregates | {"_mean_use": F.avg(utilization)}, {
+        "revenue_INR": F.col("_new_revenue"),
+        "revenue_gain_pct": gain_percent(F.col("_old_revenue"), F.col("_new_revenue")),
+        "avg_utilization": F.col("_mean_use"),
+        "avg_wait_time_min": parts.results["dynamic_avg_wait_min"],
+        "pricing_efficiency": parts.results["dynamic_efficiency_per_kwh"],
+        "customer_response_rate": parts.results["customer_response_rate"],
+    })
+
+
 def period_metrics(df: DataFrame, unit: str | None = "day", ts: str = "timestamp",
                    energy: str = "energy_kwh", by: Sequence[str] = (),
                    utilization: str = "predicted_utilization",
@@ -22,39 +47,20 @@ def period_metrics(df: DataFrame, unit: str | None = "day", ts: str = "timestamp
     """Revenue, utilisation, waiting, efficiency and response per period and group.
 
     All metrics of a period come from the same aggregate. The table must be priced.
-    Revenue, gain and utilisation are not rounded; feedback works on the exact values.
     `forecast` names an observed column and its forecast, whose error and fit are added as
     `demand_rmse` and `demand_r2`.
     """
-    if utilization not in df.columns:
-        utilization = "charger_utilization_rate"
     groups = list(by)
     if unit:
         df = df.withColumn("period", floor_time(ts, unit))
         groups.append("period")
-    exact = Metric({"_mean_use": F.avg(utilization)}, {
-        "avg_utilization": F.col("_mean_use"),
-        "revenue_INR": F.col("_new_revenue"),
-        "revenue_gain_pct": gain_percent(F.col("_old_revenue"), F.col("_new_revenue")),
-    })
-    all_metrics = (
-        revenue_metric(df, energy) | waiting_metric(df) | response_metric(df)
-        | efficiency_metric(df, energy=energy) | exact
-    )
-    fit = []
+    metric = episode_metric(df, energy, utilization)
     if forecast:
-        all_metrics = all_metrics | regression_metric(*forecast)
-        fit = [F.col("RMSE").alias("demand_rmse"), F.col("R2").alias("demand_r2")]
-    return report(df, all_metrics, groups).select(
-        *groups,
-        *fit,
-        "revenue_INR",
-        "revenue_gain_pct",
-        "avg_utilization",
-        F.col("dynamic_avg_wait_min").alias("avg_wait_time_min"),
-        F.col("dynamic_efficiency_per_kwh").alias("pricing_efficiency"),
-        "customer_response_rate",
-    )
+        fit = regression_metric(*forecast)
+        metric = Metric(fit.aggregates | metric.aggregates, {
+            "demand_rmse": fit.results["RMSE"], "demand_r2": fit.results["R2"],
+        } | metric.results)
+    return report(df, metric, groups)
 
 
 def rounded_periods(df: DataFrame) -> DataFrame:

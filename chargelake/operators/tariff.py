@@ -10,6 +10,8 @@ from chargelake.functions.scalar import clip, tenth_index, without_nan
 
 _CELL = ["hour", "u_idx", "c_idx"]
 LOOKUP_CELLS = 24 * 11 * 11
+# prices of all cells in order, per application
+_SEARCHED: dict[str, str] = {}
 
 
 def tariff_lookup(spark: SparkSession) -> DataFrame:
@@ -45,19 +47,55 @@ def price_cell(df: DataFrame, utilization: str | None = "predicted_utilization",
     }
 
 
+def dense_price(spark: SparkSession, cell: dict[str, F.Column]) -> F.Column:
+    """The best tariff of a cell from an array of all 2,904, addressed by the cell's place.
+
+    The array is a constant of the plan, so nothing is joined. The search for it runs once
+    in the life of the application.
+    """
+    key = spark.sparkContext.applicationId
+    if key not in _SEARCHED:
+        order = sorted(tuple(r) for r in tariff_lookup(spark).collect())
+        _SEARCHED[key] = ",".join(repr(price) for *_, price in order)
+    prices = F.split(F.lit(_SEARCHED[key]), ",").cast("array<double>")
+    place = (cell["hour"] * 11 + cell["u_idx"]) * 11 + cell["c_idx"]
+    return F.get(prices, place)
+
+
+def _one_per_cell(lookup: DataFrame) -> DataFrame:
+    """A lookup from elsewhere with one row for each cell there is: 2,904 at most.
+
+    Two prices of a cell fail the query; cells that no row can have go.
+    """
+    hour, use, congestion = (F.col(c).cast("int") for c in _CELL)
+    possible = hour.between(0, 23) & use.between(0, 10) & congestion.between(0, 10)
+    once = F.when(F.min("tariff_inr").eqNullSafe(F.max("tariff_inr")), F.max("tariff_inr")).otherwise(
+        F.raise_error(F.lit("the tariff lookup has several prices for a cell")).cast("double"))
+    return (
+        lookup.filter(possible)
+        .groupBy(*[F.col(c).cast("int").alias(f"_{c}") for c in _CELL])
+        .agg(once.alias("tariff_inr"))
+    )
+
+
 def price_table(df: DataFrame, lookup: DataFrame | None = None,
                 utilization: str | None = "predicted_utilization", hour: str = "hour_of_day",
                 congestion: str = "congestion_probability",
                 name: str = "dynamic_tariff") -> DataFrame:
-    """Add the tariff of every row. The lookup has 2,904 rows, so it is broadcast."""
-    lookup = tariff_lookup(df.sparkSession) if lookup is None else lookup
+    """Add the tariff of every row, from the best tariffs or from a lookup given.
+
+    A given lookup is broadcast after it has been brought to one row per cell; rows in a
+    cell it lacks get the baseline tariff.
+    """
     cell = price_cell(df, utilization, hour, congestion)
+    kept = [F.col(f"`{c}`") for c in df.columns if c != name]
+    if lookup is None:
+        return df.select(*kept, dense_price(df.sparkSession, cell).alias(name))
     keyed = df.withColumns({f"_{c}": column for c, column in cell.items()})
-    table = lookup.select(*[F.col(c).alias(f"_{c}") for c in _CELL], "tariff_inr")
     tariff = F.coalesce(F.col("tariff_inr"), F.lit(config.BASELINE_TARIFF))
     return (
-        keyed.join(F.broadcast(table), [f"_{c}" for c in _CELL], "left")
-        .select(*[F.col(f"`{c}`") for c in df.columns if c != name], tariff.alias(name))
+        keyed.join(F.broadcast(_one_per_cell(lookup)), [f"_{c}" for c in _CELL], "left")
+        .select(*kept, tariff.alias(name))
     )
 
 

@@ -27,7 +27,7 @@ GRID_MEASURES = {
     "price": "price_per_kwh",
     "duration": "avg_duration_min",
 }
-GRID_TABLES = ["time", *GRID_MEASURES, "information", "stations"]
+GRID_TABLES = ["time", *GRID_MEASURES, "information"]
 
 # fixed values: grid attribute -> clean name
 GRID_ATTRIBUTES = {

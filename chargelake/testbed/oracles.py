@@ -642,6 +642,46 @@ SELECT station_id, time_period, period, action, tier, round(m, 6) AS multiplier
       AND n.time_period = p.time_period AND n.i = p.i + 1)
   SELECT * FROM path JOIN numbered USING (station_id, time_period, i))"""
 
+_CTE["final_multipliers"] = """
+SELECT tier, m FROM (
+  WITH RECURSIVE numbered AS (
+    SELECT row_number() OVER (ORDER BY period) AS i, CASE WHEN revenue_gain_pct < 0
+      THEN 'REDUCE_SURGE' WHEN avg_utilization < 0.3::DOUBLE THEN 'INCREASE_DISCOUNT' END AS action
+    FROM periods),
+  path AS (
+    SELECT 0::BIGINT AS i, tier, m FROM (VALUES ('off_peak', 0.7::DOUBLE), ('low', 0.9),
+      ('normal', 1.0), ('high', 1.2), ('surge', 1.5)) t(tier, m)
+    UNION ALL
+    SELECT n.i, p.tier, p.m * CASE WHEN n.action = 'REDUCE_SURGE' AND p.m > 1 THEN 0.95::DOUBLE
+      WHEN n.action = 'INCREASE_DISCOUNT' AND p.m < 1 THEN 0.95::DOUBLE ELSE 1 END
+    FROM path p JOIN numbered n ON n.i = p.i + 1)
+  SELECT * FROM path WHERE i = (SELECT max(i) FROM numbered))"""
+_TIER = """CASE WHEN coalesce(round(predicted_utilization, 6), 0) < 0.3::DOUBLE THEN 'off_peak'
+  WHEN round(predicted_utilization, 6) < 0.5::DOUBLE THEN 'low'
+  WHEN round(predicted_utilization, 6) < 0.7::DOUBLE THEN 'normal'
+  WHEN round(predicted_utilization, 6) < 0.8::DOUBLE THEN 'high' ELSE 'surge' END"""
+_START = f"""CASE {_TIER} WHEN 'off_peak' THEN 0.7::DOUBLE WHEN 'low' THEN 0.9::DOUBLE
+  WHEN 'normal' THEN 1 WHEN 'high' THEN 1.2::DOUBLE ELSE 1.5::DOUBLE END"""
+_SQL["scenario_metrics"] = " UNION ALL ".join(
+    f"SELECT '{name}' AS scenario, {_SHOWN} FROM ("
+    + _periods(f"(SELECT p.* REPLACE ({price} AS dynamic_tariff) FROM {source})") + ")"
+    for name, price, source in (
+        ("baseline", "15::DOUBLE", "priced p"), ("best", "dynamic_tariff", "priced p"),
+        ("tiers", f"15 * {_START}", "priced p"),
+        ("tiers_after_feedback", "15 * f.m",
+         f"priced p JOIN final_multipliers f ON f.tier = {_TIER}")))
+
+_SQL["sketched_quantiles"] = " UNION ALL ".join(f"""
+SELECT '{c}' AS measure, date_trunc('month', timestamp)::DATE AS month, '{n}' AS quantile,
+       round(quantile_cont({c}, {s}), 6) AS exact, true AS within
+FROM deliveries GROUP BY 2""" for c in ("energy_kwh", "duration_min")
+    for n, s in (("p05", 0.05), ("median", 0.5), ("p95", 0.95)))
+
+_SQL["sketched_distinct"] = """
+SELECT date_trunc('year', timestamp)::DATE AS year, count(*) AS rows,
+       count(DISTINCT station_id) AS exact, true AS within
+FROM deliveries GROUP BY 1"""
+
 _SESSION_TYPES = {
     "session_id": "string", "station_id": "string", "user_id": "string",
     "session_start": "timestamp_ntz", "session_end": "timestamp_ntz",

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from chargelake.functions.scalar import half_even, parse_time
 from chargelake.operators import (
     cleaning, demand, features as feat, metrics, monitor, profile, quantiles, reshape, rollup,
-    tariff,
+    scenarios, sketches, tariff,
 )
 from chargelake.operators.ledger import Ledger, clean_grid, clean_sessions
 from chargelake.plans import analytics, incremental
@@ -480,6 +480,19 @@ def monitoring_summary(spark, sf_dir):
         monitor.rounded_periods(_periods(spark, sf_dir))))
 
 
+@query
+def scenario_metrics(spark, sf_dir):
+    """Four price scenarios per day from one pass: fixed tariff, best tariffs, the tiers, and
+    the tiers after the feedback of all days."""
+    rows = stored(m.priced(spark, sf_dir), "priced")
+    path = monitor.multiplier_path(monitor.add_feedback(monitor.period_metrics(rows, "day")))
+    cases = {
+        "baseline": scenarios.baseline_price(), "best": F.col("dynamic_tariff"),
+        **scenarios.path_prices(path, half_even(F.col("predicted_utilization"), 6)),
+    }
+    return monitor.rounded_periods(scenarios.scenario_metrics(rows, cases, unit="day"))
+
+
 _FEEDBACK_GROUPS = ["station_id", "time_period"]
 
 
@@ -525,6 +538,46 @@ def numeric_summary_deliveries(spark, sf_dir):
     return rounded(profile.numeric_summary(m.table(spark, sf_dir, "lineitem")))
 
 
+_SHARES = {"p05": 0.05, "median": 0.5, "p95": 0.95}
+
+
+@query
+def sketched_quantiles(spark, sf_dir):
+    """Quantiles of a month's deliveries from sketches per day: the exact value, and whether
+    the sketch's is within the bound on ranks. (Sketches are random, so they aren't shown.)"""
+    rows = m.deliveries(spark, sf_dir).withColumn("month", F.trunc("timestamp", "month"))
+    daily = stored(sketches.daily_sketches(rows, ["energy_kwh", "duration_min"]), "daily")
+    found = stored(sketches.merged(daily, unit="month").select("month", *[
+        sketches.quantile(c, s).alias(f"{c}_{n}")
+        for c in ("energy_kwh", "duration_min") for n, s in _SHARES.items()]), "found")
+    parts = []
+    for column in ("energy_kwh", "duration_min"):
+        names = {n: f"{column}_{n}" for n in _SHARES}
+        exact = quantiles.quantiles(rows, column, _SHARES, ["month"])
+        bounds = sketches.rank_bounds(rows, column, found, list(names.values()), ["month"])
+        within = lambda n, share: (
+            (F.col(f"{names[n]}_below") - sketches.RANK_ERROR <= share)
+            & (F.col(f"{names[n]}_upto") + sketches.RANK_ERROR >= share))
+        parts.append(exact.join(bounds, "month").select(
+            F.lit(column).alias("measure"), "month", F.explode(F.array(*[
+                F.struct(F.lit(n).alias("quantile"), F.col(n).alias("exact"),
+                         within(n, s).alias("within")) for n, s in _SHARES.items()])).alias("q")
+        ).select("measure", "month", "q.*"))
+    return rounded(parts[0].unionByName(parts[1]))
+
+
+@query
+def sketched_distinct(spark, sf_dir):
+    """Stations per year from sketches per day, against the exact number."""
+    rows = m.deliveries(spark, sf_dir).withColumn("year", F.trunc("timestamp", "year"))
+    daily = sketches.daily_sketches(rows, keys=["station_id"])
+    found = sketches.merged(daily, unit="year").select(
+        "year", "rows", sketches.distinct("station_id").alias("estimate"))
+    exact = rows.groupBy("year").agg(F.count_distinct("station_id").alias("exact"))
+    near = F.abs(F.col("estimate") - F.col("exact")) <= sketches.DISTINCT_ERROR * F.col("exact")
+    return found.join(exact, "year").select("year", "rows", "exact", near.alias("within"))
+
+
 @query
 def value_counts(spark, sf_dir):
     rows = stored(m.merged(spark, sf_dir), "merged")

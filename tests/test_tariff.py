@@ -70,7 +70,7 @@ def test_price_without_columns(spark, lookup):
 
 def test_lookup_join_is_broadcast(spark, lookup, plan):
     df = spark.range(10).withColumn("hour_of_day", (F.col("id") % 24).cast("int"))
-    text = plan(tariff.price_table(df, tariff.tariff_lookup(spark)))
+    text = plan(tariff.price_table(df, lookup))
     assert "BroadcastHashJoin" in text and "Python" not in text
 
 
