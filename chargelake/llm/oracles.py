@@ -4,6 +4,10 @@ Not expressed: 3 and 12 (tokenizers), 4 (XXH64), 5 and 9 (learned models), the p
 hold brute-force versions of those.
 """
 
+from html import unescape
+from html.entities import html5
+from itertools import chain
+
 _WORD = r"'[^\x20\x09-\x0D]+'"
 
 _OP1 = rf"""
@@ -41,13 +45,6 @@ FROM v JOIN low ON v.vec_id = low.x LEFT JOIN degree ON degree.x = v.vec_id
 """
 
 
-def _unescaped(text: str) -> str:
-    for entity, character in (("&nbsp;", "' '"), ("&lt;", "'<'"), ("&gt;", "'>'"),
-                              ("&quot;", "'\"'"), ("&#39;", "''''"), ("&amp;", "'&'")):
-        text = f"replace({text}, '{entity}', {character})"
-    return text
-
-
 def _tidy(text: str) -> str:
     text = rf"regexp_replace({text}, '[ \t\r\f]+', ' ', 'g')"
     text = rf"regexp_replace({text}, ' ?\n[ \n]*', chr(10), 'g')"
@@ -61,39 +58,91 @@ def _record_id(kind: str, *parts: str) -> str:
     return f"('<urn:uuid:' || concat_ws('-', {cuts}) || '>')"
 
 
-_HIDDEN = r"(?is)<(?:script|style)\b[^>]*>.*?</(?:script|style)\s*>|<!--.*?-->|<!doctype[^>]*>"
+_HIDDEN = (r"(?is)<(?:script|style)\b[^>]*>.*?(?:</(?:script|style)\s*>|\z)|<!--.*?(?:-->|\z)"
+           r"|<!doctype[^>]*>")
 _BREAKS = (r"(?i)</?(?:p|br|div|h[1-6]|li|ul|ol|tr|table|article|section|nav|header|footer|title"
            r"|head|body|html|blockquote|pre)\b[^>]*>")
 _text = rf"regexp_replace(html, '{_HIDDEN}', ' ', 'g')"
 _text = rf"regexp_replace({_text}, '\n', ' ', 'g')"
 _text = f"regexp_replace({_text}, '{_BREAKS}', chr(10), 'g')"
-_text = _tidy(_unescaped(f"regexp_replace({_text}, '<[^>]*>', '', 'g')"))
+_text = f"regexp_replace({_text}, '<[^>]*>', '', 'g')"
 _title = r"regexp_replace(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title', 1), '\n', ' ', 'g')"
 _links = r"""regexp_extract_all(html, '(?i)<a\s[^>]*?href\s*=\s*["'']([^"'']*)["'']', 1)"""
 _NL = "(chr(13) || chr(10))"
 
-_OP6 = f"""
-WITH r AS (SELECT coalesce(html, '') AS html, coalesce(url, '') AS target_uri,
+
+def _values(pairs) -> str:
+    quoted = lambda x: str(x) if isinstance(x, int) else "'" + x.replace("'", "''") + "'"
+    return ", ".join(f"({quoted(a)}, {quoted(b)})" for a, b in pairs)
+
+
+# the public table of names, and the numbers that do not stand for their own character
+_NAMES = _values(sorted(html5.items()))
+_ODD = _values((n, unescape(f"&#{n};")) for n in chain(
+    range(1, 0xA0), range(0xFDD0, 0xFDF0), *[(p + 0xFFFE, p + 0xFFFF) for p in range(0, 0x110000, 0x10000)])
+    if unescape(f"&#{n};") != chr(n))
+
+_OP6 = rf"""
+WITH names(name, value) AS (VALUES {_NAMES}),
+odd(number, value) AS (VALUES {_ODD}),
+r AS (SELECT row_number() OVER () AS page, coalesce(html, '') AS html,
+       coalesce(url, '') AS target_uri,
        {_record_id("'response'", "coalesce(page_id::VARCHAR, '')", "coalesce(url, '')")} AS refers_to,
        strftime(TIMESTAMP '2024-01-01 00:00:00' + to_seconds(coalesce(page_id, 0)),
                 '%Y-%m-%dT%H:%M:%SZ') AS warc_date,
        'Content-Length: ' || strlen(coalesce(html, '')) AS length_line
   FROM pages),
-d AS (SELECT *, 'sha256:' || sha256(html) AS source_payload_digest,
+written AS MATERIALIZED (
+  SELECT page, 'title' AS kind, 1 AS n, {_title} AS t FROM r
+  UNION ALL SELECT page, 'text', 1, {_text} FROM r
+  UNION ALL SELECT page, 'link', unnest(generate_series(1, len({_links}))), unnest({_links}) FROM r),
+pieces AS MATERIALIZED (
+  SELECT page, kind, n, unnest(generate_series(1, len(string_split(t, '&')))) AS i,
+         unnest(string_split(t, '&')) AS p FROM written),
+numbered AS (
+  SELECT *, CASE WHEN regexp_matches(p, '^#[xX][0-9a-fA-F]')
+                 THEN ('0x' || regexp_extract(p, '^#[xX]([0-9a-fA-F]+)', 1))::BIGINT
+                 ELSE regexp_extract(p, '^#([0-9]+)', 1)::BIGINT END AS number,
+         length(regexp_extract(p, '^#(?:[0-9]+|[xX][0-9a-fA-F]+);?')) AS size
+  FROM pieces WHERE i > 1 AND regexp_matches(p, '^#(?:[0-9]|[xX][0-9a-fA-F])')),
+by_number AS (
+  SELECT page, kind, n, i, size, coalesce(odd.value, CASE WHEN numbered.number = 0
+         OR numbered.number BETWEEN 55296 AND 57343 OR numbered.number > 1114111
+         THEN chr(65533) ELSE chr(numbered.number::INT) END) AS value
+  FROM numbered LEFT JOIN odd ON odd.number = numbered.number),
+starts AS (SELECT page, kind, n, i, p, unnest(generate_series(2, least(length(p), 33))) AS size
+           FROM pieces WHERE i > 1 AND regexp_matches(p, '^[a-zA-Z]')),
+by_name AS (
+  SELECT page, kind, n, i, max(size) AS size, max_by(value, size) AS value
+  FROM starts JOIN names ON names.name = p[1:size]
+  -- in an attribute a name is whole, and ends with its semicolon or before neither = nor letters
+  WHERE kind <> 'link' OR p[size] = ';' OR NOT regexp_matches(p[size + 1:size + 1], '[a-zA-Z0-9=]')
+  GROUP BY page, kind, n, i),
+known AS (SELECT * FROM by_number UNION ALL SELECT * FROM by_name),
+decoded AS (
+  SELECT p.page, p.kind, p.n, string_agg(CASE WHEN p.i = 1 THEN p.p
+      WHEN k.size IS NULL THEN '&' || p.p
+      ELSE regexp_replace(k.value, '^[\x{{a0}}\t\n\r\f]', ' ') || p.p[k.size + 1:] END, '' ORDER BY p.i) AS t
+  FROM pieces p LEFT JOIN known k USING (page, kind, n, i) GROUP BY p.page, p.kind, p.n),
+links AS (SELECT page, string_agg('outlink: ' || t || {_NL}, '' ORDER BY n) AS listed
+          FROM decoded WHERE kind = 'link' GROUP BY page),
+d AS (SELECT r.*, title.t AS title, body.t AS body, coalesce(listed, '') AS listed,
+       'sha256:' || sha256(html) AS source_payload_digest,
        'sha256:' || sha256('HTTP/1.1 200 OK' || {_NL} || 'Content-Type: text/html; charset=utf-8'
-         || {_NL} || length_line || {_NL} || {_NL} || html) AS source_block_digest FROM r),
+         || {_NL} || length_line || {_NL} || {_NL} || html) AS source_block_digest
+  FROM r JOIN decoded title ON title.page = r.page AND title.kind = 'title'
+  JOIN decoded body ON body.page = r.page AND body.kind = 'text'
+  LEFT JOIN links ON links.page = r.page),
 made AS (
   SELECT *, 'metadata' AS record_type, 'application/warc-fields' AS content_type,
-    'title: ' || {_tidy(_unescaped(_title))} || {_NL}
-    || coalesce(array_to_string(list_transform({_links}, lambda x:
-         'outlink: ' || {_unescaped('x')} || {_NL}), ''), '')
+    'title: ' || {_tidy('title')} || {_NL} || listed
     || 'source-payload-digest: ' || source_payload_digest || {_NL}
     || 'source-block-digest: ' || source_block_digest || {_NL}
     || 'source-header: HTTP/1.1 200 OK' || {_NL}
     || 'source-header: Content-Type: text/html; charset=utf-8' || {_NL}
     || 'source-header: ' || length_line || {_NL} AS block FROM d
   UNION ALL
-  SELECT *, 'conversion', 'text/plain; charset=utf-8', {_text} FROM d),
+  SELECT *, 'conversion', 'text/plain; charset=utf-8', {_tidy('body')} FROM d),
 named AS (SELECT {_record_id('record_type', 'refers_to')} AS record_id, record_type, refers_to,
     target_uri, warc_date, content_type, strlen(block)::BIGINT AS content_length,
     'sha256:' || sha256(block) AS block_digest, source_payload_digest, source_block_digest, block

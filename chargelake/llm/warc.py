@@ -24,7 +24,9 @@ REFERENCE_IN_ATTRIBUTE = (
     r"&(#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[a-zA-Z][a-zA-Z0-9]{0,31}(?:;|(?![a-zA-Z0-9=])))")
 #: a referenced blank is one space: none makes a line of its own
 BLANK = dict.fromkeys(map(ord, "\xa0\t\n\r\f"), " ")
-HIDDEN = r"(?is)<(?:script|style)\b[^>]*>.*?</(?:script|style)\s*>|<!--.*?-->|<!doctype[^>]*>"
+#: what is no text; a script, style or comment that is not closed runs to the end
+HIDDEN = (r"(?is)<(?:script|style)\b[^>]*>.*?(?:</(?:script|style)\s*>|\z)|<!--.*?(?:-->|\z)"
+          r"|<!doctype[^>]*>")
 BREAKS = (r"(?i)</?(?:p|br|div|h[1-6]|li|ul|ol|tr|table|article|section|nav|header|footer|title"
           r"|head|body|html|blockquote|pre)\b[^>]*>")
 TAG = r"<[^>]*>"

@@ -7,6 +7,7 @@ from math import log2
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -173,17 +174,24 @@ def test_packing_round_trip(docs, texts):
     assert short <= 1 and len(sequences) == len({k[0] for k in sequences})
 
 
-def test_units_encode_as_the_text():
+def test_words_encode_as_the_text(monkeypatch):
     path = public_tokenizers.path("word_bpe_49k.json")
     from tokenizers import Tokenizer
     encoder, rng = Tokenizer.from_file(path), random.Random(1)
     parts = ["a", "s", "t", "'", "'s", ".", ",", "!", "É", "ß", "İ", "1", " ", "\n", "\xa0",
-             "́", "=", "̸", "<|", "<|endoftext|>", "…", "-", "中", "\x85", "LL"]
-    for _ in range(3000):
-        text = "".join(rng.choice(parts) for _ in range(rng.randint(0, 25)))
-        units = packing._units(text, packing.folds_case(path))
-        got = [i for w in units for i in encoder.encode(w.decode(), add_special_tokens=False).ids]
-        assert got == encoder.encode(text, add_special_tokens=False).ids
+             "́", "=", "̸", "<|", "<|endoftext|>", "…", "-", "中", "\x85", "LL", "ÿ", "÷", "é",
+             "Å", "µ", "à", "\x0b", "Ａ"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 25))) for _ in range(4000)]
+    want = [[*e.ids, 1] for e in encoder.encode_batch(texts, add_special_tokens=False)]
+    for limit in (400_000, 100):  # also where the words known are given up again and again
+        monkeypatch.setattr(packing, "_KNOWN_WORDS", limit)
+        known, got = packing.WordIds(encoder, packing.folds_case(path), 1), []
+        for at in range(0, len(texts), 500):
+            column = pa.array([None, *texts, None]).slice(at + 1, 500)
+            ids, bounds = known.encode(column)
+            got += [ids[a:b].tolist() for a, b in zip(bounds, bounds[1:])]
+        assert got == want
+    assert known.encode(pa.array([None, ""]))[0].tolist() == [1, 1]
 
 
 def test_mix_matches_targets_and_schedule(docs):
@@ -458,6 +466,16 @@ def test_warc_decodes_every_reference_and_takes_every_link(spark):
         assert r["block_digest"] == "sha256:" + hashlib.sha256(r["block"].encode()).hexdigest()
 
 
+def test_warc_repeats_and_what_is_not_closed(spark):
+    pages = spark.createDataFrame(
+        [(1, "u", f"<p>seen{tail}") for tail in (
+            "<script>var x = 1; <p>no", "<STYLE>p {} <p>no", "<!-- no <p>no", "<script>a</script><!--b-->")
+         for _ in range(2)], "page_id bigint, url string, html string")
+    rows = warc.derivatives(warc.responses(pages)).collect()
+    assert len(rows) == 16 and len({tuple(r) for r in rows}) == 8
+    assert {r["block"] for r in rows if r["record_type"] == "conversion"} == {"seen"}
+
+
 def test_url_lists_as_of(spark):
     from datetime import datetime as at
     entries = spark.createDataFrame([
