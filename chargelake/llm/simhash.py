@@ -3,10 +3,11 @@
 Two 64-bit fingerprints at distance d <= 4 differ in at most d of their eight bytes, so
 they share at least 8 - d positional bytes: the guaranteed minimum of matches. Posting
 lists of single (position, byte) pairs hold n / 256 fingerprints each, too many to tally
-over, so the index posts every set of as many positions as the guarantee names (70 sets of
-four for distance 4): fingerprints that share a list have tallied the minimum. For each
-pair that meets, the shared positional bytes are tallied, pairs below the minimum are
-dropped, and the rest verified by their bit distance.
+over, so the index posts every set of one position less than the guarantee names (56 sets
+of three for distance 4; a list holds about n / 2**24): whoever reaches the minimum meets in
+four lists at least, and a pair that meets in one may still lack the minimum. The shared
+positional bytes of each pair that meets are tallied, pairs below the minimum are dropped
+by that count alone, and the bit distance is worked out for the rest only.
 """
 
 from __future__ import annotations
@@ -85,6 +86,17 @@ def with_fingerprint(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     return keyed(docs, "text").mapInArrow(run, "id bigint, key bigint, fp bigint")
 
 
+def reaching(fp: np.ndarray, i: np.ndarray, j: np.ndarray, least: int
+             ) -> tuple[np.ndarray, np.ndarray]:
+    """Of the pairs of fingerprints i and j, those that share `least` positional bytes."""
+    tally = np.zeros(len(i), np.int8)
+    for position in range(0, 64, 8):
+        byte = (fp >> np.uint64(position)).astype(np.uint8)
+        tally += byte[i] == byte[j]
+    enough = tally >= least
+    return i[enough], j[enough]
+
+
 def links(prints: DataFrame, distance: int = DISTANCE) -> DataFrame:
     """Distinct fingerprints (fp) to links (src, dst) that connect all within `distance` bits.
 
@@ -93,7 +105,7 @@ def links(prints: DataFrame, distance: int = DISTANCE) -> DataFrame:
     """
     least = max(8 - distance, 1)
     masks = []
-    for kept in combinations(range(8), least):
+    for kept in combinations(range(8), max(least - 1, 1)):
         mask = sum(0xFF << (8 * b) for b in kept)
         masks.append(mask - (1 << 64) if mask >> 63 else mask)
     # by number: small as the table is, its many postings are work for all tasks
@@ -106,9 +118,8 @@ def links(prints: DataFrame, distance: int = DISTANCE) -> DataFrame:
 
     def verify(rows: dict, i: np.ndarray, j: np.ndarray) -> pa.RecordBatch | None:
         fp = rows["fp"].view(np.uint64)
-        apart = fp[i] ^ fp[j]
-        shared = (apart.view(np.uint8).reshape(-1, 8) == 0).sum(axis=1)
-        near = (shared >= least) & (np.bitwise_count(apart) <= distance)
+        i, j = reaching(fp, i, j, least)
+        near = np.bitwise_count(fp[i] ^ fp[j]) <= distance
         if not near.any():
             return None
         i, j = i[near], j[near]

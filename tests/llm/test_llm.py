@@ -142,6 +142,45 @@ def test_simhash_groups(docs, texts):
     assert kept.columns == docs.columns and kept.count() == len(set(label))
 
 
+def test_simhash_pairs_are_dropped_by_the_count_alone(spark, monkeypatch, tmp_path):
+    rng = random.Random(9)
+    base = [rng.getrandbits(64) for _ in range(40)]
+    flipped = lambda x, bits: x ^ sum(1 << b for b in bits)
+    prints = list(base)
+    for x in base:
+        prints.append(flipped(x, rng.sample(range(64), 4)))         # near, in up to four bytes
+        prints.append(flipped(x, rng.sample(range(64), 5)))         # one bit too far
+        # three bytes shared, the others wholly different: met, but short of the minimum
+        prints.append(x ^ int.from_bytes(bytes([0, 0, 0, *[255] * 5]), "little"))
+        # shared bytes too few by one, and only one bit off in each of the others
+        prints.append(flipped(x, [8 * b for b in range(5)]))
+    prints = sorted(set(prints))
+    counted = tmp_path / "counted"
+    real = simhash.reaching
+
+    def spied(fp, i, j, least):
+        out = real(fp, i, j, least)
+        with counted.open("a") as file:
+            file.write(f"{len(i)} {len(out[0])}\n")
+        return out
+
+    monkeypatch.setattr(simhash, "reaching", spied)
+    signed = [(p - (1 << 64) if p >> 63 else p,) for p in prints]
+    got = simhash.links(spark.createDataFrame(signed, "fp bigint")).collect()
+    met, kept = (sum(x) for x in zip(*[map(int, line.split()) for line in counted.open()]))
+    assert met - kept >= 40 and kept >= 40
+    label = brute_groups(prints)
+    groups = {p: l for p, l in zip(prints, label)}
+    for src, dst in got:
+        assert groups[src % (1 << 64)] == groups[dst % (1 << 64)]
+    joined = {p: p for p in prints}
+    for _ in prints:
+        for src, dst in got:
+            low = min(joined[src % (1 << 64)], joined[dst % (1 << 64)])
+            joined[src % (1 << 64)] = joined[dst % (1 << 64)] = low
+    assert len(set(joined.values())) == len(set(label))
+
+
 def test_packing_round_trip(docs, texts):
     path = public_tokenizers.path("word_bpe_49k.json")
     from tokenizers import Tokenizer
