@@ -19,8 +19,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
-from chargelake.llm.common import steps
-from chargelake.llm.longtext import LIMIT, parts
+from chargelake.llm.common import steps, utf8
+from chargelake.llm.longtext import LIMIT, binary, parts
 
 # by bytes: a character is one byte below 0x80, or a leading byte and what continues it
 _UNIT = r"[A-Za-z]+|[\x00-\x7f]|[\xc0-\xff][\x80-\xbf]*"
@@ -135,7 +135,8 @@ def fill_in_middle(docs: DataFrame, layout: Layout = Layout()) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for some in steps(batch, limit=LIMIT):
-                text = some.column("text").cast(pa.large_binary()).fill_null(b"")
+                data, offsets = utf8(some.column("text"))
+                text = binary(data[offsets[0]:offsets[-1]], offsets - offsets[0])
                 h1, h2, h3, h4 = (some.column(f"h{i}").to_numpy() for i in range(1, 5))
                 n, pieces = _split(text, h1, h2)
                 form, output, plain = _arranged(text, n, h3, h4, pieces, layout)
