@@ -15,19 +15,19 @@ from __future__ import annotations
 import json
 import os
 import re
-import sys
 from array import array
 from collections.abc import Iterator
 from itertools import chain
-from types import ModuleType
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from chargelake.llm.common import doc_id, steps, stored, keyed
+from chargelake.llm.common import doc_id, keyed, steps, stored, utf8
+from chargelake.llm.longtext import binary
 
 TIERS = (2048, 1024, 512, 256)
 END = 1
@@ -37,10 +37,18 @@ STEP_TOKENS = 1 << 20
 BLOCK = 1 << 18
 #: offsets are broadcast up to this many rows (tasks times tiers), joined plainly beyond
 BROADCAST_ROWS = 50_000
-#: words a worker keeps the ids of
-_KNOWN_WORDS = 1_000_000
-#: begins with the rare bytes, so that a search skips over words
-_STOPS = re.compile(rb"[.,;:!?](?<=[a-z0-9].)[.,;:!?]*(?=\s|$)")
+#: words a task keeps the ids of, before it begins anew
+_KNOWN_WORDS = 300_000
+#: text that is split into words at a time
+_STEP = 1 << 20
+#: the stops behind a word
+_STOPS = r"([a-z0-9])([.,;:!?]+)(\s|$)"
+#: words that are one run of letters to the tokenizer and that its normalizer leaves alone:
+#: a to z and the small letters of Latin-1
+_PLAIN = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+")
+#: byte-level form: bytes that are no visible characters of Latin-1 are numbered from U+0100
+_FORM = {byte: 256 + i for i, byte in enumerate(
+    [*range(0x21), *range(0x7F, 0xA1), 0xAD])}
 
 
 def folds_case(tokenizer: str) -> bool:
@@ -54,67 +62,77 @@ def folds_case(tokenizer: str) -> bool:
             and pattern.endswith(r"[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"))
 
 
-def _units(text: str | None, fold: bool) -> list[bytes]:
-    """Words to encode one by one; their ids together are those of the text.
+class WordIds:
+    """Token ids of texts, word by word; a word's ids are worked out once in a task.
 
-    Where the tokenizer does the same itself, A-Z is lowered and a word's last stops are cut
-    off, so that fewer different words are left. Texts that might hold a special token's
-    string are left as they are.
+    `places` maps words to places in `flat`, a list of ids. Where the tokenizer does the same
+    itself, A-Z is lowered and the stops behind a word are cut off, so that fewer different
+    words are left. Texts that might hold a special token's string are left as they are.
     """
-    data = (text or "").encode()
-    if fold and b"<|" not in data:
-        data = _STOPS.sub(rb" \g<0>", data.lower())
-    return data.split()
-
-
-class WordIds(dict):
-    """Words to places in one flat list of token ids; `end` is the id of the empty word."""
-
-    def __init__(self, key: tuple):
-        super().__init__()
-        self.key, self.new = key, []
-        self.flat, self.stops = array("I"), array("q", [0])
-
-    def __missing__(self, word: bytes) -> int:
-        place = self[word] = len(self)
-        self.new.append(word)
-        return place
-
-    def encode(self, split: list[list[bytes]], encoder, end: int) -> tuple[bytes, list[int]]:
-        """Ids of all documents, each with `end` behind, and where each begins."""
-        if len(self) > _KNOWN_WORDS:
-            self.clear()
-            self.flat, self.stops = array("I"), array("q", [0])
-        if not self:
-            self[b""] = 0
-            self.flat.append(end)
-            self.stops.append(1)
-        counts = np.fromiter(map(len, split), np.int64, len(split))
-        words = np.fromiter(map(self.__getitem__, chain.from_iterable(split)), np.int64,
-                            int(counts.sum()))
-        new, self.new = self.new, []
-        for at in range(0, len(new), 20_000):
-            for e in encoder.encode_batch_fast(
-                    [w.decode() for w in new[at:at + 20_000]], add_special_tokens=False):
-                self.flat.extend(e.ids)
-                self.stops.append(len(self.flat))
-        words = np.insert(words, np.cumsum(counts), 0)
-        stops = np.array(self.stops)
-        sizes = (stops[1:] - stops[:-1])[words]
-        ends = np.cumsum(sizes)
-        ids = np.array(self.flat)[np.repeat(stops[words] - ends + sizes, sizes)
-                                  + np.arange(ends[-1])]
-        last = np.cumsum(counts + 1) - 1
-        return ids.astype("<u4").tobytes(), [0, *ends[last].tolist()]
-
 
-def _kept(kind: type, key: tuple):
-    """An object that later tasks of the same worker process find again."""
-    process = sys.modules.setdefault("_kept_by_worker", ModuleType("_kept_by_worker"))
-    kept = getattr(process, "word_ids", None)
-    if kept is None or kept.key != key:
-        kept = process.word_ids = kind(key)
-    return kept
+    def __init__(self, encoder, fold: bool, end: int):
+        self.encoder, self.fold, self.end = encoder, fold, end
+        self._forget()
+
+    def _forget(self) -> None:
+        self.places: dict[bytes, int] = {}
+        self.flat, self.begins, self.sizes = array("I", [self.end]), array("q", [0]), array("q", [1])
+
+    def _learn(self, words: list[bytes]) -> None:
+        """Places of words that have none."""
+        model, plain, fold, other = self.encoder.model.tokenize, _PLAIN.fullmatch, self.fold, []
+        found = []
+        for word in words:
+            if fold and plain(word):
+                # a lone run of letters: only the byte-level form is left to make of it
+                form = word.decode() if word.isascii() else word.decode("latin-1").translate(_FORM)
+                found.append([t.id for t in model(form)])
+            else:
+                other.append(word)
+                found.append(None)
+        others = iter([e.ids for at in range(0, len(other), 20_000)
+                       for e in self.encoder.encode_batch_fast(
+                           [w.decode() for w in other[at:at + 20_000]], add_special_tokens=False)])
+        found = [next(others) if ids is None else ids for ids in found]
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        self.begins.frombytes((np.cumsum(sizes) - sizes + len(self.flat)).tobytes())
+        self.sizes.frombytes(sizes.tobytes())
+        self.flat.extend(chain.from_iterable(found))
+        self.places.update(zip(words, range(len(self.sizes) - len(found), len(self.sizes))))
+
+    def _folded(self, column: pa.Array) -> pa.Array:
+        """Texts in lower case, with a space before the stops behind a word."""
+        data, offsets = utf8(column)
+        data, offsets = data[offsets[0]:offsets[-1]], offsets - offsets[0]
+        text = binary(data, offsets).cast(pa.large_string())
+        if not self.fold:
+            return text
+        lower = data + (((data >= 0x41) & (data <= 0x5A)).astype(np.uint8) << np.uint8(5))
+        cut = pc.replace_substring_regex(binary(lower, offsets).cast(pa.large_string()),
+                                         pattern=_STOPS, replacement=r"\1 \2\3")
+        return pc.if_else(pc.match_substring(text, "<|"), text, cut)
+
+    def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, each with `end` behind, and where each begins."""
+        if len(self.places) > _KNOWN_WORDS:
+            self._forget()
+        lists = pc.ascii_split_whitespace(self._folded(column))
+        words, parent = pc.list_flatten(lists), pc.list_parent_indices(lists)
+        real = pc.greater(pc.binary_length(words), 0)
+        words, parent = pc.filter(words, real), pc.filter(parent, real).to_numpy()
+        coded = pc.dictionary_encode(words)
+        distinct = coded.dictionary.cast(pa.large_binary()).to_pylist()
+        self._learn([w for w in distinct if w not in self.places])
+        place_of = np.fromiter(map(self.places.__getitem__, distinct), np.int64, len(distinct))
+        # the place 0 is that of `end`
+        after = np.searchsorted(parent, np.arange(len(column)), side="right")
+        places = np.insert(place_of[coded.indices.to_numpy()], after, 0)
+        sizes = np.array(self.sizes)[places]
+        ends = np.cumsum(sizes)
+        total = int(ends[-1]) if len(ends) else 0
+        ids = np.array(self.flat, "<u4")[
+            np.repeat(np.array(self.begins)[places] - ends + sizes, sizes) + np.arange(total)]
+        return ids, np.concatenate([[0], ends[after + np.arange(len(column))]])
 
 
 def pieces(docs: DataFrame, tokenizer: str, end: int = END,
@@ -135,16 +153,15 @@ def pieces(docs: DataFrame, tokenizer: str, end: int = END,
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        encoder = Tokenizer.from_file(tokenizer)
+        known = WordIds(Tokenizer.from_file(tokenizer), fold, end)
         part = TaskContext.get().partitionId()
-        known = _kept(WordIds, (tokenizer, fold, end))
         nth = np.zeros(len(tiers), np.int64)
         gaps = np.zeros(len(tiers), np.int64)
         tokens = np.zeros(len(tiers), np.int64)
         for batch in batches:
-            for some in steps(batch):
-                split = [_units(t, fold) for t in some.column("text").to_pylist()]
-                ids, bounds = known.encode(split, encoder, end)
+            for some in steps(batch, limit=_STEP):
+                ids, bounds = known.encode(some.column("text"))
+                ids, bounds = ids.tobytes(), bounds.tolist()
                 rows = []
                 for d, (begin, stop) in enumerate(zip(bounds, bounds[1:])):
                     total = stop - begin
@@ -167,6 +184,8 @@ def pieces(docs: DataFrame, tokenizer: str, end: int = END,
                      pa.array(n, pa.int64()), pa.array(g, pa.int64()), pa.array(t, pa.int64())],
                     ["id", "key", "start", "length", "doc_tokens", "ids", "tier", "part",
                      "nth", "gaps", "tokens"])
+            # the worker lives on: give back what this batch needed
+            pa.default_memory_pool().release_unused()
 
     return keyed(docs, "text").mapInArrow(
         run, "id bigint, key bigint, start bigint, length bigint, doc_tokens bigint, "
