@@ -1,11 +1,14 @@
 """Merkle fingerprints of documents, with built-in functions only.
 
-A text is cut into paragraphs at line breaks and sentence ends, and after 96 characters
-without one. Paragraphs are grouped to sections behind each whose hash ends in 0 or 8
-(about every eighth), so an edit moves no border but its own. A section's node is the hash
-of its paragraphs' hashes and the root that of the sections' nodes: equal roots mean equal
-texts, and only sections whose nodes differ need a look to find an edit. The fingerprint
-writes the root and, section by section, the first 32 bits of each paragraph's hash.
+A text is cut into paragraphs at line breaks and sentence ends, and after WIDTHS characters
+without one (fewer in short texts). Paragraphs are grouped to sections behind each whose
+hash ends in 0 or 8 (about every eighth), so an edit moves no border but its own. A
+section's node is the hash of its paragraphs' hashes and the root that of the nodes.
+
+The fingerprint writes the tree: the root, and per section its node and its leaves, 24 bits
+of each paragraph's hash with the paragraph's length. Comparing two goes down the tree: equal
+roots are equal texts; of the sections, those with equal nodes are equal; only leaves of the
+others are looked at. Lengths say how much is alike and where an edit lies.
 """
 
 from __future__ import annotations
@@ -14,12 +17,24 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from chargelake.llm.common import doc_id, keyed, stored
 
-PARAGRAPH = r"[^.!?\n]{1,96}+[.!?\n]*+|[.!?\n]++"
+#: longest paragraph by the length of the text: (texts shorter than, characters)
+WIDTHS = ((32, 1), (512, 8), (None, 96))
+#: digits of a leaf: the hash's, and two of the length, which is 99 at most
+_LEAF = "[0-9a-f]{6}[0-9]{2}"
+
+
+def paragraph_pattern(width: int) -> str:
+    return r"[^.!?\n]{1,%d}+[.!?\n]{0,3}+|[.!?\n]{1,99}+" % width
 
 
 def paragraphs(text: Column) -> Column:
     """Consecutive pieces that make up the whole text; none for an empty one."""
-    return F.regexp_extract_all(text, F.lit(PARAGRAPH), F.lit(0))
+    cut = lambda width: F.regexp_extract_all(text, F.lit(paragraph_pattern(width)), F.lit(0))
+    *short, (_, widest) = WIDTHS
+    pieces = cut(widest)
+    for below, width in reversed(short):
+        pieces = F.when(F.length(text) < below, cut(width)).otherwise(pieces)
+    return pieces
 
 
 def _closes(hashed: Column) -> Column:
@@ -27,52 +42,81 @@ def _closes(hashed: Column) -> Column:
 
 
 def fingerprint(text: Column) -> Column:
-    """root:paragraphs of section 1;paragraphs of section 2;... in hexadecimal digits."""
-    hashes = F.transform(paragraphs(text), lambda p: F.md5(p))
-    joined = F.array_join(F.transform(
-        hashes, lambda h: F.concat(h, F.when(_closes(h), ";").otherwise(""))), "")
-    nodes = F.transform(F.split(F.rtrim(joined, F.lit(";")), ";"), lambda s: F.md5(s))
-    root = F.substring(F.sha2(F.array_join(nodes, ""), 256), 1, 32)
-    # the same string with 8 of each 32 digits
-    short = F.regexp_replace(joined, "([0-9a-f]{8})[0-9a-f]{24}", "$1")
-    return F.concat(root, F.lit(":"), short)
+    """root:node=leaves;node=leaves;... in hexadecimal digits, nodes as n and seven of them."""
+    # 32 digits of hash and two of length, and a ; behind the last of a section
+    leaves = F.transform(paragraphs(text), lambda p: F.concat(
+        F.md5(p), F.lpad(F.length(p).cast("string"), 2, "0")))
+    entries = F.array_join(F.transform(
+        leaves, lambda x: F.concat(x, F.when(_closes(x), ";").otherwise(""))), "")
+    branches = F.filter(F.split(entries, ";"), lambda x: x != "")
+    short = lambda x: F.regexp_replace(x, "([0-9a-f]{6})[0-9a-f]{26}([0-9]{2})", "$1$2")
+    written = F.transform(branches, lambda x: F.concat(
+        F.lit("n"), F.substring(F.md5(x), 1, 7), F.lit("="), short(x)))
+    root = F.substring(F.sha2(F.array_join(F.transform(branches, lambda x: F.md5(x)), ""), 256), 1, 32)
+    return F.concat(root, F.lit(":"), F.array_join(written, ";"))
+
+
+def _sections(print_: Column) -> Column:
+    return F.filter(F.split(F.substring_index(print_, ":", -1), ";"), lambda x: x != "")
+
+
+def _leaves(sections_: Column) -> Column:
+    """The leaves of sections, in order: n and the node's seven digits are not one."""
+    return F.regexp_extract_all(F.array_join(sections_, ";"), F.lit(_LEAF), F.lit(0))
+
+
+def _length(leaves: Column) -> Column:
+    """Characters that leaves stand for."""
+    return F.aggregate(leaves, F.lit(0).cast("bigint"), lambda total, leaf: total + F.substring(
+        leaf, 7, 2).cast("bigint"))
 
 
 def likeness(one: Column, other: Column) -> Column:
-    """0 to 1: twice the paragraphs that two fingerprints share over those of both."""
-    def known(print_: Column) -> Column:
-        return F.array_distinct(F.regexp_extract_all(
-            F.substring_index(print_, ":", -1), F.lit("[0-9a-f]{8}"), F.lit(0)))
+    """0 to 1: twice the characters that two fingerprints share, over those of both.
+
+    Equal roots share all. Else sections of equal nodes do, and of the other sections the
+    leaves that both have. A section or leaf that a text repeats counts once.
+    """
+    a, b = _sections(one), _sections(other)
+    rest_a, rest_b = F.array_except(a, b), F.array_except(b, a)
+    leaves_a, leaves_b = (F.array_distinct(_leaves(x)) for x in (rest_a, rest_b))
+    same = _length(_leaves(F.array_intersect(a, b)))
+    shared = 2 * (same + _length(F.array_intersect(leaves_a, leaves_b)))
+    both = 2 * same + _length(leaves_a) + _length(leaves_b)
+    return F.when(F.substring(one, 1, 32) == F.substring(other, 1, 32), F.lit(1.0)).when(
+        both == 0, F.lit(0.0)).otherwise(shared / both)
+
 
-    a, b = known(one), known(other)
-    both = F.size(a) + F.size(b)
-    return F.when(one == other, F.lit(1.0)).when(both == 0, F.lit(0.0)).otherwise(
-        2.0 * F.size(F.array_intersect(a, b)) / both)
+def _same_ahead(a: Column, b: Column) -> Column:
+    """How many elements two arrays have alike from the front."""
+    differ = F.array_position(F.zip_with(a, b, lambda x, y: x.eqNullSafe(y)), False)
+    return F.when(differ > 0, differ - 1).otherwise(F.size(a)).cast("int")
 
 
-def sections(text: Column) -> Column:
-    """The sections: node, start (0-based code point) and length (code points)."""
-    pieces = paragraphs(text)
-    hashes = F.transform(pieces, lambda p: F.md5(p))
-    count = F.size(pieces)
-    ends = F.filter(F.sequence(F.lit(1), F.greatest(count, F.lit(1))), lambda i: (
-        (i <= count) & ((i == count) | _closes(F.try_element_at(hashes, i)))))
+def _like_ahead(a: Column, b: Column) -> Column:
+    """Characters that two lists of sections have alike from the front: whole sections, and
+    leaves of the first section that differs."""
+    n = _same_ahead(a, b)
+    one, two = (_leaves(F.slice(x, n + 1, F.lit(1))) for x in (a, b))
+    return _length(_leaves(F.slice(a, F.lit(1), n))) + _length(
+        F.slice(one, F.lit(1), _same_ahead(one, two)))
 
-    def section(end: Column, i: Column) -> Column:
-        begin = F.when(i > 0, F.try_element_at(ends, i)).otherwise(0)
-        before = F.array_join(F.slice(pieces, 1, begin), "")
-        return F.struct(
-            F.md5(F.array_join(F.slice(hashes, begin + 1, end - begin), "")).alias("node"),
-            F.length(before).alias("start"),
-            F.length(F.array_join(F.slice(pieces, begin + 1, end - begin), "")).alias("length"))
 
-    return F.transform(ends, section)
+def edit_places(one: Column, other: Column) -> Column:
+    """start and end (0-based characters of the first text) around all that differs, from the
+    fingerprints alone; null where they are equal."""
+    a, b = _sections(one), _sections(other)
+    total = _length(_leaves(a))
+    start = _like_ahead(a, b)
 
+    def backwards(sections_: Column) -> Column:
+        # the leaves of each section the other way round as well
+        return F.transform(F.reverse(sections_), lambda x: F.array_join(
+            F.reverse(F.regexp_extract_all(x, F.lit(_LEAF), F.lit(0))), ""))
 
-def edits(text: Column, other: Column) -> Column:
-    """Sections of `text` whose nodes `other` lacks: where it was edited."""
-    nodes = F.transform(sections(other), lambda s: s["node"])
-    return F.filter(sections(text), lambda s: ~F.array_contains(nodes, s["node"]))
+    end = F.greatest(start, total - _like_ahead(backwards(a), backwards(b)))
+    return F.when(F.substring(one, 1, 32) != F.substring(other, 1, 32), F.struct(
+        start.alias("start"), end.alias("end")))
 
 
 def _sent_to(rows: DataFrame) -> DataFrame:
@@ -122,5 +166,7 @@ def fingerprinted(docs: DataFrame, share: int = 4) -> DataFrame:
         .withColumn("edited_fingerprint", fingerprint(F.col("edited")))
         .withColumn("near_edited", likeness(F.col("fingerprint"), F.col("edited_fingerprint")))
         .withColumn("near_next", likeness(F.col("fingerprint"), F.col("next_print")))
-        .drop("next_print")
+        .withColumn("place", edit_places(F.col("fingerprint"), F.col("edited_fingerprint")))
+        .withColumns({"edit_start": F.col("place.start"), "edit_end": F.col("place.end")})
+        .drop("next_print", "place")
     )

@@ -155,7 +155,52 @@ SELECT *, 'WARC/1.1' || {_NL} || 'WARC-Type: ' || record_type || {_NL}
 FROM named
 """
 
-_OP7 = r"""
+def _sections(print_: str) -> str:
+    return f"list_filter(string_split(split_part({print_}, ':', 2), ';'), lambda x: x <> '')"
+
+
+def _leaves(sections: str) -> str:
+    return f"regexp_extract_all(array_to_string({sections}, ';'), '[0-9a-f]{{6}}[0-9]{{2}}')"
+
+
+def _chars(leaves: str) -> str:
+    return f"coalesce(list_sum(list_transform({leaves}, lambda x: x[7:8]::BIGINT)), 0)::BIGINT"
+
+
+def _alike(a: str, b: str) -> str:
+    """How many elements two lists have alike from the front."""
+    return (f"(coalesce(list_position(list_transform(list_zip({a}, {b}), lambda z: "
+            f"z[1] IS NOT DISTINCT FROM z[2]), false), len({a}) + 1) - 1)")
+
+
+def _near(a: str, b: str) -> str:
+    # sections of each, the sections alike, and the distinct leaves of those that are not
+    return f"""(SELECT CASE WHEN substr({a}, 1, 32) = substr({b}, 1, 32) THEN 1.0::DOUBLE
+       WHEN 2 * s + {_chars('la')} + {_chars('lb')} = 0 THEN 0.0::DOUBLE
+       ELSE (2 * (s + {_chars('list_intersect(la, lb)')}))::DOUBLE
+            / (2 * s + {_chars('la')} + {_chars('lb')}) END
+  FROM (SELECT {_chars(_leaves('list_intersect(sa, sb)'))} AS s,
+         list_distinct({_leaves('list_filter(sa, lambda x: NOT list_contains(sb, x))')}) AS la,
+         list_distinct({_leaves('list_filter(sb, lambda x: NOT list_contains(sa, x))')}) AS lb
+    FROM (SELECT list_distinct({_sections(a)}) AS sa, list_distinct({_sections(b)}) AS sb)))"""
+
+
+def _ahead(a: str, b: str) -> str:
+    one, two = (_leaves(f"{x}[n + 1:n + 1]") for x in ("sa", "sb"))
+    return f"""(SELECT {_chars(_leaves('sa[1:n]'))} + {_chars(f"({one})[1:{_alike(one, two)}]")}
+  FROM (SELECT sa, sb, {_alike('sa', 'sb')} AS n FROM (SELECT {a} AS sa, {b} AS sb)))"""
+
+
+def _backwards(sections: str) -> str:
+    return (f"list_transform(list_reverse({sections}), lambda x: array_to_string(list_reverse("
+            f"regexp_extract_all(x, '[0-9a-f]{{6}}[0-9]{{2}}')), ''))")
+
+
+def _cut(width: int) -> str:
+    return rf"regexp_extract_all(s, '[^.!?\n]{{1,{width}}}[.!?\n]{{0,3}}|[.!?\n]{{1,99}}')"
+
+
+_OP7 = rf"""
 WITH t AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
 n AS (SELECT doc_id, text, length(text) AS n_chars, coalesce(
         lead(text) OVER (ORDER BY doc_id),
@@ -165,28 +210,29 @@ e AS (SELECT *, substr(text, 1, n_chars - n_chars // 4) || substr(next, 1, n_cha
       FROM n),
 texts AS (SELECT doc_id, 'own' AS kind, text AS s FROM e UNION ALL
           SELECT doc_id, 'edited', edited FROM e UNION ALL SELECT doc_id, 'next', next FROM e),
-hashed AS (SELECT doc_id, kind, coalesce(array_to_string(list_transform(
-             regexp_extract_all(s, '[^.!?\n]{1,96}[.!?\n]*|[.!?\n]+'),
-             lambda p: md5(p) || CASE WHEN substr(md5(p), 32, 1) IN ('0', '8') THEN ';' ELSE '' END),
-             ''), '') AS joined FROM texts),
-prints AS (SELECT doc_id, kind, substr(sha256(array_to_string(list_transform(
-             string_split(rtrim(joined, ';'), ';'), lambda s: md5(s)), '')), 1, 32) || ':'
-             || regexp_replace(joined, '([0-9a-f]{8})[0-9a-f]{24}', '\1', 'g') AS print
-           FROM hashed),
+hashed AS (SELECT doc_id, kind, list_filter(string_split(coalesce(array_to_string(list_transform(
+             CASE WHEN length(s) < 32 THEN {_cut(1)} WHEN length(s) < 512 THEN {_cut(8)}
+                  ELSE {_cut(96)} END, lambda p: md5(p) || lpad(length(p)::VARCHAR, 2, '0')
+               || CASE WHEN substr(md5(p), 32, 1) IN ('0', '8') THEN ';' ELSE '' END), ''), ''),
+             ';'), lambda x: x <> '') AS branches FROM texts),
+prints AS (SELECT doc_id, kind, substr(sha256(coalesce(array_to_string(list_transform(branches,
+             lambda x: md5(x)), ''), '')), 1, 32) || ':' || coalesce(array_to_string(
+             list_transform(branches, lambda x: 'n' || substr(md5(x), 1, 7) || '='
+               || regexp_replace(x, '([0-9a-f]{{6}})[0-9a-f]{{26}}([0-9]{{2}})', '\1\2', 'g')),
+             ';'), '') AS print FROM hashed),
 wide AS (SELECT doc_id, max(print) FILTER (WHERE kind = 'own') AS own,
                 max(print) FILTER (WHERE kind = 'edited') AS edited_print,
                 max(print) FILTER (WHERE kind = 'next') AS next_print FROM prints GROUP BY doc_id),
-sets AS (SELECT *, list_distinct(regexp_extract_all(substr(own, 34), '[0-9a-f]{8}')) AS a,
-                list_distinct(regexp_extract_all(substr(edited_print, 34), '[0-9a-f]{8}')) AS b,
-                list_distinct(regexp_extract_all(substr(next_print, 34), '[0-9a-f]{8}')) AS c
-         FROM wide)
+places AS (SELECT *, {_ahead(_sections('own'), _sections('edited_print'))} AS ahead,
+    {_chars(_leaves(_sections('own')))} - {_ahead(_backwards(_sections('own')),
+                                                  _backwards(_sections('edited_print')))} AS behind,
+    substr(own, 1, 32) <> substr(edited_print, 1, 32) AS differ FROM wide)
 SELECT doc_id, n_chars::BIGINT AS n_chars, sha256(edited) AS edited_sha256, own AS fingerprint,
-       edited_print AS edited_fingerprint,
-       CASE WHEN own = edited_print THEN 1.0::DOUBLE WHEN len(a) + len(b) = 0 THEN 0.0::DOUBLE
-            ELSE 2.0::DOUBLE * len(list_intersect(a, b)) / (len(a) + len(b)) END AS near_edited,
-       CASE WHEN own = next_print THEN 1.0::DOUBLE WHEN len(a) + len(c) = 0 THEN 0.0::DOUBLE
-            ELSE 2.0::DOUBLE * len(list_intersect(a, c)) / (len(a) + len(c)) END AS near_next
-FROM sets JOIN e USING (doc_id)
+       edited_print AS edited_fingerprint, {_near('own', 'edited_print')} AS near_edited,
+       {_near('own', 'next_print')} AS near_next,
+       CASE WHEN differ THEN ahead END AS edit_start,
+       CASE WHEN differ THEN greatest(ahead, behind) END AS edit_end
+FROM places JOIN e USING (doc_id)
 """
 
 _OP8 = rf"""

@@ -1,6 +1,7 @@
 """The training-data operators against brute force, and on awkward rows."""
 
 import hashlib
+import os
 import random
 from collections import Counter
 from math import log2
@@ -442,12 +443,60 @@ def test_fingerprints_and_edits(docs, texts):
         prints.setdefault(r["fingerprint"], []).append(r["n_chars"])
         assert 0 <= r["near_next"] <= 1 and 0 <= r["near_edited"] <= 1
     assert len(prints) == len({t[1] or "" for t in texts})
-    df = docs.sparkSession.createDataFrame([(" ".join(f"S{i} is here." for i in range(200)),)], "a string")
-    other = F.replace("a", F.lit("S90 is"), F.lit("S90 was"))
-    found = df.select("a", merkle.edits(F.col("a"), other).alias("e"),
-                      F.size(merkle.sections(F.col("a"))).alias("n")).first()
-    assert 1 <= len(found["e"]) <= 2 < found["n"]
-    assert any("S90 is" in found["a"][e["start"]:e["start"] + e["length"]] for e in found["e"])
+
+
+def test_fingerprints_of_short_texts_keep_what_is_unchanged(spark):
+    rng = random.Random(6)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 9)))
+    rows = []
+    for i in range(240):
+        n = rng.choice([4, 8, 15, 30, 60, 100, 300, 480, 700, 3000])
+        text = ""
+        while len(text) < n:
+            text += word() + rng.choice([" ", " ", " ", ". ", "\n", "! "])
+        rows.append((i, text[:n]))
+    got = merkle.fingerprinted(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    text_of = dict(rows)
+    for r in got:
+        text, n = text_of[r["doc_id"]], r["n_chars"]
+        cut = n - n // 4
+        head = text_of[(r["doc_id"] + 1) % 240][:n // 4]
+        assert r["edited"] == text[:cut] + head
+        if len(head) == n // 4:  # as long as before, so paragraphs are cut alike
+            assert r["near_edited"] > 0.5
+            same = len(os.path.commonprefix([text, r["edited"]]))
+            assert r["edit_start"] is None or same - 200 < r["edit_start"] <= same
+        if r["edit_start"] is not None:
+            assert r["edited"][:r["edit_start"]] == text[:r["edit_start"]]
+            assert r["edit_start"] <= r["edit_end"] <= n
+        else:
+            assert r["edited"] == text
+
+
+def test_edit_places_are_around_what_differs(spark):
+    body = [f"Sentence {i} is here and says {i * 7}. " for i in range(400)]
+    changes = [(0, 1), (399, 400), (200, 201), (100, 103), (0, 400), (150, 150)]
+    rows = []
+    for a, b in changes:
+        other = body[:a] + [x.replace("here", "gone") for x in body[a:b]] + body[b:]
+        if a == b:
+            other = body[:a] + ["A new one. "] + body[a:]
+        rows.append(("".join(body), "".join(other), len("".join(body[:a])), len("".join(body[:b]))))
+    rows.append(("same. text", "same. text", None, None))
+    df = spark.createDataFrame(rows, "a string, b string, first int, last int")
+    one, two = F.col("one"), F.col("two")
+    prints = df.withColumns({"one": merkle.fingerprint(F.col("a")),
+                             "two": merkle.fingerprint(F.col("b"))}).cache()
+    for r in prints.select("*", merkle.edit_places(one, two).alias("at"),
+                           merkle.likeness(one, two).alias("near")).collect():
+        if r["first"] is None:
+            assert r["at"] is None and r["near"] == 1.0
+            continue
+        assert r["first"] - 96 <= r["at"]["start"] <= r["first"]
+        # the blank behind a sentence belongs to the next
+        assert r["last"] - 1 <= r["at"]["end"] <= r["last"] + 96
+        changed = (r["last"] - r["first"]) / len(r["a"])
+        assert abs(r["near"] - (1 - changed)) < 0.02
 
 
 def test_warc_derivatives(spark):
