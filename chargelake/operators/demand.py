@@ -98,8 +98,11 @@ def random_forest(trees: int = 300, depth: int = 10) -> RandomForestRegressor:
 
 
 def gradient_boosting(rounds: int = 500, depth: int = 6, step: float = 0.05,
-                      sample: float = 0.8, use_validation: bool = False) -> GBTRegressor:
-    """One booster stands for both vendor libraries, which share these parameters."""
+                      sample: float = 0.8, use_validation: bool = True) -> GBTRegressor:
+    """One booster stands for both vendor libraries, which share these parameters.
+
+    It stops when the error on the validation rows no longer falls, unless that is off.
+    """
     booster = GBTRegressor(
         featuresCol="features", labelCol="actual", maxIter=rounds, maxDepth=depth,
         stepSize=step, subsamplingRate=sample, seed=config.SEED,

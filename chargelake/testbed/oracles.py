@@ -906,7 +906,7 @@ FROM ({split.replace('round(energy_kwh, 6) AS energy_kwh', 'energy_kwh')}) GROUP
 _SQL["demand_forest"] = _model("random_forest")
 _SQL["demand_gbt"] = _model("gradient_boosting")
 _SQL["feature_importance"] = " UNION ALL ".join(
-    f"SELECT '{c}' AS feature, true AS is_share, true AS sums_to_one" for c in _MODEL_FEATURES)
+    f"SELECT '{c}' AS feature, true AS is_share, true AS sums_to_one, true AS top_in_order" for c in _MODEL_FEATURES)
 
 
 _CTE["session_features"] = _features(

@@ -769,14 +769,18 @@ def demand_gbt(spark, sf_dir):
 
 @query
 def feature_importance(spark, sf_dir):
-    """Every feature with whether its importance is a share and all shares sum to one."""
+    """Every feature with whether its importance is a share, all shares sum to one, and the
+    five most important come first, in order."""
     rows = stored(m.features(spark, sf_dir), "features")
     names = demand.model_features(rows, "energy_kwh")
     prepared = stored(demand.prepare(rows, "energy_kwh", names), "prepared")
     model = demand.train(prepared, names, demand.random_forest())
     table = demand.feature_importance(spark, model, names)
     total = table.agg(F.sum("importance")).scalar()
+    top = [r["importance"] for r in demand.feature_importance(spark, model, names, top=5).collect()]
+    largest = sorted(model.stages[-1].featureImportances.toArray().tolist(), reverse=True)[:5]
     return table.select(
+        F.lit(top == largest).alias("top_in_order"),
         "feature", F.col("importance").between(0, 1).alias("is_share"),
         (F.abs(total - 1) < 1e-9).alias("sums_to_one"))
 

@@ -91,6 +91,35 @@ def test_models(spark, trained):
     assert len(top) == 5 and weights == sorted(weights, reverse=True)
 
 
+def test_model_errors_and_importances_are_those_of_the_predictions(spark):
+    rng = random.Random(4)
+    start = dt.datetime(2024, 1, 1)
+    rows = []
+    for h in range(1200):
+        a, b, c = rng.random(), rng.random(), rng.random()
+        rows.append((f"S{h % 3}", start + dt.timedelta(hours=h), 20 * a + 6 * (b > 0.5), a, b, c))
+    table = spark.createDataFrame(rows, "station_id string, timestamp timestamp_ntz, "
+                                        "energy_kwh double, strong double, weak double, none double")
+    names = ["none", "strong", "weak"]
+    prepared = demand.prepare(table, "energy_kwh", names).cache()
+    for regressor in (demand.random_forest(20, 6), demand.gradient_boosting(20, 4, 0.3)):
+        model = demand.train(prepared, names, regressor)
+        got = demand.evaluate_all({"m": model}, prepared).first()
+        test = [(r["actual"], r["prediction"]) for r in demand.predict(
+            model, prepared.filter("split = 'test'")).collect()]
+        assert len(test) == 180
+        mean = sum(y for y, _ in test) / len(test)
+        squares = sum((y - p) ** 2 for y, p in test)
+        assert got["RMSE"] == pytest.approx((squares / len(test)) ** 0.5)
+        assert got["MAE"] == pytest.approx(sum(abs(y - p) for y, p in test) / len(test))
+        assert got["R2"] == pytest.approx(1 - squares / sum((y - mean) ** 2 for y, _ in test))
+        assert got["R2"] > 0.8
+        order = [r["feature"] for r in demand.feature_importance(spark, model, names).collect()]
+        assert order == ["strong", "weak", "none"]
+    early = demand.train(prepared, names, demand.gradient_boosting(200, 3, 0.5))
+    assert early.stages[-1].getNumTrees < 200
+
+
 def test_models_survive_a_round_trip(trained, tmp_path):
     _, prepared, models = trained
     writers.save_models(models, str(tmp_path))
