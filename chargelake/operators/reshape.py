@@ -31,18 +31,24 @@ def calendar_by_index(calendar: DataFrame, index: str = "timestamp") -> DataFram
     return stamped.select(F.col(index).cast("bigint").alias(index), "_ts")
 
 
-def attach_calendar(wide: DataFrame, calendar: DataFrame, index: str = "timestamp") -> DataFrame:
-    """Replace the interval index of a wide matrix by its timestamp.
-
-    The match is by key, never by file position. If only the matrix carries an index,
-    its smallest value belongs to the first interval.
-    """
+def _by_interval(wide: DataFrame, calendar: DataFrame, index: str) -> DataFrame:
+    """A wide matrix with its interval index as the calendar counts it."""
     if index not in wide.columns:
         raise ValueError(f"the matrix needs its interval index in column {index!r}")
     rows = wide.withColumn(index, F.col(index).cast("bigint"))
     if index not in calendar.columns:
         first = rows.agg(F.min(index)).scalar()
         rows = rows.withColumn(index, F.col(index) - first)
+    return rows
+
+
+def attach_calendar(wide: DataFrame, calendar: DataFrame, index: str = "timestamp") -> DataFrame:
+    """Replace the interval index of a wide matrix by its timestamp.
+
+    The match is by key, never by file position. If only the matrix carries an index,
+    its smallest value belongs to the first interval.
+    """
+    rows = _by_interval(wide, calendar, index)
     joined = rows.join(calendar_by_index(calendar, index), index, "left")
     values = [c for c in wide.columns if c != index]
     return joined.select(F.col("_ts").alias("timestamp"), *[F.col(f"`{c}`") for c in values])
@@ -89,17 +95,21 @@ def grid_attributes(information: DataFrame) -> DataFrame:
 
 
 def build_grid_readings(tables: dict[str, DataFrame], index: str = "timestamp") -> DataFrame:
-    """Long readings of every measure present, with the attributes of their grid."""
+    """Long readings of every measure present, with the attributes of their grid.
+
+    Measures meet by interval index; the calendar is joined once, to all of them.
+    """
     measures = {k: v for k, v in schemas.GRID_MEASURES.items() if k in tables}
     if not measures:
         raise ValueError("no table of grid measures")
     # every table brings the grids it has: one may lack some that another holds
-    parts = {
-        name: wide_to_long(attach_calendar(tables[key], tables["time"], index), name,
-                           [c for c in tables[key].columns if c != index])
-        for key, name in measures.items()
-    }
-    readings = combine_measures(parts)
+    parts = {}
+    for key, name in measures.items():
+        rows = _by_interval(tables[key], tables["time"], index).withColumnRenamed(index, "timestamp")
+        parts[name] = wide_to_long(rows, name, [c for c in tables[key].columns if c != index])
+    calendar = calendar_by_index(tables["time"], index).withColumnRenamed(index, "timestamp")
+    readings = combine_measures(parts).join(calendar, "timestamp", "left").select(
+        F.col("_ts").alias("timestamp"), "grid_id", *parts)
     if "information" in tables:
         # no broadcast hint: the size of the dimension decides
         readings = readings.join(grid_attributes(tables["information"]), "grid_id", "left")

@@ -75,16 +75,21 @@ def grid_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         F.datediff(slot, F.lit("2024-01-01")) * 288 + F.hour(slot) * 12
         + (F.minute(slot) / 5).cast("int")
     ).cast("bigint")
-    events = table(spark, sf_dir, "events").select(
-        index.alias("timestamp"), slot.alias("slot"), grid.alias("event_type"), "value",
-        minutes().alias("k"),
-    )
-    wide = lambda measure: (
-        events.groupBy("timestamp").pivot("event_type", GRIDS).agg(measure.cast("double"))
-    )
-    calendar = events.select("timestamp", "slot").distinct().select(
+    measures = {"volume": F.sum("value"), "occupancy": F.count("value"), "price": F.avg("value"),
+                "duration": F.avg("k")}
+    # all matrices and the calendar come from one pass over the events
+    cells = stored(
+        table(spark, sf_dir, "events")
+        .select(index.alias("timestamp"), grid.alias("event_type"), "value", minutes().alias("k"))
+        .groupBy("timestamp").pivot("event_type", GRIDS)
+        .agg(*[measure.cast("double").alias(name) for name, measure in measures.items()]), "cells")
+    wide = lambda name: cells.select(
+        "timestamp", *[F.col(f"{g}_{name}").alias(g) for g in GRIDS])
+    at = F.timestamp_add("MINUTE", (F.col("timestamp") * 5).cast("int"),
+                         F.lit("2024-01-01").cast("timestamp_ntz"))
+    calendar = cells.select(
         "timestamp",
-        *[f("slot").alias(n) for n, f in {
+        *[f(at).alias(n) for n, f in {
             "year": F.year, "month": F.month, "day": F.dayofmonth,
             "hour": F.hour, "minute": F.minute, "second": F.second}.items()],
     )
@@ -97,10 +102,7 @@ def grid_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     )
     return {
         "time": calendar,
-        "volume": wide(F.sum("value")),
-        "occupancy": wide(F.count("value")),
-        "price": wide(F.avg("value")),
-        "duration": wide(F.avg("k")),
+        **{name: wide(name) for name in measures},
         "information": information,
     }
 

@@ -919,6 +919,25 @@ SELECT station_id, timestamp, session_count, data_source, hour_of_day, day_of_we
            'energy_cost_per_kwh', 'occupancy_density', *_LAG_NAMES, *_ROLLING_NAMES)}
 FROM session_features"""
 
+_SQL["grid_files"] = _SQL["grid_outer_join"]
+_SQL["raw_convert"] = f"""
+SELECT form, CAST(event_id AS VARCHAR) AS "_id", CAST(event_id AS VARCHAR) AS "sessionID",
+       station_id AS "stationID", {_TEXT_TIME.format(t='ts')} AS "connectionTime",
+       value AS "kWhDelivered"
+FROM raw, (VALUES ('json'), ('csv')) v(form)"""
+_SQL["station_order"] = """
+SELECT station_id, timestamp, row_number() OVER (ORDER BY station_id, timestamp) - 1 AS place
+FROM hours"""
+_SQL["split_by_source"] = """
+SELECT data_source AS part, station_id, count(*) AS hours FROM merged GROUP BY 1, 2"""
+_SQL["monitoring_export"] = f"""
+SELECT {_SHOWN} FROM periods JOIN (
+  SELECT period, {_feedback()} FROM (SELECT *, 0::DOUBLE AS demand_r2, 0::DOUBLE AS demand_rmse
+                                     FROM periods)) USING (period)"""
+_SQL["models_saved"] = f"""
+SELECT split, count(*) AS rows, 0::BIGINT AS different FROM ({_SQL["demand_forest"].split("FROM (", 1)[1].rsplit(")", 1)[0]})
+GROUP BY split"""
+
 _SQL["bucketed_features"] = _SQL["pipeline_features"]
 _SQL["bucketed_predictions"] = _SQL["predictions_join"]
 

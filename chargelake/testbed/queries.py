@@ -16,7 +16,7 @@ from chargelake.operators import (
 from chargelake.operators.ledger import Ledger, clean_grid, clean_sessions
 from chargelake.plans import analytics, incremental
 from chargelake.session import scratch_path, stored
-from chargelake.sources import bucketed, damaged, readers, writers
+from chargelake.sources import bucketed, damaged, numbering, readers, writers
 from chargelake.testbed import mapping as m
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -167,6 +167,81 @@ def csv_damaged(spark, sf_dir):
         spark, path, columns=["sessionID", "kWhDelivered", "connectionTime"]))
 
 
+@query
+def grid_files(spark, sf_dir):
+    """grid_outer_join by way of files: matrices and calendar in time order, several files each,
+    without an interval index, so that they meet by position."""
+    folder = scratch_path(spark, "grid_files")
+    tables = m.grid_tables(spark, sf_dir)
+    for name, rows in tables.items():
+        if name == "information":
+            writers.write_csv(rows, f"{folder}/{name}.csv")
+        else:
+            in_order = rows.repartitionByRange(3, "timestamp").sortWithinPartitions("timestamp")
+            writers.write_csv(in_order.drop("timestamp"), f"{folder}/{name}.csv")
+    return rounded(reshape.build_grid_readings(readers.read_grid_tables(spark, folder)))
+
+
+@query
+def raw_convert(spark, sf_dir):
+    """Sessions converted to JSON records and CSV, read back from both."""
+    folder = scratch_path(spark, "raw_convert")
+    raw = m.raw_sessions(spark, sf_dir).withColumn("userInputs", F.lit(None).cast("string"))
+    writers.convert_raw_sessions(raw, f"{folder}/json", f"{folder}/csv")
+    names = ["_id", "sessionID", "stationID", "connectionTime", "kWhDelivered"]
+    as_json = readers.read_sessions_json(spark, f"{folder}/json", lines=True)
+    as_csv = readers.read_sessions_csv(spark, f"{folder}/csv")
+    return as_json.select(F.lit("json").alias("form"), *names).unionByName(
+        as_csv.select(F.lit("csv").alias("form"), *names))
+
+
+@query
+def station_order(spark, sf_dir):
+    """Station-hours stored in order: each row's number in the files."""
+    path = scratch_path(spark, "station_order")
+    hours = m.sessions_by_hour(spark, sf_dir).select("station_id", "timestamp")
+    rollup.in_station_order(hours).write.parquet(path)
+    return numbering.in_file_order(spark.read.parquet(path), "place")
+
+
+@query
+def split_by_source(spark, sf_dir):
+    parts = cleaning.split_by_source(m.merged(spark, sf_dir))
+    counts = [rows.groupBy("station_id").agg(F.count(F.lit(1)).alias("hours")).withColumn(
+        "part", F.lit(name)) for name, rows in parts.items()]
+    return counts[0].unionByName(counts[1])
+
+
+@query
+def monitoring_export(spark, sf_dir):
+    """Feedback per day, exported with its metrics as CSV and read back."""
+    folder = scratch_path(spark, "monitoring_export")
+    periods = _periods(spark, sf_dir)
+    writers.export_monitoring(monitor.add_feedback(periods), folder)
+    feedback = readers.read_csv(spark, f"{folder}/feedback_signals", timestamps=["period"])
+    values = {c: "double" for c in periods.columns if c != "period"}
+    metric_rows = readers.read_csv(spark, f"{folder}/monitoring_metrics", values, ["period"])
+    return monitor.rounded_periods(metric_rows).join(feedback, "period")
+
+
+@query
+def models_saved(spark, sf_dir):
+    """Predictions of a saved and loaded forest, against those before."""
+    folder = scratch_path(spark, "models")
+    rows = stored(m.features(spark, sf_dir), "features")
+    names = demand.model_features(rows, "energy_kwh")
+    prepared = stored(demand.prepare(rows, "energy_kwh", names), "prepared")
+    model = demand.train(prepared, names, demand.random_forest(5, 4))
+    writers.save_models({"forest": model}, folder)
+    before = demand.predict(model, prepared).select("station_id", "timestamp", "split", F.col(
+        "prediction").alias("before"))
+    after = demand.predict(writers.load_model(folder, "forest"), prepared).select(
+        "station_id", "timestamp", "prediction")
+    return before.join(after, ["station_id", "timestamp"]).groupBy("split").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(~F.col("before").eqNullSafe(F.col("prediction"))).alias("different"))
+
+
 @query
 def parse_times(spark, sf_dir):
     """One time in the forms that sessions come with, each read back."""
