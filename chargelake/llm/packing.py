@@ -14,7 +14,6 @@ from __future__ import annotations
 
 import json
 import os
-import re
 from array import array
 from collections.abc import Iterator
 from itertools import chain
@@ -38,17 +37,22 @@ BLOCK = 1 << 18
 #: offsets are broadcast up to this many rows (tasks times tiers), joined plainly beyond
 BROADCAST_ROWS = 50_000
 #: words a task keeps the ids of, before it begins anew
-_KNOWN_WORDS = 300_000
-#: text that is split into words at a time
-_STEP = 1 << 20
-#: the stops behind a word
-_STOPS = r"([a-z0-9])([.,;:!?]+)(\s|$)"
+_KNOWN_WORDS = 500_000
+_BLANK, _STOP, _WORD = 1, 2, 3
+#: kinds of bytes that tell stops behind a word: blanks, stops, and ASCII letters and digits
+_KIND = np.zeros(256, np.uint8)
+_KIND[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = _BLANK
+_KIND[list(b".,;:!?")] = _STOP
+_KIND[0x30:0x3A] = _KIND[0x41:0x5B] = _KIND[0x61:0x7B] = _WORD
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[0x41:0x5B] += 0x20
 #: words that are one run of letters to the tokenizer and that its normalizer leaves alone:
 #: a to z and the small letters of Latin-1
-_PLAIN = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+")
-#: byte-level form: bytes that are no visible characters of Latin-1 are numbered from U+0100
-_FORM = {byte: 256 + i for i, byte in enumerate(
-    [*range(0x21), *range(0x7F, 0xA1), 0xAD])}
+_PLAIN = "^[a-zß-öø-ÿ]+$"
+#: byte-level form: bytes that are no visible characters of Latin-1 are numbered from U+0100;
+#: line breaks stay, they part the words
+_FORM = {byte: 256 + i for i, byte in enumerate([*range(0x21), *range(0x7F, 0xA1), 0xAD])
+         if byte != 0x0A}
 
 
 def folds_case(tokenizer: str) -> bool:
@@ -65,9 +69,10 @@ def folds_case(tokenizer: str) -> bool:
 class WordIds:
     """Token ids of texts, word by word; a word's ids are worked out once in a task.
 
-    `places` maps words to places in `flat`, a list of ids. Where the tokenizer does the same
-    itself, A-Z is lowered and the stops behind a word are cut off, so that fewer different
-    words are left. Texts that might hold a special token's string are left as they are.
+    Word i of `known` has the i + 1st run of ids in `flat`; the first is `end`. Where the
+    tokenizer does the same itself, A-Z is lowered and the stops behind a word are cut off,
+    so that fewer different words are left. Texts that might hold a special token's string
+    are left as they are.
     """
 
     def __init__(self, encoder, fold: bool, end: int):
@@ -75,55 +80,67 @@ class WordIds:
         self._forget()
 
     def _forget(self) -> None:
-        self.places: dict[bytes, int] = {}
+        self.known = pa.array([], pa.large_string())
         self.flat, self.begins, self.sizes = array("I", [self.end]), array("q", [0]), array("q", [1])
 
-    def _learn(self, words: list[bytes]) -> None:
-        """Places of words that have none."""
-        model, plain, fold, other = self.encoder.model.tokenize, _PLAIN.fullmatch, self.fold, []
-        found = []
-        for word in words:
-            if fold and plain(word):
-                # a lone run of letters: only the byte-level form is left to make of it
-                form = word.decode() if word.isascii() else word.decode("latin-1").translate(_FORM)
-                found.append([t.id for t in model(form)])
-            else:
-                other.append(word)
-                found.append(None)
-        others = iter([e.ids for at in range(0, len(other), 20_000)
-                       for e in self.encoder.encode_batch_fast(
-                           [w.decode() for w in other[at:at + 20_000]], add_special_tokens=False)])
-        found = [next(others) if ids is None else ids for ids in found]
+    def _learn(self, words: pa.Array) -> None:
+        """Add words to those known."""
+        model, found = self.encoder.model.tokenize, []
+        # a lone run of letters: only the byte-level form is left to make of it
+        plain = pc.match_substring_regex(words, _PLAIN) if self.fold else pa.array(
+            np.zeros(len(words), bool))
+        letters, others = pc.filter(words, plain), pc.filter(words, pc.invert(plain))
+        if len(letters):
+            shown = "\n".join(letters.to_pylist()).encode().decode("latin-1").translate(_FORM)
+            found = [[t.id for t in model(form)] for form in shown.split("\n")]
+        rest = others.to_pylist()
+        for at in range(0, len(rest), 20_000):
+            found += [e.ids for e in self.encoder.encode_batch_fast(
+                rest[at:at + 20_000], add_special_tokens=False)]
         sizes = np.fromiter(map(len, found), np.int64, len(found))
         self.begins.frombytes((np.cumsum(sizes) - sizes + len(self.flat)).tobytes())
         self.sizes.frombytes(sizes.tobytes())
         self.flat.extend(chain.from_iterable(found))
-        self.places.update(zip(words, range(len(self.sizes) - len(found), len(self.sizes))))
+        self.known = pa.concat_arrays([self.known, letters, others])
 
     def _folded(self, column: pa.Array) -> pa.Array:
         """Texts in lower case, with a space before the stops behind a word."""
         data, offsets = utf8(column)
         data, offsets = data[offsets[0]:offsets[-1]], offsets - offsets[0]
         text = binary(data, offsets).cast(pa.large_string())
-        if not self.fold:
+        if not self.fold or not len(data):
             return text
-        lower = data + (((data >= 0x41) & (data <= 0x5A)).astype(np.uint8) << np.uint8(5))
-        cut = pc.replace_substring_regex(binary(lower, offsets).cast(pa.large_string()),
-                                         pattern=_STOPS, replacement=r"\1 \2\3")
-        return pc.if_else(pc.match_substring(text, "<|"), text, cut)
+        marked = pc.match_substring(text, "<|")
+        kind = _KIND[data]
+        # runs of stops: where they begin and end
+        stop = np.flatnonzero(kind == _STOP)
+        begins = stop[np.diff(stop, prepend=-2) > 1]
+        ends = stop[np.diff(stop, append=len(data) + 1) > 1] + 1
+        # such a run lies in one text, behind a letter or digit and before a blank or the end
+        behind = (begins > 0) & (kind[begins - 1] == _WORD)
+        final = np.append(kind, _BLANK)[ends] == _BLANK
+        inside = np.zeros(len(data) + 1, bool)
+        inside[offsets] = True
+        final |= inside[ends]
+        at = begins[behind & final & ~inside[begins]]
+        lower = np.insert(_LOWER[data], at, np.uint8(0x20))
+        cut = binary(lower, offsets + np.searchsorted(at, offsets)).cast(pa.large_string())
+        return pc.if_else(marked, text, cut)
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, each with `end` behind, and where each begins."""
-        if len(self.places) > _KNOWN_WORDS:
+        if len(self.known) > _KNOWN_WORDS:
             self._forget()
         lists = pc.ascii_split_whitespace(self._folded(column))
         words, parent = pc.list_flatten(lists), pc.list_parent_indices(lists)
         real = pc.greater(pc.binary_length(words), 0)
         words, parent = pc.filter(words, real), pc.filter(parent, real).to_numpy()
         coded = pc.dictionary_encode(words)
-        distinct = coded.dictionary.cast(pa.large_binary()).to_pylist()
-        self._learn([w for w in distinct if w not in self.places])
-        place_of = np.fromiter(map(self.places.__getitem__, distinct), np.int64, len(distinct))
+        at = pc.index_in(coded.dictionary, value_set=self.known)
+        if at.null_count:
+            self._learn(pc.filter(coded.dictionary, pc.is_null(at)))
+            at = pc.index_in(coded.dictionary, value_set=self.known)
+        place_of = at.to_numpy().astype(np.int64) + 1
         # the place 0 is that of `end`
         after = np.searchsorted(parent, np.arange(len(column)), side="right")
         places = np.insert(place_of[coded.indices.to_numpy()], after, 0)
@@ -159,7 +176,7 @@ def pieces(docs: DataFrame, tokenizer: str, end: int = END,
         gaps = np.zeros(len(tiers), np.int64)
         tokens = np.zeros(len(tiers), np.int64)
         for batch in batches:
-            for some in steps(batch, limit=_STEP):
+            for some in steps(batch):
                 ids, bounds = known.encode(some.column("text"))
                 ids, bounds = ids.tobytes(), bounds.tolist()
                 rows = []
