@@ -84,12 +84,9 @@ def links(classes: DataFrame, threshold: float, tables: int, sample: int,
           bits: int | None = None) -> DataFrame:
     """a, b (a < b) of all pairs of classes (rep, vector) found at or above the threshold."""
     spark = classes.sparkSession
-    n, width, widest = classes.agg(F.count(F.lit(1)), F.min(F.size("vector")),
-                                   F.max(F.size("vector"))).first()
+    n = classes.count()
     if n < 2:
         return spark.createDataFrame([], "a bigint, b bigint")
-    if width != widest:
-        raise ValueError("vectors differ in length")
     # substrings grow with the number of vectors: buckets stay of the same size
     each = bits or min(max(ceil(log2(n)) + 2, 8), 31)
     tables = tables_needed(each, threshold, tables)
@@ -179,11 +176,17 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, tables: int =
     Vectors that are null, zero or hold null or non-finite components link with nothing and
     are their own component. The rotation is fitted on about `sample` rows; every row is
     indexed. Repeated rows are nodes of their own that link with each other; a null vec_id
-    counts as the largest. All vectors have one length. An empty table gives no rows.
+    counts as the largest. Vectors whose length is not the most frequent one (of several, the
+    smallest) link with nothing either. An empty table gives no rows.
     """
     rows = vectors.select(
         F.coalesce(F.col(vec_id).cast("bigint"), F.lit(_NO_ID)).alias("id"),
         F.col(vector).cast("array<double>").alias("vector")).withColumn("good", _usable("vector"))
+    # a row per length
+    lengths = rows.filter("good").groupBy(F.size("vector").alias("length")).count()
+    usual = lengths.orderBy(F.col("count").desc(), "length").first()
+    rows = rows.withColumn("good", F.col("good") & (
+        F.size("vector") == (usual["length"] if usual else 0)))
     # a class of equal vectors is one row, summed up before the shuffle, named by its hash
     rep = F.xxhash64("vector", F.lit(1)).alias("rep")
     classes = stored(

@@ -13,21 +13,37 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from chargelake.llm.common import stored
+
 LIMIT = 512
-PAIRS = 2_000_000
+#: buckets above the limit that are broadcast; with more of them rows are salted
+LISTED = 20_000
+#: pairs that a step of a task compares
+PAIRS = 500_000
 
 
 def deal(rows: DataFrame, keys: list[str], member: str, limit: int = LIMIT) -> DataFrame:
-    """Rows of buckets that hold two or more, sorted by unit within partitions.
+    """Rows of all buckets, dealt into units and sorted by unit within partitions.
 
     Adds _lo, _hi (the two chunks of the unit) and _second (the row is of the higher one).
+    A bucket of up to `limit` rows is one unit. The larger ones, whose rows are many but
+    which are few themselves, are listed; rows meet that list by broadcast, or where it is
+    long by key and salt, so the rows of a bucket never come together for it.
     """
-    sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
-    chunk = F.pmod(F.xxhash64(member), F.col("_parts"))
+    spark = rows.sparkSession
+    sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > limit)
+    large = stored(sizes.select(*keys, F.ceil(F.col("_n") / limit).alias("_parts")), "large-buckets")
+    if large.count() <= LISTED:
+        found = rows.join(F.broadcast(large), keys, "left")
+    else:
+        salts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        salted = large.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        salt = F.pmod(F.xxhash64(member, F.lit(7)), F.lit(salts)).cast("int")
+        found = rows.withColumn("_salt", salt).join(salted, [*keys, "_salt"], "left").drop("_salt")
+    parts = F.coalesce(F.col("_parts"), F.lit(1).cast("bigint"))
     return (
-        rows.join(sizes, keys)
-        .withColumn("_parts", F.ceil(F.col("_n") / limit))
-        .withColumn("_chunk", chunk)
+        found.withColumn("_parts", parts)
+        .withColumn("_chunk", F.pmod(F.xxhash64(member), F.col("_parts")))
         .withColumn("_other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_parts") - 1)))
         .withColumn("_lo", F.least("_chunk", "_other"))
         .withColumn("_hi", F.greatest("_chunk", "_other"))

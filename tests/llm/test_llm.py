@@ -3,6 +3,7 @@
 import hashlib
 import os
 import random
+import re
 from collections import Counter
 from math import log2
 
@@ -14,7 +15,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from chargelake.llm import (
-    itq, merkle, mixing, packing, ppm, qda, simhash, substring, urllists, warc)
+    itq, merkle, mixing, packing, ppm, qda, simhash, substring, units, urllists, warc)
 
 SCHEMA = ("doc_id bigint, text string, lang string, source string, n_chars bigint, id string, "
           "key int, row string, rest string, score double")
@@ -182,6 +183,34 @@ def test_simhash_pairs_are_dropped_by_the_count_alone(spark, monkeypatch, tmp_pa
     assert len(set(joined.values())) == len(set(label))
 
 
+@pytest.mark.parametrize("listed", [units.LISTED, 0])
+def test_a_hot_bucket_is_dealt_without_meeting(spark, monkeypatch, listed, plan):
+    """Most rows in one bucket: every pair meets once, no task reads more than its share."""
+    monkeypatch.setattr(units, "LISTED", listed)
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(threshold)
+    spark.conf.set(threshold, "-1")
+    n, limit = 3_000, 100
+    rows = spark.range(n).select((F.when(F.col("id") % 10 < 8, 0).otherwise(F.col("id") % 70)).alias("bucket"),
+                                 F.col("id").alias("member"))
+    dealt = units.deal(rows, ["bucket"], "member", limit)
+    assert ("SortMergeJoin" in plan(dealt)) == (listed == 0)
+    if listed == 0:  # by bucket and salt, not by bucket
+        assert re.search(r"hashpartitioning\(bucket#\w+, _salt#", plan(dealt))
+    sizes = [r["count"] for r in dealt.groupBy("bucket", "_lo", "_hi").count().collect()]
+    assert max(sizes) < 3 * limit
+
+    def pairs(rows, i, j):
+        a, b = rows["member"][i], rows["member"][j]
+        return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))],
+                                          ["a", "b"])
+
+    found = dealt.mapInArrow(units.compare(["bucket"], pairs), "a bigint, b bigint").filter("a <> b")
+    buckets = Counter(r["bucket"] for r in rows.collect())
+    assert found.count() == found.distinct().count() == sum(k * (k - 1) // 2 for k in buckets.values())
+    spark.conf.set(threshold, before)
+
+
 def test_packing_round_trip(docs, texts):
     path = public_tokenizers.path("word_bpe_49k.json")
     from tokenizers import Tokenizer
@@ -223,7 +252,7 @@ def test_words_encode_as_the_text(monkeypatch):
              "Å", "µ", "à", "\x0b", "Ａ"]
     texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 25))) for _ in range(4000)]
     want = [[*e.ids, 1] for e in encoder.encode_batch(texts, add_special_tokens=False)]
-    for limit in (400_000, 100):  # also where the words known are given up again and again
+    for limit in (500_000, 100):  # also where the words known are given up again and again
         monkeypatch.setattr(packing, "_KNOWN_WORDS", limit)
         known, got = packing.WordIds(encoder, packing.folds_case(path), 1), []
         for at in range(0, len(texts), 500):
@@ -411,6 +440,19 @@ def test_embedding_links_and_recall(spark):
     assert len(got) == len(rows) + len(bad)
 
 
+def test_vectors_of_another_length_link_with_nothing(spark):
+    rng = np.random.default_rng(5)
+    rows = [(i, rng.normal(size=8).tolist()) for i in range(30)]
+    rows += [(100 + i, rows[i][1]) for i in range(5)]
+    rows += [(200, [1.0, 2.0]), (201, [1.0, 2.0]), (202, []), (203, rows[0][1] + [0.0])]
+    got = {r["vec_id"]: tuple(r) for r in itq.near_vectors(spark.createDataFrame(
+        rows, "vec_id bigint, embedding array<double>")).collect()}
+    assert len(got) == len(rows)
+    for i in (200, 201, 202, 203):
+        assert got[i] == (i, 0, i, True)
+    assert all(got[100 + i][1:] == (1, i, False) for i in range(5))
+
+
 def test_embedding_tables_grow_with_their_substrings(spark, monkeypatch):
     from math import ceil, comb
     p = np.arccos(0.95) / np.pi
