@@ -13,8 +13,11 @@ others are looked at. Lengths say how much is alike and where an edit lies.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from chargelake.functions.scalar import ratio
 from chargelake.llm.common import doc_id, keyed, stored
 
 #: longest paragraph by the length of the text: (texts shorter than, characters)
@@ -71,52 +74,69 @@ def _length(leaves: Column) -> Column:
         leaf, 7, 2).cast("bigint"))
 
 
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """`use` of a value that is worked out once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _with_sections(one: Column, other: Column,
+                   use: Callable[[Column, Column], Column]) -> Column:
+    return _let(_sections(one), lambda a: _let(_sections(other), lambda b: use(a, b)))
+
+
 def likeness(one: Column, other: Column) -> Column:
     """0 to 1: twice the characters that two fingerprints share, over those of both.
 
     Equal roots share all. Else sections of equal nodes do, and of the other sections the
     leaves that both have. A section or leaf that a text repeats counts once.
     """
-    a, b = _sections(one), _sections(other)
-    rest_a, rest_b = F.array_except(a, b), F.array_except(b, a)
-    leaves_a, leaves_b = (F.array_distinct(_leaves(x)) for x in (rest_a, rest_b))
-    same = _length(_leaves(F.array_intersect(a, b)))
-    shared = 2 * (same + _length(F.array_intersect(leaves_a, leaves_b)))
-    both = 2 * same + _length(leaves_a) + _length(leaves_b)
-    return F.when(F.substring(one, 1, 32) == F.substring(other, 1, 32), F.lit(1.0)).when(
-        both == 0, F.lit(0.0)).otherwise(shared / both)
+    def share(same: Column, leaves_a: Column, leaves_b: Column) -> Column:
+        shared = 2 * (same + _length(F.array_intersect(leaves_a, leaves_b)))
+        both = 2 * same + _length(leaves_a) + _length(leaves_b)
+        return F.coalesce(ratio(shared, both), F.lit(0.0))
+
+    def descend(a: Column, b: Column) -> Column:
+        apart = lambda x, y: F.array_distinct(_leaves(F.array_except(x, y)))
+        same = _length(_leaves(F.array_intersect(a, b)))
+        return _let(apart(a, b), lambda one: _let(apart(b, a), lambda two: share(same, one, two)))
+
+    return F.when(F.substring(one, 1, 32) == F.substring(other, 1, 32), F.lit(1.0)).otherwise(
+        _with_sections(one, other, descend))
 
 
 def _same_ahead(a: Column, b: Column) -> Column:
     """How many elements two arrays have alike from the front."""
     differ = F.array_position(F.zip_with(a, b, lambda x, y: x.eqNullSafe(y)), False)
-    return F.when(differ > 0, differ - 1).otherwise(F.size(a)).cast("int")
+    return _let(differ, lambda at: F.when(at > 0, at - 1).otherwise(F.size(a)).cast("int"))
 
 
 def _like_ahead(a: Column, b: Column) -> Column:
     """Characters that two lists of sections have alike from the front: whole sections, and
     leaves of the first section that differs."""
-    n = _same_ahead(a, b)
-    one, two = (_leaves(F.slice(x, n + 1, F.lit(1))) for x in (a, b))
-    return _length(_leaves(F.slice(a, F.lit(1), n))) + _length(
-        F.slice(one, F.lit(1), _same_ahead(one, two)))
+    def counted(n: Column) -> Column:
+        inside = lambda x: _leaves(F.slice(x, n + 1, F.lit(1)))
+        return _length(_leaves(F.slice(a, F.lit(1), n))) + _let(inside(a), lambda one: _length(
+            F.slice(one, F.lit(1), _same_ahead(one, inside(b)))))
+
+    return _let(_same_ahead(a, b), counted)
 
 
 def edit_places(one: Column, other: Column) -> Column:
     """start and end (0-based characters of the first text) around all that differs, from the
     fingerprints alone; null where they are equal."""
-    a, b = _sections(one), _sections(other)
-    total = _length(_leaves(a))
-    start = _like_ahead(a, b)
-
     def backwards(sections_: Column) -> Column:
         # the leaves of each section the other way round as well
         return F.transform(F.reverse(sections_), lambda x: F.array_join(
             F.reverse(F.regexp_extract_all(x, F.lit(_LEAF), F.lit(0))), ""))
 
-    end = F.greatest(start, total - _like_ahead(backwards(a), backwards(b)))
-    return F.when(F.substring(one, 1, 32) != F.substring(other, 1, 32), F.struct(
-        start.alias("start"), end.alias("end")))
+    def places(a: Column, b: Column) -> Column:
+        behind = _let(backwards(a), lambda x: _let(backwards(b), lambda y: _like_ahead(x, y)))
+        end = _length(_leaves(a)) - behind
+        return _let(_like_ahead(a, b), lambda start: F.struct(
+            start.alias("start"), F.greatest(start, end).alias("end")))
+
+    return F.when(F.substring(one, 1, 32) != F.substring(other, 1, 32),
+                  _with_sections(one, other, places))
 
 
 def _sent_to(rows: DataFrame) -> DataFrame:
