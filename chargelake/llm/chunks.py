@@ -36,8 +36,8 @@ CUT_BITS = 8
 #: and no more than this, where the rolling hash finds no cut (as in periodic text)
 LONGEST = 1 << 13
 #: texts of chunks and pieces a task remembers the ids of, and ids, before it starts anew
-REMEMBERED_BYTES = 24 << 20
-REMEMBERED_IDS = 12 << 20
+REMEMBERED_BYTES = 16 << 20
+REMEMBERED_IDS = 8 << 20
 _FACTOR = 0x9E3779B97F4A7C15
 
 _VISIBLE = np.zeros(256, bool)
