@@ -58,11 +58,11 @@ def _record_id(kind: str, *parts: str) -> str:
     return f"('<urn:uuid:' || concat_ws('-', {cuts}) || '>')"
 
 
-_HIDDEN = (r"(?is)<(?:script|style)\b[^>]*>.*?(?:</(?:script|style)\s*>|\z)|<!--.*?(?:-->|\z)"
-           r"|<!doctype[^>]*>")
+_HIDDEN = r"(?is)<(?:script|style)\b[^>]*>.*?</(?:script|style)\s*>|<!--.*?-->|<!doctype[^>]*>"
+_UNCLOSED = r"(?is)<(?:script|style)\b[^>]*>.*|<!--.*"
 _BREAKS = (r"(?i)</?(?:p|br|div|h[1-6]|li|ul|ol|tr|table|article|section|nav|header|footer|title"
            r"|head|body|html|blockquote|pre)\b[^>]*>")
-_text = rf"regexp_replace(html, '{_HIDDEN}', ' ', 'g')"
+_text = rf"regexp_replace(regexp_replace(html, '{_HIDDEN}', ' ', 'g'), '{_UNCLOSED}', ' ', 'g')"
 _text = rf"regexp_replace({_text}, '\n', ' ', 'g')"
 _text = f"regexp_replace({_text}, '{_BREAKS}', chr(10), 'g')"
 _text = f"regexp_replace({_text}, '<[^>]*>', '', 'g')"

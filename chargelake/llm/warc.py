@@ -24,9 +24,10 @@ REFERENCE_IN_ATTRIBUTE = (
     r"&(#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[a-zA-Z][a-zA-Z0-9]{0,31}(?:;|(?![a-zA-Z0-9=])))")
 #: a referenced blank is one space: none makes a line of its own
 BLANK = dict.fromkeys(map(ord, "\xa0\t\n\r\f"), " ")
-#: what is no text; a script, style or comment that is not closed runs to the end
-HIDDEN = (r"(?is)<(?:script|style)\b[^>]*>.*?(?:</(?:script|style)\s*>|\z)|<!--.*?(?:-->|\z)"
-          r"|<!doctype[^>]*>")
+#: what is no text
+HIDDEN = r"(?is)<(?:script|style)\b[^>]*>.*?</(?:script|style)\s*>|<!--.*?-->|<!doctype[^>]*>"
+#: scripts, styles and comments that are not closed run to the end
+UNCLOSED = r"(?is)<(?:script|style)\b[^>]*>.*|<!--.*"
 BREAKS = (r"(?i)</?(?:p|br|div|h[1-6]|li|ul|ol|tr|table|article|section|nav|header|footer|title"
           r"|head|body|html|blockquote|pre)\b[^>]*>")
 TAG = r"<[^>]*>"
@@ -84,7 +85,7 @@ def _tidy(text: Column) -> Column:
 
 def plain_text(html: Column) -> Column:
     """Readable text of HTML: a line for each block, without scripts, styles and comments."""
-    text = F.regexp_replace(html, HIDDEN, " ")
+    text = F.regexp_replace(F.regexp_replace(html, HIDDEN, " "), UNCLOSED, " ")
     text = F.regexp_replace(text, r"\n", " ")
     text = F.regexp_replace(text, BREAKS, "\n")
     return _tidy(_unescaped(F.regexp_replace(text, TAG, "")))
