@@ -50,6 +50,12 @@ _MARK = _VISIBLE & ~_LETTER
 _MARK[0x30:0x3A] = False
 
 
+#: a piece that the pattern takes whole: letters of ASCII and Latin-1, a blank before them
+_ONE_RUN = re.compile(rb" ?(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
+#: byte-level form: bytes that are no visible characters of Latin-1 are numbered from U+0100
+_FORM = {byte: 256 + i for i, byte in enumerate([*range(0x21), *range(0x7F, 0xA1), 0xAD])}
+
+
 def _before_blank(data: np.ndarray) -> np.ndarray:
     """Places where a blank follows a character that is none.
 
@@ -248,10 +254,18 @@ class Encoder:
         for a, b in zip(offsets.tolist(), offsets[1:].tolist()):
             text = data[a:b]
             sequences.append(self._text(text.tobytes(), text, sure_borders(text), fresh))
-        for at in range(0, len(self.unknown), 20_000):
-            some = self.unknown[at:at + 20_000]
+        model, others = self.tokenizer.model.tokenize, []
+        for place, piece in self.unknown:
+            if _ONE_RUN.fullmatch(piece):
+                # letters behind a blank at most: nothing is left to cut
+                form = piece.decode("latin-1").translate(_FORM)
+                self._append([t.id for t in model(form)], place)
+            else:
+                others.append((place, piece.decode()))
+        for at in range(0, len(others), 20_000):
+            some = others[at:at + 20_000]
             for (place, _), e in zip(some, self.tokenizer.encode_batch_fast(
-                    [piece.decode() for _, piece in some], add_special_tokens=False)):
+                    [piece for _, piece in some], add_special_tokens=False)):
                 self._append(e.ids, place)
         if fresh:
             counts = np.array([len(own) for _, own in fresh])

@@ -139,7 +139,7 @@ def own_ids(encoder, texts):
     return [ids[a:b].tolist() for a, b in zip([0, *ends.tolist()], ends.tolist())]
 
 
-_BITS = st.sampled_from(["a", "B", "'s", "'", "ll", " ", "  ", "\n", "\t", "\r\n", " ", "　",
+_BITS = st.sampled_from(["a", "B", "Ünter", "straße ", "×", "÷", "ª", "naïve", "ÿ", "'s", "'", "ll", " ", "  ", "\n", "\t", "\r\n", " ", "　",
                          " ", "é", "слово", "漢字", "，", "7", "٣", "...", "!", "<|endoftext|>",
                          "<|", "endoftext", "|>", "😀", "́", "\x1c", "\x85", "_", " word", " "])
 
