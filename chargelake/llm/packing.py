@@ -16,7 +16,7 @@ import json
 import os
 from array import array
 from collections.abc import Iterator
-from itertools import chain
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -38,21 +38,42 @@ BLOCK = 1 << 18
 BROADCAST_ROWS = 50_000
 #: words a task keeps the ids of, before it begins anew
 _KNOWN_WORDS = 500_000
-_BLANK, _STOP, _WORD = 1, 2, 3
-#: kinds of bytes that tell stops behind a word: blanks, stops, and ASCII letters and digits
+_LETTER, _DIGIT, _SIGN, _QUOTE, _LEAD, _TRAIL = range(1, 7)
+#: kinds of bytes that tell where the tokenizer cuts: ASCII letters, digits, signs and the
+#: apostrophe, and the two bytes of Latin-1's letters beyond ASCII
 _KIND = np.zeros(256, np.uint8)
-_KIND[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = _BLANK
-_KIND[list(b".,;:!?")] = _STOP
-_KIND[0x30:0x3A] = _KIND[0x41:0x5B] = _KIND[0x61:0x7B] = _WORD
+_KIND[0x21:0x7F] = _SIGN
+_KIND[0x30:0x3A] = _DIGIT
+_KIND[0x41:0x5B] = _KIND[0x61:0x7B] = _LETTER
+_KIND[0x27] = _QUOTE
+_KIND[0xC3] = _LEAD
+_KIND[0x80:0xC0] = _TRAIL
+_KIND[[0x97, 0xB7]] = 0
+#: by the kinds of two neighbours: surely a cut, or one if a letter of two bytes ends or
+#: begins there; an apostrophe may belong to the letters behind it
+_CUT, _IF_ENDS, _IF_BEGINS = 1, 2, 3
+_BETWEEN = np.zeros((32, 8), np.uint8)
+_BETWEEN[_LETTER, [_DIGIT, _SIGN, _QUOTE]] = _CUT
+_BETWEEN[_DIGIT, [_LETTER, _SIGN, _QUOTE]] = _CUT
+_BETWEEN[_SIGN, [_LETTER, _DIGIT]] = _CUT
+_BETWEEN[_QUOTE, _DIGIT] = _CUT
+_BETWEEN[_TRAIL, [_DIGIT, _SIGN, _QUOTE]] = _IF_ENDS
+_BETWEEN[[_DIGIT, _SIGN], _LEAD] = _IF_BEGINS
+_BETWEEN = _BETWEEN.ravel()
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[0x41:0x5B] += 0x20
+#: second bytes of Latin-1's capitals
+_CAPITAL = np.zeros(256, bool)
+_CAPITAL[0x80:0x9F] = True
+_CAPITAL[0x97] = False
 #: words that are one run of letters to the tokenizer and that its normalizer leaves alone:
 #: a to z and the small letters of Latin-1
 _PLAIN = "^[a-zß-öø-ÿ]+$"
 #: byte-level form: bytes that are no visible characters of Latin-1 are numbered from U+0100;
 #: line breaks stay, they part the words
-_FORM = {byte: 256 + i for i, byte in enumerate([*range(0x21), *range(0x7F, 0xA1), 0xAD])
-         if byte != 0x0A}
+_FORM = np.arange(256, dtype="<u2")
+_FORM[[*range(0x21), *range(0x7F, 0xA1), 0xAD]] = 256 + np.arange(68)
+_FORM[0x0A] = 0x0A
 
 
 def folds_case(tokenizer: str) -> bool:
@@ -66,13 +87,18 @@ def folds_case(tokenizer: str) -> bool:
             and pattern.endswith(r"[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"))
 
 
+def _mapped(data: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """table[data] for bytes, without widening them to places of eight bytes."""
+    return np.frombuffer(bytearray(data).translate(table.tobytes()), np.uint8)
+
+
 class WordIds:
     """Token ids of texts, word by word; a word's ids are worked out once in a task.
 
-    Word i of `known` has the i + 1st run of ids in `flat`; the first is `end`. Where the
-    tokenizer does the same itself, A-Z is lowered and the stops behind a word are cut off,
-    so that fewer different words are left. Texts that might hold a special token's string
-    are left as they are.
+    `known` has a word's place: its run of ids in `flat`; the place 0 is that of `end`. Where
+    the tokenizer does the same itself, capitals of Latin-1 are lowered and words are cut
+    between letters, digits and signs, so that fewer different words are left. Texts that
+    might hold a special token's string are left as they are.
     """
 
     def __init__(self, encoder, fold: bool, end: int):
@@ -80,52 +106,76 @@ class WordIds:
         self._forget()
 
     def _forget(self) -> None:
-        self.known = pa.array([], pa.large_string())
+        self.known: dict[str, int] = {}
         self.flat, self.begins, self.sizes = array("I", [self.end]), array("q", [0]), array("q", [1])
 
-    def _learn(self, words: pa.Array) -> None:
-        """Add words to those known."""
-        model, found = self.encoder.model.tokenize, []
+    def _learn(self, words: pa.Array) -> np.ndarray:
+        """Add words to those known; their places."""
+        model, first = self.encoder.model.tokenize, len(self.flat)
+        ids, sizes = [], array("q")
         # a lone run of letters: only the byte-level form is left to make of it
-        plain = pc.match_substring_regex(words, _PLAIN) if self.fold else pa.array(
-            np.zeros(len(words), bool))
-        letters, others = pc.filter(words, plain), pc.filter(words, pc.invert(plain))
-        if len(letters):
-            shown = "\n".join(letters.to_pylist()).encode().decode("latin-1").translate(_FORM)
-            found = [[t.id for t in model(form)] for form in shown.split("\n")]
-        rest = others.to_pylist()
+        plain = pc.match_substring_regex(words, _PLAIN).to_numpy(zero_copy_only=False) \
+            if self.fold else np.zeros(len(words), bool)
+        order = np.concatenate([np.flatnonzero(plain), np.flatnonzero(~plain)])
+        words = words.to_numpy(zero_copy_only=False)[order].tolist()
+        letters, rest = words[:plain.sum()], words[plain.sum():]
+        if letters:
+            data = np.frombuffer("\n".join(letters).encode(), np.uint8)
+            shown = _FORM[data].tobytes().decode("utf-16-le").split("\n")
+            for form in shown:
+                own = [token.id for token in model(form)]
+                sizes.append(len(own))
+                ids += own
+            self.flat.extend(ids)
         for at in range(0, len(rest), 20_000):
-            found += [e.ids for e in self.encoder.encode_batch_fast(
-                rest[at:at + 20_000], add_special_tokens=False)]
-        sizes = np.fromiter(map(len, found), np.int64, len(found))
-        self.begins.frombytes((np.cumsum(sizes) - sizes + len(self.flat)).tobytes())
-        self.sizes.frombytes(sizes.tobytes())
-        self.flat.extend(chain.from_iterable(found))
-        self.known = pa.concat_arrays([self.known, letters, others])
+            for encoding in self.encoder.encode_batch_fast(
+                    rest[at:at + 20_000], add_special_tokens=False):
+                own = encoding.ids
+                sizes.append(len(own))
+                self.flat.extend(own)
+        size = np.array(sizes)
+        self.begins.frombytes((np.cumsum(size) - size + first).tobytes())
+        self.sizes.extend(sizes)
+        begin = len(self.known) + 1
+        self.known.update(zip(words, range(begin, begin + len(words))))
+        places = np.empty(len(words), np.int64)
+        places[order] = np.arange(begin, begin + len(words))
+        return places
+
+    def _places(self, words: pa.Array) -> np.ndarray:
+        """Places of different words, learned where they are not known."""
+        places = np.fromiter(map(self.known.get, words.to_numpy(zero_copy_only=False), repeat(0)),
+                             np.int64, len(words))
+        new = np.flatnonzero(places == 0)
+        if len(new):
+            places[new] = self._learn(words.take(pa.array(new)))
+        return places
 
     def _folded(self, column: pa.Array) -> pa.Array:
-        """Texts in lower case, with a space before the stops behind a word."""
+        """Texts in lower case, with a space where the tokenizer cuts a word."""
         data, offsets = utf8(column)
         data, offsets = data[offsets[0]:offsets[-1]], offsets - offsets[0]
         text = binary(data, offsets).cast(pa.large_string())
         if not self.fold or not len(data):
             return text
-        marked = pc.match_substring(text, "<|")
-        kind = _KIND[data]
-        # runs of stops: where they begin and end
-        stop = np.flatnonzero(kind == _STOP)
-        begins = stop[np.diff(stop, prepend=-2) > 1]
-        ends = stop[np.diff(stop, append=len(data) + 1) > 1] + 1
-        # such a run lies in one text, behind a letter or digit and before a blank or the end
-        behind = (begins > 0) & (kind[begins - 1] == _WORD)
-        final = np.append(kind, _BLANK)[ends] == _BLANK
-        inside = np.zeros(len(data) + 1, bool)
-        inside[offsets] = True
-        final |= inside[ends]
-        at = begins[behind & final & ~inside[begins]]
-        lower = np.insert(_LOWER[data], at, np.uint8(0x20))
-        cut = binary(lower, offsets + np.searchsorted(at, offsets)).cast(pa.large_string())
-        return pc.if_else(marked, text, cut)
+        kind = _mapped(data, _KIND)
+        found = _mapped((kind[:-1] << np.uint8(3)) | kind[1:], _BETWEEN)
+        at = np.flatnonzero(found) + 1
+        sort = found[at - 1]
+        behind = np.append(data, np.zeros(2, np.uint8))
+        # a letter of two bytes lies before or behind
+        at = at[(sort == _CUT) | ((sort == _IF_ENDS) & (data[at - 2] == 0xC3))
+                | ((sort == _IF_BEGINS) & (_KIND[behind[at + 1]] == _TRAIL))]
+        # the tokenizer composes before it lowers: what marks may follow stays as it is
+        lower = _mapped(data, _LOWER)
+        marked = np.flatnonzero(data[1:] >= 0xC4)
+        lower[marked] = data[marked]
+        capital = np.flatnonzero(data == 0xC3)
+        capital = capital[_CAPITAL[behind[capital + 1]] & (behind[capital + 2] < 0xC4)] + 1
+        lower[capital] += np.uint8(0x20)
+        cut = binary(np.insert(lower, at, np.uint8(0x20)), offsets + np.searchsorted(at, offsets))
+        special = pc.match_substring(text, "<|")
+        return pc.if_else(special, text, cut.cast(pa.large_string()))
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, each with `end` behind, and where each begins."""
@@ -136,12 +186,7 @@ class WordIds:
         real = pc.greater(pc.binary_length(words), 0)
         words, parent = pc.filter(words, real), pc.filter(parent, real).to_numpy()
         coded = pc.dictionary_encode(words)
-        at = pc.index_in(coded.dictionary, value_set=self.known)
-        if at.null_count:
-            self._learn(pc.filter(coded.dictionary, pc.is_null(at)))
-            at = pc.index_in(coded.dictionary, value_set=self.known)
-        place_of = at.to_numpy().astype(np.int64) + 1
-        # the place 0 is that of `end`
+        place_of = self._places(coded.dictionary)
         after = np.searchsorted(parent, np.arange(len(column)), side="right")
         places = np.insert(place_of[coded.indices.to_numpy()], after, 0)
         sizes = np.array(self.sizes)[places]

@@ -263,6 +263,40 @@ def test_words_encode_as_the_text(monkeypatch):
     assert known.encode(pa.array([None, ""]))[0].tolist() == [1, 1]
 
 
+def test_cut_words_encode_as_the_text():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    from tokenizers import Tokenizer
+    encoder, rng = Tokenizer.from_file(path), random.Random(2)
+    parts = ["a", "S", "s", "t", "T", "H", "J", "re", "'", "$", ".", "@", "-", "=", "<", "|", ">", "<|",
+             "É", "é", "ß", "Þ", "×", "÷", "ÿ", "À", "1", "23", " ", "\n", "\t", "\xa0", "\xad", "ª", "°",
+             "\u0308", "\u030c", "\u0331", "\u0338", "\u0591", "\u1e9e", "Ǆ", "Σ", "’", "中", "😀", "\x85",
+             "\x00", "İ", "ĳ", "\u200d", "٣"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 14))) for _ in range(20_000)]
+    # capitals whose small letter composes with the mark while they themselves do not
+    texts += ["T\u0308a", "T\u0591\u0308", "H\u0331", "J\u030c", "W\u030a", "Y\u030a"]
+    want = [[*e.ids, 1] for e in encoder.encode_batch(texts, add_special_tokens=False)]
+    known, got = packing.WordIds(encoder, packing.folds_case(path), 1), []
+    for at in range(0, len(texts), 3000):
+        column = pa.array(["é", *texts]).slice(at + 1, 3000)
+        ids, bounds = known.encode(column)
+        got += [ids[a:b].tolist() for a, b in zip(bounds, bounds[1:])]
+    assert got == want
+
+
+def test_words_are_learned_without_their_signs():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    from tokenizers import Tokenizer
+    encoder, rng = Tokenizer.from_file(path), random.Random(3)
+    words = ["".join(rng.choices("abcdeéßñ", k=8)) for _ in range(300)]
+    signs = ["", "$$$", "%%%", ",***", ".", "=12", ")"]
+    texts = [before + word + sign for word in words for sign in signs for before in ("", "(", "É")]
+    known = packing.WordIds(encoder, packing.folds_case(path), 1)
+    ids, bounds = known.encode(pa.array(texts))
+    want = [[*e.ids, 1] for e in encoder.encode_batch(texts, add_special_tokens=False)]
+    assert [ids[a:b].tolist() for a, b in zip(bounds, bounds[1:])] == want
+    assert len(known.known) <= 2 * len(words) + len(signs) + 2
+
+
 def test_mix_matches_targets_and_schedule(docs):
     sizes = mixing.sized(docs)
     shares = {r["source"]: r for r in mixing.targets(sizes).collect()}
